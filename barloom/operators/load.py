@@ -28,17 +28,19 @@ def first_per_key(batch: DataFrame, order: str = "src_seq") -> DataFrame:
     ).select(*KEY, *[F.col(f"first.{c}").alias(c) for c in values], "copies")
 
 
-def mark_existing(batch: DataFrame, fact: DataFrame) -> DataFrame:
+def mark_existing(batch: DataFrame, fact: DataFrame, dates_from: DataFrame | None = None) -> DataFrame:
     """Flag keys the fact table already has.
 
     One left join gives both the rows to insert and the skipped counts. Both sides are unique on the
     join key, so it cannot skew. Fact partitions outside the batch's dates are not read: the bounds
-    are scalar subqueries that Spark turns into scan filters.
+    are scalar subqueries that Spark turns into scan filters. ``dates_from`` names a cheaper frame with
+    the same dates, such as the staged table the batch was made from.
     """
     if "copies" not in batch.columns:
         batch = batch.withColumn("copies", F.lit(1).cast("bigint"))
-    low = batch.agg(F.min("date")).scalar()
-    high = batch.agg(F.max("date")).scalar()
+    dates = batch if dates_from is None else dates_from
+    low = dates.agg(F.min("date")).scalar()
+    high = dates.agg(F.max("date")).scalar()
     reachable = fact.where((F.col("date") >= low) & (F.col("date") <= high))
     if "year" in fact.columns:
         reachable = reachable.where((F.col("year") >= F.year(low)) & (F.col("year") <= F.year(high)))
