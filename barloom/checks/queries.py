@@ -109,7 +109,6 @@ def _checked(spark, sf):
 
 
 def _issues_of(spark, sf, *checks):
-    """Only the wanted checks are computed: the rest of the explode folds away."""
     return quality.cascade_issues(_checked(spark, sf)).where(F.col("check_name").isin(*checks))
 
 

@@ -58,7 +58,10 @@ def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "histor
         return add_metrics(batch)
     stored = last_stored_rows(fact).withColumn("is_new", F.lit(False))
     both = batch.withColumn("is_new", F.lit(True)).unionByName(stored, allowMissingColumns=True)
-    first_new = F.min(F.when(F.col("is_new"), F.col("date"))).over(Window.partitionBy("ticker"))
+    # same order as the metric windows, so that they share one sort
+    whole = (Window.partitionBy("ticker").orderBy("date")
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    first_new = F.min(F.when(F.col("is_new"), F.col("date"))).over(whole)
     usable = both.withColumn("first_new", first_new).where(
         F.col("is_new") | (F.col("date") < F.col("first_new"))).drop("first_new")
     return add_metrics(usable).where("is_new").drop("is_new")
@@ -70,7 +73,7 @@ def recompute_metrics(fact: DataFrame, corrections: DataFrame) -> DataFrame:
     ``corrections`` has ticker, date and close. Tickers without a correction are not read past the
     semi join, their stored metrics being right.
     """
-    touched = corrections.select("ticker").distinct()
+    touched = corrections.select("ticker")
     fixes = corrections.select("ticker", "date", F.col("close").alias("new_close"))
     bars = (fact.join(touched, "ticker", "left_semi").join(fixes, ["ticker", "date"], "left")
             .withColumn("close", F.coalesce("new_close", F.col("close").cast("double")))

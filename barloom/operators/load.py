@@ -20,12 +20,12 @@ def project(df: DataFrame, *keep: str) -> DataFrame:
 def first_per_key(batch: DataFrame, order: str = "src_seq") -> DataFrame:
     """One row per (date, ticker), the first in input order, with the number of copies.
 
-    Copies fold in the map tasks, so a key that fills the batch does not travel as rows.
+    Copies fold in the map tasks, so a key that fills the batch does not travel as rows. ``order`` must be
+    unique within a key.
     """
     values = [c for c in batch.columns if c not in (*KEY, order)]
-    return batch.groupBy(*KEY).agg(
-        F.min(F.struct(order, *values)).alias("first"), F.count(F.lit(1)).alias("copies")
-    ).select(*KEY, *[F.col(f"first.{c}").alias(c) for c in values], "copies")
+    return batch.groupBy(*KEY).agg(*[F.min_by(c, order).alias(c) for c in values],
+                                   F.count(F.lit(1)).alias("copies"))
 
 
 def mark_existing(batch: DataFrame, fact: DataFrame, dates_from: DataFrame | None = None) -> DataFrame:
