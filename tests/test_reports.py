@@ -1,0 +1,102 @@
+"""Reports on goldens and edge cases."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from barloom import derived as d
+from barloom.plans import reports
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def golden(spark):
+    return d.fact(spark, SF, 10).cache(), d.dim(spark, SF, 10).cache()
+
+
+@pytest.fixture
+def tiny(spark):
+    """AAA has both ends of the window, BBB only the first, CCC is unknown to the dimension."""
+    schema = ("date date, ticker string, close decimal(12,4), daily_return decimal(10,6), "
+              "moving_avg_7 decimal(12,4), volatility_7 decimal(10,6)")
+    day = lambda i: dt.date(2020, 1, i)
+    rows = [(day(1), "AAA", D("10"), None, D("10"), None), (day(2), "AAA", D("15"), D("0.5"), D("12.5"), D("0.1")),
+            (day(3), "AAA", D("12"), D("-0.2"), D("12.3"), D("0.3")),
+            (day(1), "BBB", D("20"), D("0"), D("20"), D("0.2")), (day(3), "CCC", D("1"), D("0.1"), D("1"), D("0.1"))]
+    dim = spark.createDataFrame([("AAA", "A Inc"), ("BBB", "B Inc")], "ticker string, company_name string")
+    return spark.createDataFrame(rows, schema), dim
+
+
+def test_best_performer_golden(golden):
+    rows = reports.best_performer(*golden, d.AS_OF).collect()
+    assert [(r.ticker, r.total_return_pct and str(r.total_return_pct)) for r in rows] == [
+        ("S03", None), ("S00", "842.05"), ("S02", "133.28"), ("S08", "100.98"), ("S07", "86.89"), ("S06", "53.29"),
+        ("S05", "-52.13"), ("S09", "-53.50"), ("S01", "-59.50"), ("S04", "-75.38")]
+
+
+def test_best_performer_ends(tiny):
+    assert [tuple(r) for r in reports.best_performer(*tiny, "2020-01-03").collect()] == [
+        ("BBB", "B Inc", None), ("AAA", "A Inc", D("20.00"))]
+
+
+def test_window_start_is_included(tiny):
+    assert {r.ticker for r in reports.best_performer(*tiny, "2020-01-03", days=1).collect()} == {"AAA"}
+    assert reports.price_trend(*tiny, "2020-01-03", days=2).count() == 4
+    assert reports.price_trend(*tiny, dt.date(2020, 1, 3), days=1).count() == 2
+
+
+def test_range_return(tiny):
+    assert [tuple(r) for r in reports.range_return(*tiny, "2020-01-03").collect()] == [
+        ("AAA", "A Inc", D("50.00")), ("BBB", "B Inc", D("0.00"))]
+
+
+def test_most_volatile_skips_rows_without_volatility(tiny):
+    rows = {r.ticker: r for r in reports.most_volatile(*tiny, "2020-01-03").collect()}
+    assert rows["AAA"].avg_volatility == D("0.200000") and rows["AAA"].stddev_return == D("0.494975")
+    assert rows["BBB"].stddev_return is None
+
+
+def test_close_stats(tiny):
+    rows = [tuple(r) for r in reports.close_stats(*tiny).collect()]
+    assert rows == [("BBB", "B Inc", D("20.00"), D("20.00"), D("20.00"), 1),
+                    ("AAA", "A Inc", D("12.33"), D("10.00"), D("15.00"), 3)]
+
+
+def test_trend_directions(tiny):
+    rows = reports.price_trend(*tiny, "2020-01-03").collect()
+    assert [(r.ticker, r.date.day, r.day_direction) for r in rows] == [
+        ("AAA", 1, "FLAT"), ("AAA", 2, "UP"), ("AAA", 3, "DOWN"), ("BBB", 1, "FLAT")]
+
+
+def test_default_day_is_today(tiny):
+    assert reports.price_trend(*tiny).count() == 0
+
+
+def test_audit_goldens(spark):
+    log, issues = d.log(spark, SF), d.issues(spark, SF)
+    status = {r.status: r["count"] for r in log.groupBy("status").count().collect()}
+    assert status == {"FAILED": 4933, "RUNNING": 5088, "SUCCESS": 4979}
+    open_issues = reports.unresolved_issues(issues, log)
+    assert open_issues.count() == 6666 and open_issues.where("dag_run_id IS NOT NULL").count() == 6533
+    assert [tuple(r) for r in reports.run_summary(log, "run_1999-01-24").collect()] == [
+        ("extract", 44211, 13, 4, 0, 1), ("load", 1840216, 233, 16, 12, 2), ("transform", 1138954, 193, 16, 4, 1)]
+    assert reports.error_count(issues, log, "run_1999-01-24").first().error_count == 6
+    with pytest.raises(reports.GateFailed, match="6 unresolved"):
+        reports.enforce_gate(issues, log, "run_1999-01-24")
+    assert reports.enforce_gate(issues, log, "no such run") == 0
+
+
+def test_issue_order(spark):
+    rows = reports.unresolved_issues(d.issues(spark, SF), d.log(spark, SF)).collect()
+    assert [s for i, s in enumerate(r.severity for r in rows) if i == 0 or rows[i - 1].severity != s] == [
+        "WARNING", "INFO", "ERROR"]
+    assert all(a.detected_at >= b.detected_at for a, b in zip(rows, rows[1:]) if a.severity == b.severity)
+
+
+def test_top_lists(spark):
+    log = d.log(spark, SF)
+    rows = reports.run_history(log).collect()
+    assert len(rows) == 50 and reports.run_log_recent(log).count() == 10
+    assert rows == sorted(rows, key=lambda r: (r.started_at, r.run_id), reverse=True)
