@@ -60,7 +60,7 @@ def incremental_filter(spark, sf):
     """Bars past each ticker's mark; the odd suppliers were last loaded a year earlier."""
     stored = _split(d.bars(spark, sf))[0].where(
         (F.substring("ticker", 2, 9).cast("bigint") % 2 == 0) | (F.col("date") < F.lit("1999-01-01").cast("date")))
-    starts = ingest.fetch_starts(d.dim(spark, sf), ingest.watermarks(stored), d.FIRST_DAY)
+    starts = stage(ingest.fetch_starts(d.dim(spark, sf), ingest.watermarks(stored), d.FIRST_DAY))
     return ingest.incremental_filter(d.bars(spark, sf), starts, d.INGEST_DAY)
 
 
@@ -68,7 +68,7 @@ def incremental_filter(spark, sf):
 def empty_extracts(spark, sf):
     """Tickers without a bar between their mark and the fourth day of the year."""
     bars = d.bars(spark, sf)
-    starts = ingest.fetch_starts(d.dim(spark, sf), ingest.watermarks(_split(bars)[0]), d.FIRST_DAY)
+    starts = stage(ingest.fetch_starts(d.dim(spark, sf), ingest.watermarks(_split(bars)[0]), d.FIRST_DAY))
     return ingest.empty_extracts(starts, ingest.incremental_filter(bars, starts, "2000-01-04"), "2000-01-04")
 
 

@@ -89,5 +89,7 @@ def fact_rows(rows: DataFrame, run_ts=None) -> DataFrame:
     """
     if "loaded_at" not in rows.columns:
         rows = rows.withColumn("loaded_at", as_timestamp(run_ts))
-    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None))
-                         .cast(f.dataType).alias(f.name) for f in FACT.fields])
+    present = set(rows.columns)
+    return rows.selectExpr(*[
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in FACT.fields])

@@ -96,40 +96,28 @@ def verdict_counts(checked: DataFrame) -> DataFrame:
             .agg(F.sum("p.n").alias("n_rows")))
 
 
-def _finding(check: str, hit: Column, column: str | None = None, n: Column | None = None,
-             per_row: bool = False) -> Column:
-    return F.when(hit, F.struct(
-        F.lit(check).alias("check_name"),
-        F.lit(column).cast("string").alias("column"),
-        (n if n is not None else F.lit(1)).cast("bigint").alias("n"),
-        F.when(F.lit(check == "negative_price"), F.col("date")).alias("seen_on"),
-        F.when(F.lit(per_row), F.col("date")).alias("issue_date"),
-        F.when(F.lit(per_row), F.col("high")).alias("high"),
-        F.when(F.lit(per_row), F.col("low")).alias("low"),
-    ))
+# check, column, SQL for the number of rows of a key it found
+FINDINGS = [
+    ("date_format", None, "n_bad_date"),
+    *[("null_values", c, f"null_{c}") for c in REQUIRED],
+    ("duplicate_rows", None, "n_copies - 1"),
+    *[("negative_price", c, f"if(n_copies > 0 AND {c} <= 0, 1, 0)") for c in PRICES],
+    ("high_lt_low", None, "if(verdict = 'high_lt_low', 1, 0)"),
+    ("zero_volume", None, "if(verdict IN ('ok', 'negative_volume') AND volume = 0, 1, 0)"),
+    ("negative_volume", None, "if(verdict = 'negative_volume', 1, 0)"),
+]
 
 
 def findings(checked: DataFrame) -> DataFrame:
-    """Everything the cascade found, one row per key, check and column.
+    """Everything the cascade found, one row per key, check and column, with a row count ``n``.
 
-    Clean keys are filtered out before the explode, so it runs over the damaged share only.
+    Clean keys are filtered out first, so the unpivot runs over the damaged share only.
     """
-    survivor = F.col("n_copies") > 0
-    past_prices = F.col("verdict").isNotNull() & (F.col("verdict") != "negative_price")
-    past_range = past_prices & (F.col("verdict") != "high_lt_low")
-    found = F.array(
-        _finding("date_format", F.col("n_bad_date") > 0, n=F.col("n_bad_date")),
-        *[_finding("null_values", F.col(f"null_{c}") > 0, c, F.col(f"null_{c}")) for c in REQUIRED],
-        _finding("duplicate_rows", F.col("n_copies") > 1, n=F.col("n_copies") - 1),
-        *[_finding("negative_price", survivor & (F.col(c) <= 0), c) for c in PRICES],
-        _finding("high_lt_low", F.col("verdict") == "high_lt_low", per_row=True),
-        _finding("zero_volume", past_range & (F.col("volume") == 0)),
-        _finding("negative_volume", F.col("verdict") == "negative_volume"),
-    )
-    damaged = ((F.col("n_rows") > 1) | F.col("verdict").isNull() | (F.col("verdict") != "ok")
-               | (F.col("volume") == 0))
-    return (checked.where(damaged).select("ticker", "date", "high", "low", F.explode(found).alias("f"))
-            .where(F.col("f").isNotNull()).select("ticker", "f.*"))
+    cells = ", ".join(f"'{check}', {repr(column) if column else 'NULL'}, bigint({n})"
+                      for check, column, n in FINDINGS)
+    damaged = checked.where("n_rows > 1 OR verdict IS NULL OR verdict <> 'ok' OR volume = 0")
+    return damaged.selectExpr(
+        "ticker", "date", "high", "low", f"stack({len(FINDINGS)}, {cells}) AS (check_name, column, n)").where("n > 0")
 
 
 def cascade_issues(checked: DataFrame) -> DataFrame:
@@ -137,10 +125,12 @@ def cascade_issues(checked: DataFrame) -> DataFrame:
 
     Dates are gathered for non-positive prices alone, at most one per calendar day and column.
     """
+    per_row = F.when(F.col("check_name") == "high_lt_low", F.col("date"))
+    seen_on = F.when(F.col("check_name") == "negative_price", F.col("date"))
     grouped = (findings(checked)
-               .groupBy("ticker", "check_name", "column", "issue_date")
+               .groupBy("ticker", "check_name", "column", per_row.alias("issue_date"))
                .agg(F.sum("n").alias("n"),
-                    F.slice(F.sort_array(F.collect_list("seen_on")), 1, NEGATIVE_DATES_SHOWN).alias("dates"),
+                    F.slice(F.sort_array(F.collect_list(seen_on)), 1, NEGATIVE_DATES_SHOWN).alias("dates"),
                     F.min("high").alias("high"), F.min("low").alias("low")))
     n = F.col("n").cast("string")
     column = F.concat(F.lit("Column '"), F.col("column"), F.lit("' has "), n)

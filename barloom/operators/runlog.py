@@ -52,13 +52,9 @@ def end_events(outcomes: DataFrame, dag_run_id: str, task: str, run_ts=None, att
 
 
 def as_events(df: DataFrame) -> DataFrame:
-    """All event columns with their types; counts default to zero."""
-    def column(f):
-        if f.name not in df.columns:
-            return F.lit(0 if f.name in COUNTS else None).cast(f.dataType).alias(f.name)
-        c = F.col(f.name).cast(f.dataType)
-        return (F.coalesce(c, F.lit(0)) if f.name in COUNTS else c).alias(f.name)
-    return df.select(*[column(f) for f in RUN_EVENTS.fields])
+    """All event columns; counts default to zero, texts to NULL."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in RUN_EVENTS.fields if f.name not in df.columns}
+    return df.withColumns(absent).fillna(0, COUNTS).select(*RUN_EVENTS.fieldNames())
 
 
 def current_state(events: DataFrame) -> DataFrame:
@@ -75,7 +71,7 @@ def current_state(events: DataFrame) -> DataFrame:
         F.max(F.when(is_end, F.col("event_at"))).alias("finished_at"),
         latest.alias("latest"))
     return state.select("run_id", "run_date", "started_at", "finished_at", "latest.*").select(
-        *[f.name for f in RUN_LOG.fields])
+        *RUN_LOG.fieldNames())
 
 
 def issue_rows(issues: DataFrame, dag_run_id: str, task: str = "transform", run_ts=None,
@@ -86,7 +82,7 @@ def issue_rows(issues: DataFrame, dag_run_id: str, task: str = "transform", run_
             .withColumn("issue_id", issue_id())
             .withColumn("detected_at", as_timestamp(run_ts))
             .withColumn("resolved", F.lit(False))
-            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ISSUES.fields]))
+            .select(*ISSUES.fieldNames()))
 
 
 def details_json(**fields: Column) -> Column:

@@ -102,9 +102,14 @@ def run_log_recent(log: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def unresolved_issues(issues: DataFrame, log: DataFrame) -> DataFrame:
-    """Open issues with the run they came from. Severity sorts as text, from W to E."""
-    runs = log.select("run_id", "dag_run_id")
-    return (issues.where(F.col("resolved") == F.lit(False)).join(runs, "run_id", "left")
+    """Open issues with the run they came from. Severity sorts as text, from W to E.
+
+    Issues without a run go around the join, where they would all meet in one task.
+    """
+    open_issues = issues.where(F.col("resolved") == F.lit(False))
+    with_run = open_issues.where(F.col("run_id").isNotNull()).join(log.select("run_id", "dag_run_id"), "run_id", "left")
+    without = open_issues.where(F.col("run_id").isNull())
+    return (with_run.unionByName(without, allowMissingColumns=True)
             .select("issue_id", "detected_at", "ticker", "issue_date", "check_name", "severity",
                     "description", "raw_value", "dag_run_id")
             .orderBy(F.desc("severity"), F.desc_nulls_first("detected_at"), "issue_id"))

@@ -52,7 +52,7 @@ class Warehouse:
 
     def append(self, folder: str, rows: DataFrame) -> None:
         schema, by = LAYOUT[folder]
-        out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        out = rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
         writer = out.write.mode("append")
         (writer.partitionBy(by) if by else writer).parquet(self.path(folder))
 
