@@ -35,6 +35,11 @@ def percent_text(ratio: Column) -> Column:
     return F.concat(percent.cast("decimal(24,2)").cast("string"), F.lit("%"))
 
 
+def is_trading_day(day: Column) -> Column:
+    """Monday to Friday; public holidays are not known here."""
+    return F.weekday(day) < 5
+
+
 def as_date(value: dt.date | str | Column | None) -> Column:
     """A report date: a given one, or today's."""
     if value is None:

@@ -7,7 +7,7 @@ window group is bounded by the calendar, about 36,500 rows per century, however
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import MIN_RETURNS_FOR_VOLATILITY, WINDOW_ROWS
@@ -45,19 +45,38 @@ def last_stored_rows(fact: DataFrame, rows: int = WINDOW_ROWS) -> DataFrame:
             .where(F.col("rank") <= rows).drop("rank"))
 
 
-def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "history") -> DataFrame:
+def older_rows(fact: DataFrame, recent: DataFrame, tickers: DataFrame, recent_from: Column,
+               rows: int = WINDOW_ROWS) -> DataFrame:
+    """What ``recent`` lacks: the newest rows before ``recent_from`` of tickers that have too few in it.
+
+    Most tickers have enough, so the long history is only probed for the few that do not, and not
+    sorted; when there are none, adaptive execution drops the scan.
+    """
+    enough = recent.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
+    short = tickers.select("ticker").join(enough, "ticker", "left_anti")
+    before = fact.where(F.col("date") < recent_from)
+    if "year" in fact.columns:
+        before = before.where(F.col("year") <= F.year(recent_from))
+    return last_stored_rows(before.join(short, "ticker", "left_semi"), rows)
+
+
+def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "history",
+           stored: DataFrame | None = None) -> DataFrame:
     """Metrics for the rows of a batch.
 
     ``scope="batch"`` looks at the batch alone, so its first rows have no return or volatility.
     ``scope="history"`` puts the last stored rows of each ticker before the batch, which gives the
-    same values as one load of everything. Stored rows not older than the ticker's batch are left out.
+    same values as one load of everything; ``stored`` holds those rows where they are at hand, else
+    they are taken from ``fact``. Stored rows not older than the ticker's batch are left out.
     """
     if scope not in ("batch", "history"):
         raise ValueError(f"unknown scope {scope!r}")
-    if scope == "batch" or fact is None:
+    if stored is None and fact is not None:
+        stored = last_stored_rows(fact)
+    if scope == "batch" or stored is None:
         return add_metrics(batch)
-    stored = last_stored_rows(fact).withColumn("is_new", F.lit(False))
-    both = batch.withColumn("is_new", F.lit(True)).unionByName(stored, allowMissingColumns=True)
+    both = batch.withColumn("is_new", F.lit(True)).unionByName(
+        stored.withColumn("is_new", F.lit(False)), allowMissingColumns=True)
     # same order as the metric windows, so that they share one sort
     whole = (Window.partitionBy("ticker").orderBy("date")
              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

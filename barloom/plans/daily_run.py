@@ -17,14 +17,21 @@ from pyspark.sql import functions as F
 from barloom.operators import enrich, ingest, load, quality, runlog
 from barloom.plans import reports
 from barloom.schemas import FIRST_LOAD_DATE
-from barloom.sources.tables import stage
+from barloom.sources.tables import days_back, since, stage
 from barloom.sources.warehouse import Warehouse
 
 
+LOOK_BACK_DAYS = 366
+
+
 class MissingDate(ValueError):
     """The landing data has no date column, so no range can be taken from it."""
 
 
+class TickerFailed(RuntimeError):
+    """A single-ticker run did not load its ticker."""
+
+
 @dataclass(frozen=True)
 class Run:
     """What identifies a run, and its options."""
@@ -93,7 +100,7 @@ def transform(run: Run, extracted: Extract) -> DataFrame | None:
             "ticker", F.lit(f"required columns missing: {', '.join(absent)}").alias("error_message")))
         return None
     checked = stage(quality.check_bars(batch))
-    enriched = stage(enrich.enrich(quality.clean_bars(checked), run.warehouse.fact(), run.scope))
+    enriched = stage(enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present)))
     found = stage(quality.cascade_issues(checked))
     run.report(found.unionByName(quality.extreme_return_issues(enriched)))
     summary = quality.batch_summary(checked, found)
@@ -105,6 +112,15 @@ def transform(run: Run, extracted: Extract) -> DataFrame | None:
     return enriched
 
 
+def _look_back(run: Run, tickers: DataFrame) -> DataFrame | None:
+    """The newest stored rows of the batch's tickers: from the last year, or older where it has too few."""
+    if run.scope == "batch":
+        return None
+    fact, recent_from = run.warehouse.fact(), days_back(run.as_of, LOOK_BACK_DAYS)
+    recent = stage(enrich.last_stored_rows(since(fact, recent_from)))
+    return recent.unionByName(enrich.older_rows(fact, recent, tickers, recent_from))
+
+
 def load_batch(run: Run, extracted: Extract, enriched: DataFrame) -> DataFrame:
     """Insert the new keys of every ticker that can load; returns counts per ticker.
 
@@ -152,3 +168,16 @@ def run_daily(run: Run, landing: DataFrame, tickers: DataFrame | None = None, ga
     if gate:
         reports.enforce_gate(run.warehouse.issues(), log, run.dag_run_id)
     return reports.run_summary(log, run.dag_run_id)
+
+
+def run_ticker(run: Run, landing: DataFrame, ticker: str) -> dict[str, int]:
+    """Run the steps for one ticker, without the gate; returns its inserted and skipped rows."""
+    one = landing.sparkSession.createDataFrame([(ticker,)], "ticker string")
+    extracted = extract(run, landing, one)
+    enriched = transform(run, extracted)
+    row = load_batch(run, extracted, enriched).first() if enriched is not None else None
+    failed = run.warehouse.log(run.dag_run_id).where(
+        (F.col("ticker") == ticker) & (F.col("status") == "FAILED")).first()
+    if failed:
+        raise TickerFailed(f"{failed.task_name} of {ticker}: {failed.error_message}")
+    return {"inserted": row.inserted, "skipped": row.skipped} if row else {"inserted": 0, "skipped": 0}

@@ -10,7 +10,7 @@ from barloom.operators import quality, runlog
 from barloom.operators.constraints import enum_violations, fk_orphans, pk_violations
 from barloom.operators.dimension import company_seed
 from barloom.plans import reports
-from barloom.plans.daily_run import MissingDate, Run, run_daily
+from barloom.plans.daily_run import MissingDate, Run, TickerFailed, run_daily, run_ticker
 from barloom.schemas import FACT, ISSUES, RUN_LOG, STATUSES
 from barloom.session import new_scratch
 from barloom.sources.warehouse import Warehouse
@@ -228,3 +228,27 @@ def test_splitting_a_dirty_landing_at_any_day(spark, house, raw):
     assert [g["extract"].found for g in got] == [4, 5]
     assert [g["load"].inserted for g in got] == [2, 2]
     assert quality.clean_bars(quality.check_bars(landing)).count() == house.fact().count() == 4
+
+
+def test_one_ticker_at_a_time(house, raw):
+    landing = both(raw, (1, {}), (2, {}))
+    run = Run(house, "r1", "2020-02-01", TS)
+    assert run_ticker(run, landing, "BBB") == {"inserted": 2, "skipped": 0}
+    assert run_ticker(Run(house, "r2", "2020-02-01", TS), landing, "BBB") == {"inserted": 0, "skipped": 0}
+    with pytest.raises(TickerFailed, match="load of AAA: numeric field overflow"):
+        run_ticker(run, landing.withColumn("high", F.lit(1e8)), "AAA")
+    assert {r.ticker for r in house.fact().collect()} == {"BBB"}
+
+
+def test_look_back_reaches_past_a_year_of_silence(house, raw, spark):
+    """Six rows long ago and two lately: the increment still sees all eight."""
+    old = raw(*[(i, {"close": 10.0 + i}) for i in range(1, 7)])
+    late = raw(*[(i, {"close": 20.0 + i * i}) for i in range(1, 5)]).withColumn("date", F.add_months("date", 36))
+    landing = old.unionByName(late)
+    go(house, landing, "r1", "2023-01-03")
+    go(house, landing, "r2", "2023-02-01")
+    whole = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
+    whole.upsert_dim(house.dim().select("ticker", "company_name", "sector"), TS)
+    go(whole, landing, "r1", "2023-02-01")
+    assert house.fact().count() == 10
+    assert sorted(map(tuple, house.fact().collect()), key=str) == sorted(map(tuple, whole.fact().collect()), key=str)
