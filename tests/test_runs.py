@@ -6,7 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import quality, runlog
+from conftest import RAW
+
+from barloom import derived as d
+from barloom.operators import enrich, quality, runlog
 from barloom.operators.constraints import enum_violations, fk_orphans, pk_violations
 from barloom.operators.dimension import company_seed
 from barloom.plans import reports
@@ -18,21 +21,65 @@ from barloom.sources.warehouse import Warehouse
 TS = "2020-03-01 06:00:00"
 
 
-@pytest.fixture
-def house(spark):
+@pytest.fixture(scope="module", autouse=True)
+def small_plans(spark):
+    """Runs here have a handful of rows: compiling their plans would take most of the time."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+                "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+TICKERS = ["AAA", "BBB", "GOOD", "WARN", "ERRS", "HUGE", "GONE", "NONE"]
+
+
+def new_house(spark):
     w = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
-    w.upsert_dim(spark.createDataFrame([("AAA", "A Inc", "x"), ("BBB", "B Inc", "y")],
+    w.upsert_dim(spark.createDataFrame([(t, f"{t} Inc", "x") for t in TICKERS],
                                        "ticker string, company_name string, sector string"), TS)
     return w
 
 
-def go(house, landing, name="r1", as_of="2020-02-01", gate=True, **kw):
-    return {r.task_name: r for r in run_daily(Run(house, name, as_of, TS, **kw), landing, gate=gate).collect()}
+@pytest.fixture
+def house(spark):
+    return new_house(spark)
+
+
+def bars(spark, rows):
+    """Raw bars from (ticker, day of January 2020, fields that differ from a good bar)."""
+    out = []
+    for seq, (ticker, day, change) in enumerate(rows):
+        bar = {"date": dt.date(2020, 1, day), "ticker": ticker, "open": 10.0, "high": 30.0, "low": 9.0, "close": 11.0,
+               "volume": 100, "src_seq": seq} | change
+        out.append(tuple(bar.values()))
+    return spark.createDataFrame(out, RAW)
 
 
-def both(raw, *rows):
-    """The same rows for two tickers."""
-    return raw(*[(day, change | {"ticker": t}) for t in ("AAA", "BBB") for day, change in rows])
+SCENE = [
+    *[("GOOD", i, {"close": 10.0 + i * i % 7}) for i in range(1, 13)],
+    ("WARN", 1, {}), ("WARN", 2, {"volume": 0}), ("WARN", 3, {"close": 17.5}),
+    ("ERRS", 1, {}), ("ERRS", 1, {"close": 1.0}), ("ERRS", 2, {"high": 1.0}), ("ERRS", 3, {"volume": -1}), ("ERRS", 5, {}),
+    # damaged at the end of the first run, so fetched and rejected again by the second
+    ("ERRS", 8, {"low": None}), ("ERRS", 9, {"open": -1.0}), ("ERRS", 10, {}),
+    ("HUGE", 1, {}), ("HUGE", 2, {"high": 1e8}),
+    ("GONE", 1, {"close": None}), ("GONE", 2, {"open": 0.0}),
+]
+
+
+@pytest.fixture(scope="module")
+def scene(spark, small_plans):
+    """Two runs over tickers that each show one case; the second starts on the tenth."""
+    w = new_house(spark)
+    landing = bars(spark, SCENE)
+    return w, landing, go(w, landing, "r1", "2020-01-10", gate=False), go(w, landing, "r2", "2020-02-01", gate=False)
+
+
+def go(house, landing, name="r1", as_of="2020-02-01", gate=True, **kw):
+    return {r.task_name: r for r in run_daily(Run(house, name, as_of, TS, **kw), landing, gate=gate).collect()}
 
 
 # --- run log ----------------------------------------------------------------
@@ -70,185 +117,145 @@ def test_duration_rounds_half_to_even(spark):
 
 # --- warehouse --------------------------------------------------------------
 
-def test_bootstrap_twice_keeps_rows(house):
-    assert house.bootstrap().dim().count() == 2
+def test_tables_and_versions(spark, house):
+    assert house.bootstrap().dim().count() == len(TICKERS)
     assert house.fact().count() == house.log().count() == house.issues().count() == 0
-
-
-def test_seed_and_versions(spark, house):
     house.upsert_dim(company_seed(spark), "2020-04-01 00:00:00")
     rows = {r.ticker: r for r in house.dim().collect()}
-    assert len(rows) == 12 and rows["AAA"].created_at == dt.datetime(2020, 3, 1, 6)
+    assert len(rows) == len(TICKERS) + 10 and rows["AAA"].created_at == dt.datetime(2020, 3, 1, 6)
     assert rows["V"].sector == "Financial Services"
 
 
-# --- whole runs -------------------------------------------------------------
+# --- whole runs: the scene --------------------------------------------------
 
-def test_clean_run_passes_its_gate(house, raw):
-    got = go(house, both(raw, (1, {}), (2, {"volume": 0}), (3, {"close": 17.5})))
-    assert {t: (r.found, r.inserted, r.skipped, r.invalid, r.failed_tasks) for t, r in got.items()} == {
-        "extract": (6, 0, 0, 0, 0), "transform": (6, 0, 0, 0, 0), "load": (6, 6, 0, 0, 0)}
-    facts = house.fact().where("ticker = 'AAA'").orderBy("date").collect()
-    assert [str(r.price_range) for r in facts] == ["3.0000"] * 3
-    assert [None if r.daily_return is None else str(r.daily_return) for r in facts] == [None, "0.000000", "0.590909"]
-    assert {r.check_name for r in house.issues().collect()} == {"zero_volume", "extreme_return"}
-    assert house.fact().select(*[f.name for f in FACT.fields]).first().loaded_at == dt.datetime(2020, 3, 1, 6)
-    assert house.issues().columns == [f.name for f in ISSUES.fields]
+def test_summaries(scene):
+    first, second = [{t: (r.found, r.inserted, r.skipped, r.invalid, r.failed_tasks) for t, r in got.items()}
+                     for got in scene[2:]]
+    # clean rows: GOOD 9, WARN 3, ERRS 2, HUGE 2; errors: ERRS 5, GONE 2
+    assert first == {"extract": (23, 0, 0, 0, 0), "transform": (16, 0, 0, 7, 0), "load": (14, 14, 0, 0, 1)}
+    # again: ERRS 8, 9 and the new 10, HUGE 2, GONE 2, and GOOD 10 to 12
+    assert second == {"extract": (10, 0, 0, 0, 0), "transform": (6, 0, 0, 4, 0), "load": (4, 4, 0, 0, 1)}
 
 
-def test_log_details(house, raw):
-    go(house, both(raw, (1, {}), (2, {"volume": 0})))
-    log = {(r.task_name, r.ticker): json.loads(r.details) for r in house.log().collect()}
-    assert log["extract", "AAA"] == {"start": "2020-01-01", "rows_fetched": 2}
-    # the summary is taken before returns are checked
-    assert log["transform", "AAA"] == {"ticker": "AAA", "total_issues": 1, "errors": 0, "warnings": 1, "checks_passed": False}
-    assert log["load", "BBB"] == {"ticker": "BBB", "attempted": 2}
-
-
-def test_error_fails_the_gate_after_the_load(house, raw):
-    with pytest.raises(reports.GateFailed, match="1 unresolved"):
-        go(house, raw((1, {}), (2, {"open": -1.0}), (3, {})))
-    assert house.fact().count() == 2
-    # another run's error is no concern of this one
-    go(house, raw((4, {})), "r2")
-    assert house.fact().count() == 3
-
-
-def test_second_run_is_incremental_and_equals_one_load(spark, house, raw):
-    days = [(i, {"close": 10.0 + (i * i) % 7 / 4}) for i in range(1, 26)]
-    landing = both(raw, *days)
-    go(house, landing, "r1", "2020-01-11")
-    got = go(house, landing, "r2", "2020-02-01")
-    assert (got["extract"].found, got["load"].inserted, got["load"].skipped) == (30, 30, 0)
-    whole = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
-    whole.upsert_dim(house.dim().select("ticker", "company_name", "sector"), TS)
-    go(whole, landing)
-    assert sorted(map(tuple, house.fact().collect()), key=str) == sorted(map(tuple, whole.fact().collect()), key=str)
-    again = go(house, landing, "r3")
-    assert set(again) == {"extract"} and again["extract"].found == 0
-
-
-def test_batch_scope_forgets_history(house, raw):
-    landing = raw(*[(i, {}) for i in range(1, 6)])
-    go(house, landing, "r1", "2020-01-04", scope="batch")
-    go(house, landing, "r2", "2020-02-01", scope="batch")
-    rows = house.fact().orderBy("date").collect()
-    assert [r.date.day for r in rows if r.daily_return is None] == [1, 4]
-
-
-def test_empty_ticker_is_classified_and_not_logged_further(house, raw):
-    go(house, raw((1, {})))
-    log = {(r.task_name, r.ticker): r for r in house.log().collect()}
-    assert set(log) == {("extract", "AAA"), ("extract", "BBB"), ("transform", "AAA"), ("load", "AAA")}
-    assert json.loads(log["extract", "BBB"].details) == {"start": "2020-01-01", "rows_fetched": 0, "reason": "empty_response"}
-
-
-def test_empty_tickers_can_be_logged(house, raw):
-    go(house, raw((1, {})), log_empty=True)
-    log = {(r.task_name, r.ticker): (r.status, r.records_found) for r in house.log().collect()}
-    assert log["transform", "BBB"] == log["load", "BBB"] == ("SUCCESS", 0) and len(log) == 6
-
-
-def test_failed_ticker_goes_to_quarantine_alone(house, raw):
-    got = go(house, both(raw, (1, {}), (2, {})).withColumn(
-        "high", F.when((F.col("ticker") == "AAA") & (F.dayofmonth("date") == 2), 1e8).otherwise(F.col("high"))))
-    assert got["load"].failed_tasks == 1 and got["load"].inserted == 2
-    assert {r.ticker for r in house.fact().collect()} == {"BBB"}
-    kept = house.quarantine().collect()
-    assert sorted(r.high for r in kept) == [12.0, 1e8]
-    assert {r.error_message for r in kept} == {"numeric field overflow in column high"}
-    failed = house.log().where("status = 'FAILED'").collect()
-    assert [(r.task_name, r.ticker, r.records_found) for r in failed] == [("load", "AAA", 0)]
+def test_facts_equal_one_clean_load(spark, scene):
+    house, landing = scene[:2]
+    wanted = d.as_fact(enrich.add_metrics(quality.clean_bars(quality.check_bars(
+        landing.where("ticker NOT IN ('HUGE', 'GONE')"))))).drop("loaded_at")
+    got = house.fact().select(wanted.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+    assert {r.loaded_at for r in house.fact().collect()} == {dt.datetime(2020, 3, 1, 6)}
+    assert set(FACT.fieldNames()) < set(house.fact().columns)
 
 
-def test_all_rows_rejected(house, raw):
-    got = go(house, raw((1, {"close": None}), (2, {"open": 0.0})), gate=False)
-    assert got["transform"].found == 0 and got["transform"].invalid == 2 and "load" not in got
+def test_issues(scene):
+    house = scene[0]
+    got = sorted((r.ticker, r.check_name, r.n) for r in house.issues().join(house.log("r1").select("run_id"), "run_id").groupBy(
+        "ticker", "check_name").agg(F.count("*").alias("n")).collect())
+    assert got == [("ERRS", "duplicate_rows", 1), ("ERRS", "high_lt_low", 1), ("ERRS", "negative_price", 1),
+                   ("ERRS", "negative_volume", 1), ("ERRS", "null_values", 1), ("GONE", "negative_price", 1),
+                   ("GONE", "null_values", 1), ("WARN", "extreme_return", 1), ("WARN", "zero_volume", 1)]
+    assert house.issues().columns == ISSUES.fieldNames()
 
 
-def test_missing_column_fails_the_batch(house, raw):
-    with pytest.raises(reports.GateFailed):
-        go(house, both(raw, (1, {})).drop("close"))
-    assert house.fact().count() == 0
-    assert {(r.ticker, r.status) for r in house.log().where("task_name = 'transform'").collect()} == {
-        ("AAA", "FAILED"), ("BBB", "FAILED")}
-    assert [r.check_name for r in house.issues().collect()] == ["missing_columns"] * 2
-
-
-def test_missing_date_fails_the_extract(house, raw):
-    with pytest.raises(MissingDate):
-        go(house, raw((1, {})).drop("date"))
-    assert {r.status for r in house.log().collect()} == {"FAILED"}
-
-
-def test_only_the_asked_tickers(house, raw):
-    landing = both(raw, (1, {}))
-    run_daily(Run(house, "r1", "2020-02-01", TS), landing, landing.select("ticker").where("ticker = 'BBB'").distinct())
-    assert [r.ticker for r in house.fact().collect()] == ["BBB"]
-
-
-def test_crash_before_the_load_is_repaired_by_a_rerun(house, raw, monkeypatch):
-    landing = both(raw, (1, {}), (2, {}))
-    monkeypatch.setattr(Warehouse, "append_fact", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
-    with pytest.raises(OSError):
-        go(house, landing)
-    monkeypatch.undo()
-    assert {r.status for r in house.log().where("task_name = 'load'").collect()} == {"RUNNING"}
-    assert go(house, landing, attempt=2)["load"].inserted == 4
-    assert house.fact().count() == 4
+def test_details_and_log(scene):
+    log = {(r.task_name, r.ticker): r for r in scene[0].log("r1").collect()}
+    details = {k: json.loads(r.details) for k, r in log.items() if r.details}
+    assert details["extract", "WARN"] == {"start": "2020-01-01", "rows_fetched": 3}
+    assert details["extract", "NONE"] == {"start": "2020-01-01", "rows_fetched": 0, "reason": "empty_response"}
+    # the summary is taken before returns are checked
+    assert details["transform", "WARN"] == {"ticker": "WARN", "total_issues": 1, "errors": 0, "warnings": 1, "checks_passed": False}
+    assert details["transform", "GOOD"]["checks_passed"] is True
+    assert details["load", "GOOD"] == {"ticker": "GOOD", "attempted": 9}
+    # a ticker without rows, or without clean rows, has no entry for the steps it skipped
+    assert {t for t, n in log if n == "NONE"} == {"extract"} and {t for t, n in log if n == "GONE"} == {"extract", "transform"}
+    assert (log["transform", "GONE"].records_found, log["transform", "GONE"].records_invalid) == (0, 2)
+    start = {r.ticker: json.loads(r.details)["start"] for r in scene[0].log("r2").where("task_name = 'extract'").collect()}
+    assert start["ERRS"] == "2020-01-06" and start["HUGE"] == "2020-01-01"
+
+
+def test_failed_ticker_goes_to_quarantine_alone(scene):
+    house = scene[0]
+    kept = house.quarantine().where("dag_run_id = 'r1'").collect()
+    assert sorted((r.ticker, r.high) for r in kept) == [("HUGE", 30.0), ("HUGE", 1e8)]
+    assert {r.error_message for r in kept} == {"numeric field overflow in column high"}
+    failed = house.log("r1").where("status = 'FAILED'").collect()
+    assert [(r.task_name, r.ticker, r.records_found) for r in failed] == [("load", "HUGE", 0)]
 
 
-def test_constraints_hold_after_runs(house, raw):
-    go(house, both(raw, (1, {}), (1, {}), (2, {"high": 1.0}), (3, {"volume": -1}), (4, {"low": None}), (5, {})), gate=False)
+def test_constraints_hold(scene):
+    house = scene[0]
     log, issues, fact = house.log(), house.issues(), house.fact()
     assert pk_violations(fact, ["date", "ticker"]).count() == 0
     assert pk_violations(issues, ["issue_id"]).count() == pk_violations(log, ["run_id"]).count() == 0
     assert fk_orphans(issues, "run_id", log, "run_id").count() == 0
     assert fk_orphans(fact, "ticker", house.dim(), "ticker").count() == 0
     assert enum_violations(log, "status", STATUSES).count() == 0
-    assert issues.where("resolved").count() == 0 and issues.count() == 8
+    assert issues.where("resolved").count() == 0
 
 
-def test_analyst_sql_over_the_views(spark, house, raw):
-    go(house, both(raw, (1, {}), (2, {"close": 12.0})))
-    house.register()
+def test_analyst_sql_over_the_views(spark, scene):
+    scene[0].register()
     rows = spark.sql("""
         SELECT f.ticker, c.company_name, round(avg(f.close), 2) AS m, count(*) FILTER (WHERE f.daily_return > 0) AS ups
         FROM fact_stock_prices f JOIN dim_company c USING (ticker)
         WHERE f.date >= DATE '2020-01-02' - INTERVAL '90 days' GROUP BY f.ticker, c.company_name ORDER BY 1""").collect()
-    assert [(r.ticker, str(r.m), r.ups) for r in rows] == [("AAA", "11.50", 1), ("BBB", "11.50", 1)]
-    assert spark.sql("SELECT count(*) AS n FROM audit_pipeline_log WHERE status = 'SUCCESS'").first().n == 6
+    assert [(r.ticker, str(r.m), r.ups) for r in rows if r.ticker == "WARN"] == [("WARN", "13.17", 1)]
+    assert spark.sql("SELECT count(*) AS n FROM audit_pipeline_log WHERE status = 'FAILED'").first().n == 2
+
+
+# --- whole runs: one case each ----------------------------------------------
+
+def test_gate(spark, house):
+    landing = bars(spark, [("AAA", 1, {}), ("AAA", 2, {"open": -1.0}), ("AAA", 3, {}), ("AAA", 4, {"volume": 0})])
+    with pytest.raises(reports.GateFailed, match="1 unresolved"):
+        go(house, landing, "r1", "2020-01-04")
+    assert house.fact().count() == 2  # clean rows are stored all the same
+    # a warning passes, and another run's error is no concern of this one
+    assert go(house, landing, "r2")["load"].inserted == 1
+    # tickers without rows can be logged, and an empty run passes
+    again = go(house, landing, "r3", log_empty=True)
+    assert {t: r.found for t, r in again.items()} == {"extract": 0, "transform": 0, "load": 0}
+    assert house.log("r3").count() == 3 * len(TICKERS) and house.log("r3").where("status <> 'SUCCESS'").count() == 0
+
+
+def test_missing_column_fails_the_batch(spark, house):
+    with pytest.raises(reports.GateFailed):
+        go(house, bars(spark, [("AAA", 1, {}), ("BBB", 1, {})]).drop("close"))
+    assert house.fact().count() == 0
+    assert {(r.ticker, r.status) for r in house.log().where("task_name = 'transform'").collect()} == {
+        ("AAA", "FAILED"), ("BBB", "FAILED")}
+    assert [r.check_name for r in house.issues().collect()] == ["missing_columns"] * 2
+    with pytest.raises(MissingDate):
+        go(house, bars(spark, [("AAA", 1, {})]).drop("date"), "r2")
+    assert {r.status for r in house.log("r2").collect()} == {"FAILED"}
 
 
-def test_splitting_a_dirty_landing_at_any_day(spark, house, raw):
-    """Damaged rows at the split are fetched again by the next run and rejected again."""
-    rows = [(1, {}), (2, {}), (3, {"close": None}), (4, {"open": -1.0}), (5, {}), (5, {"close": 1.0}), (6, {})]
-    landing = raw(*rows)
-    got = [go(house, landing, f"r{i}", f"2020-01-0{i}", gate=False) for i in (5, 7)]
-    assert [g["extract"].found for g in got] == [4, 5]
-    assert [g["load"].inserted for g in got] == [2, 2]
-    assert quality.clean_bars(quality.check_bars(landing)).count() == house.fact().count() == 4
+def test_crash_before_the_load_is_repaired_by_a_rerun(spark, house, monkeypatch):
+    landing = bars(spark, [("AAA", 1, {}), ("BBB", 1, {})])
+    monkeypatch.setattr(Warehouse, "append_fact", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        go(house, landing)
+    monkeypatch.undo()
+    assert {r.status for r in house.log().where("task_name = 'load'").collect()} == {"RUNNING"}
+    assert go(house, landing, attempt=2)["load"].inserted == 2
+    assert house.fact().count() == 2
 
 
-def test_one_ticker_at_a_time(house, raw):
-    landing = both(raw, (1, {}), (2, {}))
-    run = Run(house, "r1", "2020-02-01", TS)
-    assert run_ticker(run, landing, "BBB") == {"inserted": 2, "skipped": 0}
-    assert run_ticker(Run(house, "r2", "2020-02-01", TS), landing, "BBB") == {"inserted": 0, "skipped": 0}
+def test_one_ticker_at_a_time(spark, house):
+    landing = bars(spark, [(t, i, {}) for t in ("AAA", "BBB") for i in (1, 2)])
+    assert run_ticker(Run(house, "r1", "2020-02-01", TS, scope="batch"), landing, "BBB") == {"inserted": 2, "skipped": 0}
     with pytest.raises(TickerFailed, match="load of AAA: numeric field overflow"):
-        run_ticker(run, landing.withColumn("high", F.lit(1e8)), "AAA")
+        run_ticker(Run(house, "r2", "2020-02-01", TS), landing.withColumn("high", F.lit(1e8)), "AAA")
     assert {r.ticker for r in house.fact().collect()} == {"BBB"}
 
 
-def test_look_back_reaches_past_a_year_of_silence(house, raw, spark):
+def test_look_back_reaches_past_a_year_of_silence(spark, house):
     """Six rows long ago and two lately: the increment still sees all eight."""
-    old = raw(*[(i, {"close": 10.0 + i}) for i in range(1, 7)])
-    late = raw(*[(i, {"close": 20.0 + i * i}) for i in range(1, 5)]).withColumn("date", F.add_months("date", 36))
+    old = bars(spark, [("AAA", i, {"close": 10.0 + i}) for i in range(1, 7)])
+    late = bars(spark, [("AAA", i, {"close": 20.0 + i * i / 4}) for i in range(1, 5)]).withColumn("date", F.add_months("date", 36))
     landing = old.unionByName(late)
     go(house, landing, "r1", "2023-01-03")
     go(house, landing, "r2", "2023-02-01")
-    whole = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
-    whole.upsert_dim(house.dim().select("ticker", "company_name", "sector"), TS)
-    go(whole, landing, "r1", "2023-02-01")
-    assert house.fact().count() == 10
-    assert sorted(map(tuple, house.fact().collect()), key=str) == sorted(map(tuple, whole.fact().collect()), key=str)
+    wanted = d.as_fact(enrich.add_metrics(landing.drop("src_seq"))).drop("loaded_at")
+    assert sorted(map(tuple, house.fact().select(wanted.columns).collect()), key=str) == sorted(
+        map(tuple, wanted.collect()), key=str)
