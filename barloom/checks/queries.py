@@ -204,7 +204,7 @@ def _resent(spark, sf):
     copies = F.when(F.dayofmonth("date") == 15, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     batch = bars.select("*", F.explode(copies).alias("src_seq")).withColumn(
         "close", F.col("close") + 1 + F.col("src_seq"))
-    return load.mark_existing(load.first_per_key(batch), stored, bars)
+    return load.mark_existing(load.first_per_key(batch), load.stored_keys(stored, bars))
 
 
 @query
@@ -227,8 +227,8 @@ def ticker_isolation(spark, sf):
     huge = (number % 7 == 0) & (F.dayofmonth("date") == 1)
     batch = enrich.add_metrics(bars.withColumn("high", F.when(huge, F.lit(1e8)).otherwise(F.col("high"))))
     known = d.dim(spark, sf).where(F.col("sector") != "NATION_3")
-    return load.prepare_load(batch, known).groupBy("ticker").agg(
-        F.min("load_error").alias("load_error"), F.count(F.lit(1)).alias("n_rows"))
+    failed = load.failed_tickers(batch, known).withColumnRenamed("error_message", "load_error")
+    return bars.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_rows")).join(failed, "ticker", "left")
 
 
 @query

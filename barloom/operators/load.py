@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import as_timestamp
@@ -28,24 +28,29 @@ def first_per_key(batch: DataFrame, order: str = "src_seq") -> DataFrame:
                                    F.count(F.lit(1)).alias("copies"))
 
 
-def mark_existing(batch: DataFrame, fact: DataFrame, dates_from: DataFrame | None = None) -> DataFrame:
+def stored_keys(fact: DataFrame, dates_of: DataFrame) -> DataFrame:
+    """Keys of the fact table within the dates of a batch.
+
+    The bounds are scalar subqueries that Spark turns into scan filters, so other years are not read.
+    For an increment few or no keys are left; staged, their measured size lets Spark broadcast them
+    and leave the batch where it is.
+    """
+    low, high = dates_of.agg(F.min("date")).scalar(), dates_of.agg(F.max("date")).scalar()
+    reachable = fact.where((F.col("date") >= low) & (F.col("date") <= high))
+    if "year" in fact.columns:
+        reachable = reachable.where((F.col("year") >= F.year(low)) & (F.col("year") <= F.year(high)))
+    return reachable.select(*KEY)
+
+
+def mark_existing(batch: DataFrame, keys: DataFrame) -> DataFrame:
     """Flag keys the fact table already has.
 
     One left join gives both the rows to insert and the skipped counts. Both sides are unique on the
-    join key, so it cannot skew. Fact partitions outside the batch's dates are not read: the bounds
-    are scalar subqueries that Spark turns into scan filters. ``dates_from`` names a cheaper frame with
-    the same dates, such as the staged table the batch was made from.
+    join key, so it cannot skew.
     """
     if "copies" not in batch.columns:
         batch = batch.withColumn("copies", F.lit(1).cast("bigint"))
-    dates = batch if dates_from is None else dates_from
-    low = dates.agg(F.min("date")).scalar()
-    high = dates.agg(F.max("date")).scalar()
-    reachable = fact.where((F.col("date") >= low) & (F.col("date") <= high))
-    if "year" in fact.columns:
-        reachable = reachable.where((F.col("year") >= F.year(low)) & (F.col("year") <= F.year(high)))
-    keys = reachable.select(*KEY, F.lit(True).alias("found"))
-    return (batch.join(keys, KEY, "left")
+    return (batch.join(keys.select(*KEY, F.lit(True).alias("found")), KEY, "left")
             .withColumn("stored", F.coalesce("found", F.lit(False))).drop("found"))
 
 
@@ -60,26 +65,26 @@ def load_counts(marked: DataFrame) -> DataFrame:
         attempted.alias("attempted"), inserted.alias("inserted"), (attempted - inserted).alias("skipped"))
 
 
-def prepare_load(batch: DataFrame, dim: DataFrame) -> DataFrame:
-    """Stored types plus ``load_error``, the same for all rows of a ticker.
+def failed_tickers(batch: DataFrame, dim: DataFrame) -> DataFrame:
+    """Tickers that cannot load, with the reason.
 
-    A ticker loads as a whole or not at all, so one bad row fails all its rows and no other's. The
-    spread over a ticker uses the same distribution as the metrics, so right after ``enrich`` it adds
-    no exchange. The dimension side of the join has one row per ticker.
+    A ticker loads as a whole or not at all: one row with a value that does not fit, a missing value or
+    an unknown ticker fails all its rows and no other's. Rows are reduced to one per ticker before the
+    shuffle, and the dimension is joined to those.
     """
-    typed = storage_cast(project(batch, "copies"))
-    known = dim.select("ticker", F.lit(True).alias("known"))
+    typed = storage_cast(project(batch))
     required = [c for c in required_columns("fact_stock_prices") if c in typed.columns]
     missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     too_long = F.char_length("ticker") > TEXT_LIMITS["fact_stock_prices"]["ticker"]
     row_error = (
         F.when(F.col("overflow").isNotNull(), F.concat(F.lit("numeric field overflow in column "), F.col("overflow")))
         .when(missing.isNotNull(), F.concat(F.lit("null value in column "), missing))
-        .when(too_long, F.lit("value too long for column ticker"))
-        .when(F.col("known").isNull(), F.concat(F.lit("ticker "), F.col("ticker"), F.lit(" is not in dim_company"))))
-    return (typed.join(known, "ticker", "left")
-            .withColumn("load_error", F.min(row_error).over(Window.partitionBy("ticker")))
-            .drop("known", "overflow"))
+        .when(too_long, F.lit("value too long for column ticker")))
+    known = dim.select("ticker", F.lit(True).alias("known"))
+    unknown = F.when(F.col("known").isNull(), F.concat(F.lit("ticker "), F.col("ticker"), F.lit(" is not in dim_company")))
+    return (typed.groupBy("ticker").agg(F.min(row_error).alias("row_error")).join(known, "ticker", "left")
+            .select("ticker", F.coalesce("row_error", unknown).alias("error_message"))
+            .where(F.col("error_message").isNotNull()))
 
 
 def fact_rows(rows: DataFrame, run_ts=None) -> DataFrame:

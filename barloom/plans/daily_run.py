@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators import enrich, ingest, load, quality, runlog
+from barloom.operators.constraints import storage_cast
 from barloom.plans import reports
 from barloom.schemas import FIRST_LOAD_DATE
 from barloom.sources.tables import days_back, since, stage
@@ -124,20 +125,19 @@ def _look_back(run: Run, tickers: DataFrame) -> DataFrame | None:
 def load_batch(run: Run, extracted: Extract, enriched: DataFrame) -> DataFrame:
     """Insert the new keys of every ticker that can load; returns counts per ticker.
 
-    The outcome of each row is staged before anything is appended, so inserting cannot change the
-    counts, and a rerun after a crash finds the stored keys and skips them.
+    Failed tickers and stored keys are staged before anything is appended. Inserting therefore cannot
+    change the counts, and a rerun after a crash finds the stored keys and skips them. Both are small
+    as a rule, so the batch itself is shuffled once, into the layout of the fact table.
     """
-    loaded = enriched.select("ticker").distinct()
-    run.start("load", extracted.tickers if run.log_empty else loaded)
-    prepared = load.prepare_load(enriched, run.warehouse.dim())
-    marked = stage(load.mark_existing(prepared, run.warehouse.fact(), enriched))
-    good = marked.where(F.col("load_error").isNull())
-    failed = (marked.where(F.col("load_error").isNotNull())
-              .groupBy("ticker").agg(F.min("load_error").alias("error_message")))
-    run.warehouse.append_fact(load.new_rows(good), run.run_ts)
-    run.warehouse.append("quarantine", enriched.join(failed, "ticker").withColumn(
-        "dag_run_id", F.lit(run.dag_run_id)))
-    counts = load.load_counts(good)
+    house = run.warehouse
+    run.start("load", extracted.tickers if run.log_empty else enriched.select("ticker").distinct())
+    failed = stage(load.failed_tickers(enriched, house.dim()))
+    keys = stage(load.stored_keys(house.fact(), enriched))
+    good = enriched.where(F.col("ticker").isNotNull()).join(failed, "ticker", "left_anti")
+    marked = load.mark_existing(storage_cast(load.project(good)).drop("overflow"), keys)
+    house.append_fact(load.new_rows(marked), run.run_ts)
+    house.append("quarantine", enriched.join(failed, "ticker").withColumn("dag_run_id", F.lit(run.dag_run_id)))
+    counts = load.load_counts(marked)
     outcomes = counts.select(
         "ticker", F.col("attempted").alias("records_found"), F.col("inserted").alias("records_inserted"),
         F.col("skipped").alias("records_skipped"), F.lit(None).cast("string").alias("error_message"),

@@ -90,14 +90,18 @@ def test_storage_cast_rounds_and_flags(spark):
 # --- load -------------------------------------------------------------------
 
 def outcomes(df, dim):
-    return {r.ticker: r.e for r in load.prepare_load(df, dim).groupBy("ticker").agg(F.max("load_error").alias("e")).collect()}
+    return {r.ticker: r.error_message for r in load.failed_tickers(df, dim).collect()}
+
+
+def mark(batch, fact):
+    return load.mark_existing(batch, load.stored_keys(fact, batch))
 
 
 def test_one_bad_row_fails_its_ticker_only(spark, dim):
     df = frame(spark, bar(1), bar(2, high=1e8), bar(1, "BBB"), bar(1, "CCC"), bar(2, "CCC", volume=None),
                bar(1, "DDD"))
     got = outcomes(df, dim)
-    assert got == {"AAA": "numeric field overflow in column high", "BBB": None, "CCC": "null value in column volume",
+    assert got == {"AAA": "numeric field overflow in column high", "CCC": "null value in column volume",
                    "DDD": "ticker DDD is not in dim_company"}
 
 
@@ -111,7 +115,7 @@ def test_first_write_wins_and_counts_add_up(spark):
     batch = spark.createDataFrame(
         [bar(1, close=8.0) + (0,), bar(3, close=3.0) + (2,), bar(3, close=4.0) + (1,), bar(1, "BBB") + (3,)],
         METRIC_BAR + ", src_seq bigint")
-    marked = load.mark_existing(load.first_per_key(batch), fact)
+    marked = mark(load.first_per_key(batch), fact)
     assert sorted((r.ticker, r.date.day, r.close) for r in load.new_rows(marked).collect()) == [("AAA", 3, 4.0), ("BBB", 1, 1.5)]
     assert {r.ticker: (r.attempted, r.inserted, r.skipped) for r in load.load_counts(marked).collect()} == {
         "AAA": (3, 1, 2), "BBB": (1, 1, 0)}
@@ -119,8 +123,8 @@ def test_first_write_wins_and_counts_add_up(spark):
 
 def test_loading_twice_inserts_nothing_the_second_time(spark):
     batch = frame(spark, *[bar(i) for i in range(1, 6)])
-    first = load.new_rows(load.mark_existing(batch, frame(spark)))
-    again = load.load_counts(load.mark_existing(batch, first)).first()
+    first = load.new_rows(mark(batch, frame(spark)))
+    again = load.load_counts(mark(batch, first)).first()
     assert first.count() == 5 and (again.attempted, again.inserted, again.skipped) == (5, 0, 5)
 
 
