@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import MIN_RETURNS_FOR_VOLATILITY, WINDOW_ROWS
+from barloom.sources.tables import before
 
 
 def add_metrics(bars: DataFrame, *extra_keys: str) -> DataFrame:
@@ -54,10 +55,7 @@ def older_rows(fact: DataFrame, recent: DataFrame, tickers: DataFrame, recent_fr
     """
     enough = recent.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
     short = tickers.select("ticker").join(enough, "ticker", "left_anti")
-    before = fact.where(F.col("date") < recent_from)
-    if "year" in fact.columns:
-        before = before.where(F.col("year") <= F.year(recent_from))
-    return last_stored_rows(before.join(short, "ticker", "left_semi"), rows)
+    return last_stored_rows(before(fact, recent_from).join(short, "ticker", "left_semi"), rows)
 
 
 def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "history",

@@ -9,6 +9,7 @@ numbers and schemas only.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from barloom.operators import enrich, ingest, load, quality, runlog
 from barloom.operators.constraints import storage_cast
 from barloom.plans import reports
 from barloom.schemas import FIRST_LOAD_DATE
+from barloom.session import new_scratch
 from barloom.sources.tables import days_back, since, stage
 from barloom.sources.warehouse import Warehouse
 
@@ -46,6 +48,15 @@ class Run:
     attempt: int = 1
     log_empty: bool = False                  # also log transform and load of tickers without rows
 
+    def __post_init__(self) -> None:
+        if not self.dag_run_id:
+            raise ValueError("a run needs an id")
+
+    def stage(self, df: DataFrame, step: str) -> DataFrame:
+        """Stage a table under the run's name, for whoever expires or inspects the shared folder."""
+        name = re.sub(r"[^\w.-]", "_", self.dag_run_id)
+        return stage(df, new_scratch(df.sparkSession, f"{name}/attempt-{self.attempt}/{step}"))
+
     def start(self, task: str, tickers: DataFrame) -> None:
         self.warehouse.append("run_events", runlog.start_events(
             tickers, self.dag_run_id, task, self.run_ts, self.attempt))
@@ -55,8 +66,8 @@ class Run:
             outcomes, self.dag_run_id, task, self.run_ts, self.attempt))
 
     def report(self, issues: DataFrame) -> None:
-        self.warehouse.append("audit_quality_issues", runlog.issue_rows(
-            issues, self.dag_run_id, "transform", self.run_ts, self.attempt))
+        rows = runlog.issue_rows(issues, self.dag_run_id, "transform", self.run_ts, self.attempt)
+        self.warehouse.append("audit_quality_issues", rows.withColumn("dag_run_id", F.lit(self.dag_run_id)))
 
 
 @dataclass(frozen=True)
@@ -68,17 +79,20 @@ class Extract:
 def extract(run: Run, landing: DataFrame, tickers: DataFrame | None = None) -> Extract:
     """Stage the landing rows past each ticker's high-water mark."""
     universe = run.warehouse.dim() if tickers is None else tickers
-    starts = stage(ingest.fetch_starts(universe, ingest.watermarks(run.warehouse.fact()), run.first_load))
+    fact, recent_from = run.warehouse.fact(), days_back(run.as_of, LOOK_BACK_DAYS)
+    recent = run.stage(ingest.watermarks(since(fact, recent_from)), "recent_marks")
+    marks = recent.unionByName(ingest.older_watermarks(fact, recent, universe, recent_from))
+    starts = run.stage(ingest.fetch_starts(universe, marks, run.first_load), "starts")
     run.start("extract", starts)
     if "date" not in landing.columns:
         run.finish("extract", starts.select("ticker", F.lit("column date is missing").alias("error_message")))
         raise MissingDate("column date is missing")
-    batch = stage(ingest.incremental_filter(landing, starts, run.as_of))
+    batch = run.stage(ingest.incremental_filter(landing, starts, run.as_of), "batch")
     fetched = batch.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows_fetched"))
     empty = ingest.empty_extracts(starts, batch, run.as_of).select("ticker", "outcome", "reason")
-    seen = stage(starts.join(fetched, "ticker", "left").join(empty, "ticker", "left")
-                 .select("ticker", "start", F.coalesce("rows_fetched", F.lit(0)).alias("rows_fetched"),
-                         "outcome", "reason"))
+    seen = run.stage(starts.join(fetched, "ticker", "left").join(empty, "ticker", "left")
+                     .select("ticker", "start", F.coalesce("rows_fetched", F.lit(0)).alias("rows_fetched"),
+                             "outcome", "reason"), "tickers")
     run.finish("extract", seen.select(
         "ticker", F.col("rows_fetched").alias("records_found"),
         runlog.details_json(start=F.col("start").cast("string"), rows_fetched=F.col("rows_fetched"),
@@ -100,9 +114,10 @@ def transform(run: Run, extracted: Extract) -> DataFrame | None:
         run.finish("transform", present.select(
             "ticker", F.lit(f"required columns missing: {', '.join(absent)}").alias("error_message")))
         return None
-    checked = stage(quality.check_bars(batch))
-    enriched = stage(enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present)))
-    found = stage(quality.cascade_issues(checked))
+    checked = run.stage(quality.check_bars(batch), "checked")
+    stored = _look_back(run, present)
+    enriched = run.stage(enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=stored), "enriched")
+    found = run.stage(quality.cascade_issues(checked), "issues")
     run.report(found.unionByName(quality.extreme_return_issues(enriched)))
     summary = quality.batch_summary(checked, found)
     outcomes = summary.select(
@@ -118,7 +133,7 @@ def _look_back(run: Run, tickers: DataFrame) -> DataFrame | None:
     if run.scope == "batch":
         return None
     fact, recent_from = run.warehouse.fact(), days_back(run.as_of, LOOK_BACK_DAYS)
-    recent = stage(enrich.last_stored_rows(since(fact, recent_from)))
+    recent = run.stage(enrich.last_stored_rows(since(fact, recent_from)), "look_back")
     return recent.unionByName(enrich.older_rows(fact, recent, tickers, recent_from))
 
 
@@ -131,8 +146,8 @@ def load_batch(run: Run, extracted: Extract, enriched: DataFrame) -> DataFrame:
     """
     house = run.warehouse
     run.start("load", extracted.tickers if run.log_empty else enriched.select("ticker").distinct())
-    failed = stage(load.failed_tickers(enriched, house.dim()))
-    keys = stage(load.stored_keys(house.fact(), enriched))
+    failed = run.stage(load.failed_tickers(enriched, house.dim()), "failed")
+    keys = run.stage(load.stored_keys(house.fact(), enriched), "stored_keys")
     good = enriched.where(F.col("ticker").isNotNull()).join(failed, "ticker", "left_anti")
     marked = load.mark_existing(storage_cast(load.project(good)).drop("overflow"), keys)
     house.append_fact(load.new_rows(marked), run.run_ts)
@@ -166,7 +181,7 @@ def run_daily(run: Run, landing: DataFrame, tickers: DataFrame | None = None, ga
         load_batch(run, extracted, enriched)
     log = run.warehouse.log(run.dag_run_id)
     if gate:
-        reports.enforce_gate(run.warehouse.issues(), log, run.dag_run_id)
+        reports.enforce_gate(run.warehouse.issues(run.dag_run_id), log, run.dag_run_id)
     return reports.run_summary(log, run.dag_run_id)
 
 

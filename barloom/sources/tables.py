@@ -28,6 +28,12 @@ def since(fact: DataFrame, day: Column) -> DataFrame:
     return kept.where(F.col("year") >= F.year(day)) if "year" in fact.columns else kept
 
 
+def before(fact: DataFrame, day: Column) -> DataFrame:
+    """Rows before ``day``, the other side of ``since``."""
+    kept = fact.where(F.col("date") < day)
+    return kept.where(F.col("year") <= F.year(day)) if "year" in fact.columns else kept
+
+
 def days_back(as_of: dt.date | str | Column | None, days: int) -> Column:
     return F.date_sub(as_date(as_of), days)
 

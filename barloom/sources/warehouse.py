@@ -1,8 +1,8 @@
 """The four warehouse tables as Parquet folders.
 
 Facts are laid out by year and, within a year, by ticker range, so date filters prune whole folders
-and ticker filters prune row groups. The run log is stored as events by run date, the issue log is
-append-only, and the dimension is written as whole versions. Nothing is overwritten while it may be
+and ticker filters prune row groups. The run log is stored as events; events and issues lie by run, so
+that a run's summary and gate read that run only. The dimension is written as whole versions. Nothing is overwritten while it may be
 read, and an append becomes visible only when its job commits. One writer at a time is assumed.
 """
 
@@ -20,15 +20,16 @@ from barloom.schemas import DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS
 
 YEAR = T.StructField("year", T.IntegerType())
 VERSION = T.StructField("version", T.IntegerType())
-WHY = [T.StructField("dag_run_id", T.StringType()), T.StructField("error_message", T.StringType())]
+RUN = T.StructField("dag_run_id", T.StringType())
+WHY = [RUN, T.StructField("error_message", T.StringType())]
 
 # folder -> schema, partition column
 LAYOUT = {
     "fact_stock_prices": (T.StructType([*FACT.fields, YEAR]), "year"),
     "dim_company": (T.StructType([*DIM_COMPANY.fields, VERSION]), "version"),
-    "run_events": (RUN_EVENTS, "run_date"),
-    "audit_quality_issues": (ISSUES, None),
-    "quarantine": (T.StructType([*RAW_BARS.fields, *WHY]), None),
+    "run_events": (RUN_EVENTS, "dag_run_id"),
+    "audit_quality_issues": (T.StructType([*ISSUES.fields, RUN]), "dag_run_id"),
+    "quarantine": (T.StructType([*RAW_BARS.fields, *WHY]), "dag_run_id"),
 }
 
 
@@ -43,8 +44,7 @@ class Warehouse:
     def bootstrap(self) -> "Warehouse":
         """Create the tables that do not exist yet; existing ones are left alone."""
         for folder, (schema, by) in LAYOUT.items():
-            writer = self.spark.createDataFrame([], schema).write.mode("ignore")
-            (writer.partitionBy(by) if by else writer).parquet(self.path(folder))
+            self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(by).parquet(self.path(folder))
         return self
 
     def read(self, folder: str) -> DataFrame:
@@ -53,8 +53,7 @@ class Warehouse:
     def append(self, folder: str, rows: DataFrame) -> None:
         schema, by = LAYOUT[folder]
         out = rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
-        writer = out.write.mode("append")
-        (writer.partitionBy(by) if by else writer).parquet(self.path(folder))
+        out.write.mode("append").partitionBy(by).parquet(self.path(folder))
 
     # --- tables -------------------------------------------------------------
 
@@ -83,16 +82,17 @@ class Warehouse:
         merged = upsert_dimension(self.dim(), incoming, run_ts)
         self.append("dim_company", merged.withColumn("version", F.lit(newest + 1)))
 
-    def events(self, dag_run_id: str | None = None) -> DataFrame:
-        events = self.read("run_events")
-        return events if dag_run_id is None else events.where(F.col("dag_run_id") == dag_run_id)
+    def of_run(self, folder: str, dag_run_id: str | None) -> DataFrame:
+        rows = self.read(folder)
+        return rows if dag_run_id is None else rows.where(F.col("dag_run_id") == dag_run_id)
 
     def log(self, dag_run_id: str | None = None) -> DataFrame:
-        """Run log; for one run the events are filtered before they are folded."""
-        return current_state(self.events(dag_run_id))
+        """Run log, of one run or of all."""
+        return current_state(self.of_run("run_events", dag_run_id))
 
-    def issues(self) -> DataFrame:
-        return self.read("audit_quality_issues")
+    def issues(self, dag_run_id: str | None = None) -> DataFrame:
+        """Issue log, of one run or of all."""
+        return self.of_run("audit_quality_issues", dag_run_id).drop("dag_run_id")
 
     def quarantine(self) -> DataFrame:
         return self.read("quarantine")

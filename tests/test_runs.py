@@ -149,7 +149,7 @@ def test_facts_equal_one_clean_load(spark, scene):
 
 def test_issues(scene):
     house = scene[0]
-    got = sorted((r.ticker, r.check_name, r.n) for r in house.issues().join(house.log("r1").select("run_id"), "run_id").groupBy(
+    got = sorted((r.ticker, r.check_name, r.n) for r in house.issues("r1").groupBy(
         "ticker", "check_name").agg(F.count("*").alias("n")).collect())
     assert got == [("ERRS", "duplicate_rows", 1), ("ERRS", "high_lt_low", 1), ("ERRS", "negative_price", 1),
                    ("ERRS", "negative_volume", 1), ("ERRS", "null_values", 1), ("GONE", "negative_price", 1),
@@ -182,6 +182,17 @@ def test_failed_ticker_goes_to_quarantine_alone(scene):
     assert [(r.task_name, r.ticker, r.records_found) for r in failed] == [("load", "HUGE", 0)]
 
 
+def test_a_run_reads_its_own_part_of_the_audit_tables(scene):
+    for df in (scene[0].issues("r1"), scene[0].log("r1")):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dag_run_id" in text and "= r1)]" in text
+
+
+def test_a_run_needs_an_id(house):
+    with pytest.raises(ValueError):
+        Run(house, "")
+
+
 def test_constraints_hold(scene):
     house = scene[0]
     log, issues, fact = house.log(), house.issues(), house.fact()
