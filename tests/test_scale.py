@@ -11,7 +11,7 @@ from barloom.checks.queries import REGISTRY
 from barloom.operators import enrich, ingest, load, quality
 from barloom.plans import reports
 from barloom.session import new_scratch
-from barloom.sources.tables import stage
+from barloom.sources.tables import since, stage
 from barloom.sources.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -103,6 +103,28 @@ def test_watermark_reads_two_columns(house):
     assert "ReadSchema: struct<date:date,ticker:string>" in plan(ingest.watermarks(house.fact()))
 
 
+def test_older_years_are_read_only_for_tickers_that_need_them(spark, house):
+    """With a recent mark and seven recent rows for all tickers, the scan of older years is dropped."""
+    tickers, day = stage(d.dim(spark, SF).select("ticker")), F.lit(dt.date(2000, 1, 1))
+    recent_marks = stage(ingest.watermarks(since(house.fact(), day)))
+    recent_rows = stage(enrich.last_stored_rows(since(house.fact(), day)))
+    for df in (ingest.older_watermarks(house.fact(), recent_marks, tickers, day),
+               enrich.older_rows(house.fact(), recent_rows, tickers, day)):
+        assert df.count() == 0
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        assert "EmptyRelation" in final and "FileScan" not in final
+    # one silent ticker is found in the older years, and only that one
+    late = day_of(house, "S000000003")
+    marks = stage(ingest.watermarks(house.fact().where("ticker <> 'S000000003'")))
+    got = ingest.older_watermarks(house.fact(), marks, tickers, F.lit(dt.date(2002, 1, 1))).collect()
+    assert [tuple(r) for r in got] == [("S000000003", late)]
+
+
+def day_of(house, ticker):
+    return house.fact().where(F.col("ticker") == ticker).agg(F.max("date")).first()[0]
+
+
 def test_fact_files_are_clustered_by_year_and_ticker(spark, house):
     files = house.fact().select("year", "ticker", F.input_file_name().alias("file"))
     per_file = files.groupBy("file").agg(F.countDistinct("year").alias("years"))

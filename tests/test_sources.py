@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom import session
-from barloom.operators import quality
+from barloom.operators import ingest, quality
 from barloom.sources.landing import flat_name, normalise_columns, read_landing
 from barloom.sources.tables import lookup, stage
 
@@ -128,3 +128,17 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(RuntimeError):
         session.shared_folder(FakeSession(None, "yarn"))
     assert session.shared_folder(FakeSession(None, "local[4]"))
+
+
+def test_date_filters_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    df.write.parquet(str(tmp_path / "parquet"))
+    starts = stage(df.select("ticker", F.lit(dt.date(2020, 1, 3)).alias("start")).distinct())
+    got = ingest.incremental_filter(read_landing(spark, str(tmp_path / "parquet")), starts, "2020-01-06")
+    assert sorted(r.date.day for r in got.collect()) == [3, 4, 5]
+    assert "GreaterThanOrEqual(Date,ScalarSubquery" in got._jdf.queryExecution().executedPlan().toString()
+    # a folder per day, in a format whose rows are numbered by Spark
+    df.write.partitionBy("Date").option("header", True).csv(str(tmp_path / "csv"))
+    got = read_landing(spark, str(tmp_path / "csv"), "csv", where="date >= DATE'2020-01-06'")
+    assert sorted(r.date.day for r in got.collect()) == [6, 7]
+    assert "PartitionFilters: [isnotnull(Date" in got._jdf.queryExecution().executedPlan().toString()
