@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -57,3 +58,8 @@ def lower_ascii(text):
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
         F.translate(text, upper, upper.lower()))
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python process, for tables that tasks of one worker share."""
+    return sys.__dict__.setdefault("_barloom_cache", {})

@@ -11,6 +11,8 @@ import re
 
 import numpy as np
 
+from barloom.llm.common import worker_cache
+
 SPACES = b" \t\n\v\f\r"
 WIDE = 1 << 22  # bytes hashed at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -27,28 +29,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_MADE: dict = {}  # tables of a worker process
-
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
-    if "bytes" in _MADE:
-        return _MADE["bytes"]
+    made = worker_cache()
+    if "shingle bytes" in made:
+        return made["shingle bytes"]
     is_space = np.zeros(256, dtype=bool)
     is_space[list(SPACES)] = True
-    _MADE["bytes"] = is_space, mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP)
-    return _MADE["bytes"]
+    made["shingle bytes"] = is_space, mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP)
+    return made["shingle bytes"]
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if _MADE.get("size", 0) >= size:
-        return _MADE["powers"]
+    made = worker_cache()
+    if made.get("shingle size", 0) >= size:
+        return made["shingle powers"]
     out = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.full(size, base, dtype=np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
-    _MADE["size"], _MADE["powers"] = size, (out[0], out[1])
-    return _MADE["powers"]
+    made["shingle size"], made["shingle powers"] = size, (out[0], out[1])
+    return made["shingle powers"]
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
