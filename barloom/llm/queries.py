@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import table
 from barloom.llm.decontam import benchmark_hits
+from barloom.llm.extract import extract_text
+from barloom.llm.lattice import near_embeddings
 from barloom.llm.licenses import license_scan
 from barloom.llm.lines import dedup_lines
 from barloom.llm.ngram_join import ngram_components
 from barloom.llm.packing import pack
+from barloom.llm.quality import classify
 from barloom.llm.tokens import token_counts
 from barloom.llm.urls import judge_urls, rule_table
 
@@ -33,12 +36,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), k=3, least="0.9")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, min_docs=10, min_chars=1).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
 
@@ -74,7 +89,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_ngram_jaccard_join, op4_line_dedup, op6_url_filters, op7_packing, op8_license_scans,
+        op1_ngram_jaccard_join, op2_quality_classifier, op3_embedding_near_dedup, op4_line_dedup,
+        op5_html_extraction, op6_url_filters, op7_packing, op8_license_scans,
         op9_benchmark_decontamination, op10_token_counts)
 }
 

@@ -1,8 +1,75 @@
-"""The text pipeline: each stage works on what its predecessor kept."""
+"""The text pipeline: five stages over documents, each working on what its predecessor kept."""
 
-STAGES: list = []
-ORACLE_SQL = None
+from __future__ import annotations
 
+import os
+import sys
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from barloom.llm.common import table  # noqa: E402
+from barloom.llm.decontam import benchmark_hits  # noqa: E402
+from barloom.llm.lines import dedup_lines  # noqa: E402
+from barloom.llm.ngram_join import ngram_components  # noqa: E402
+from barloom.llm.quality import classify  # noqa: E402
+from barloom.llm.queries import packed  # noqa: E402
+from barloom.sources.tables import stage  # noqa: E402
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    judged = classify(docs, table(spark, sf_dir, "labels"), keep=COLUMNS)
+    return judged.where("accepted").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share; n_chars follows the text."""
+    return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest doc_id.
+
+    Of rows that repeat a doc_id one stays. Rows without a doc_id cannot be told apart and all stay.
+    """
+    found = stage(ngram_components(docs, k=5, least="0.8"))
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    twice = stage(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    return left.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(
+        left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words stands in benchmark passages."""
+    found = benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS)
+    return found.where("NOT contaminated").select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in sequences."""
+    return packed(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
+
+ORACLE_SQL = None  # SQL can express neither the classifier nor the tokenizer
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the documents; each is written and read again before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
