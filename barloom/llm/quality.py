@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only, pieces
+from barloom.llm.shingles import shingle_sets
 from barloom.llm.words import folded
 from barloom.sources.tables import stage
 
@@ -108,12 +109,22 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                "bad": pa.array([bad[t] for t in n], pa.int64())})
 
 
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest and the largest shingle hash of each text: copies and near-copies mostly share one."""
+    for part in pieces(batches, "text"):
+        sets = shingle_sets(part.column("text").to_pylist(), 3)
+        ends = [(int(s[0].astype(np.int64)), int(s[-1].astype(np.int64))) if len(s) else (0, 0) for s in sets]
+        yield pa.record_batch({"doc_id": part.column("doc_id"), "first": pa.array([e[0] for e in ends], pa.int64()),
+                               "last": pa.array([e[1] for e in ends], pa.int64())})
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int = 4_000) -> Evidence:
     """The document classifier, from at most ``sample`` labelled documents, chosen by hash of their doc_id.
 
-    Tokens that toxic documents have far more often than chance (eight standard deviations, in over half
-    of their documents) form a lexicon of at most ``lexicon_size``; counts are grouped by token in Spark.
-    Numbers about style and lexicon hits, at most ``sample`` rows of eleven, are fitted on the driver.
+    Tokens that toxic documents have far more often than chance allows, with all tokens tried (divergence
+    of counts from the common rate), form a lexicon of at most ``lexicon_size``. Counts are grouped by
+    token in Spark, over one document of each group of copies, as the words of a text copied many times
+    would all seem telling. Numbers about style and lexicon hits, at most ``sample`` rows of eleven, are fitted on the driver.
     """
     marks = (only(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL").groupBy("doc_id")
              .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -124,12 +135,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
     lexicon: dict[bytes, float] = {}
     if size and bad and bad < size:
         rate = bad / size
-        expected = F.col("n") * rate
-        counts = (chosen.where("toxic IS NOT NULL").select("text", "toxic")
-                  .mapInArrow(_token_counts, "token binary, n long, bad long")
-                  .groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-        far = ((F.col("bad") - expected) / F.sqrt(expected * (1 - rate))).alias("far")
-        top = (counts.select("token", "n", "bad", far).where("far >= 8 AND bad * 2 > n")
+        id_type = dict(chosen.dtypes)["doc_id"]
+        keys = stage(chosen.where("toxic IS NOT NULL").select("doc_id", "text")
+                     .mapInArrow(_copy_keys, f"doc_id {id_type}, first long, last long"))
+        for key in ("first", "last"):  # at most `sample` rows
+            keys = keys.join(keys.groupBy(key).agg(F.min("doc_id").alias("doc_id")), [key, "doc_id"], "left_semi")
+        counts = stage(chosen.join(F.broadcast(keys.select("doc_id")), "doc_id", "left_semi").select("text", "toxic")
+                       .mapInArrow(_token_counts, "token binary, n long, bad long")
+                       .groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n >= 4"))
+        share = F.col("bad") / F.col("n")
+        far = F.col("n") * (share * F.log(share / rate) + F.when(F.col("bad") < F.col("n"), (1 - share) * F.log(
+            (1 - share) / (1 - rate))).otherwise(0.0))
+        tried = counts.count()
+        top = (counts.where("bad * 2 > n").withColumn("far", far).where(F.col("far") >= math.log(2 * max(tried, 1)))
                .orderBy(F.desc("far"), "token").limit(lexicon_size).collect())
         prior = math.log(rate / (1 - rate))
         lexicon = {bytes(r["token"]): math.log((r["bad"] + 0.5) / (r["n"] - r["bad"] + 0.5)) - prior for r in top}
