@@ -7,7 +7,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only, pieces
@@ -15,22 +15,32 @@ from barloom.llm.graph import components
 from barloom.llm.shingles import set_identity, shingle_sets
 from barloom.sources.tables import stage
 
+BITS = 1 << 22  # of the bitmap that chooses texts
+SPARSE = 16  # documents of a column whose pairs are counted one by one
+TILE_ROWS, TILE_GRAMS = 1024, 1 << 20  # of one block of a tile, about
+COLUMNS = 2048  # multiplied at once
 
-def bounds(n: int, least: Fraction) -> tuple[int, int, int]:
-    """``(width, shared, dropped)`` for a set of ``n`` n-grams and a smallest Jaccard similarity.
+
+def bounds(n: int, least: Fraction) -> tuple[int, int, int, int]:
+    """``(width, shared, dropped, fewest)`` for a set of ``n`` n-grams and a smallest Jaccard similarity.
 
     A partner shares at least ``need = ceil(least * n)`` n-grams with it. So two partners' first
     ``n - need + shared`` n-grams, in one order for all documents, have ``shared`` or more in common:
     this is the block of columns that is multiplied first. Of it, a document may leave out its
-    ``dropped`` most frequent columns: fewer than any partner must share.
+    ``dropped`` most frequent columns: fewer than any partner must share. It then still shares
+    ``fewest`` columns or more with any partner.
     """
-    def shared_of(m: int) -> int:
-        need = -(-least.numerator * m // least.denominator)
-        return min(need, 1 + (m - need + 1) // 3)
+    def need(m: int) -> int:
+        return -(-least.numerator * m // least.denominator)
+
+    def shared(m: int) -> int:
+        return min(need(m), 1 + (m - need(m) + 1) // 2)
 
-    need = -(-least.numerator * n // least.denominator)
-    shared = shared_of(n)
-    return n - need + shared, shared, 2 * (shared_of(need) - 1) // 3
+    def dropped(m: int) -> int:
+        return (shared(need(m)) - 1) // 2
+
+    largest = n * least.denominator // least.numerator
+    return n - need(n) + shared(n), shared(n), dropped(n), max(1, shared(need(n)) - dropped(largest))
 
 
 def _first_block(k: int, least: Fraction):
@@ -49,14 +59,20 @@ def _first_block(k: int, least: Fraction):
                 "id2": pa.array([i[1] for i in ids], pa.int64()),
                 "shared": pa.array([f[1] for f in facts], pa.int32()),
                 "dropped": pa.array([f[2] for f in facts], pa.int32()),
+                "fewest": pa.array([f[3] for f in facts], pa.int32()),
                 "grams": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
             })
     return run
 
 
-def _whole_rows(k: int):
+def _whole_rows(k: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
         for part in pieces(batches, "text"):
+            part = part.filter(pa.array([h is not None and bool(bits[h >> 6] >> (h & 63) & 1)
+                                         for h in part.column("bit").to_pylist()], pa.bool_()))
+            if not part.num_rows:
+                continue
             sets = shingle_sets(part.column("text").to_pylist(), k)
             ids = [set_identity(s) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -69,24 +85,68 @@ def _whole_rows(k: int):
     return run
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, least: Fraction) -> DataFrame:
-    """The pairs whose sets reach the similarity: the product over the remaining columns.
+def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Whole incidence rows ``(doc_id, grams)`` of the wanted documents alone.
 
-    Whole incidence rows are made only for documents of a pair that the first block left over.
+    A bitmap of ``BITS`` bits over hashed doc_ids, broadcast, spares most other texts the work and all
+    texts the shuffle; the join after it is exact.
     """
-    pairs = stage(pairs.select("a", "b"))
-    wanted = (pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-              .distinct().join(reps.select("doc_id", "id1", "id2"), "doc_id"))
-    texts = docs.join(wanted.select("doc_id"), "doc_id", "left_semi")
-    rows = texts.mapInArrow(_whole_rows(k), "doc_id long, id1 long, id2 long, grams array<long>")
-    rows = stage(rows.join(wanted, ["doc_id", "id1", "id2"], "left_semi").select("doc_id", "grams"))
-    one = rows.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
-    two = rows.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    overlap = pairs.join(one, "a").join(two, "b").select(
-        "a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("either"))
-    return stage(overlap.where(F.col("both") * least.denominator >= F.col("either") * least.numerator)
-                 .select("a", "b").distinct())
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    wanted = stage(wanted.distinct().join(reps.select("doc_id", "id1", "id2"), "doc_id"))
+    words = (wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("value")).collect())  # BITS / 64 rows at the most
+    bits = [0] * (BITS >> 6)
+    for r in words:
+        bits[r["word"]] = r["value"]
+    sent = docs.sparkSession.sparkContext.broadcast(np.array(bits, dtype=np.int64))
+    rows = docs.withColumn("bit", bit).mapInArrow(
+        _whole_rows(k, sent), "doc_id long, id1 long, id2 long, grams array<long>")
+    return stage(rows.join(wanted, ["doc_id", "id1", "id2"], "left_semi").select("doc_id", "grams"))
+
+
+def _product(least: Fraction):
+    """Links of one tile: the product of its incidence rows, columns in blocks, overlap counts added up.
+
+    Of the links found, those that join the tile's rows into the same groups as all of them.
+    """
+    def run(tile: pa.Table) -> pa.Table:
+        names = tile.column("doc_id").to_numpy()
+        left = tile.column("left").to_numpy(zero_copy_only=False)
+        right = tile.column("right").to_numpy(zero_copy_only=False)
+        parts = [np.asarray(g) for g in tile.column("grams").combine_chunks().to_numpy(zero_copy_only=False)]
+        sizes = np.array([len(g) for g in parts])
+        grams, column = np.unique(np.concatenate(parts), return_inverse=True)
+        row = np.repeat(np.arange(len(parts)), sizes)
+        held = np.bincount(column, minlength=len(grams)) > 1  # other columns make no product
+        number = np.cumsum(held) - 1
+        row, column = row[held[column]], number[column[held[column]]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        overlap = np.zeros((len(parts), len(parts)), dtype=np.float32)
+        for low in range(0, int(held.sum()), COLUMNS):
+            a, b = np.searchsorted(column, (low, low + COLUMNS))
+            block = np.zeros((len(parts), COLUMNS), dtype=np.float32)
+            block[row[a:b], column[a:b] - low] = 1
+            overlap += block @ block.T
+        either = sizes[:, None] + sizes[None, :] - overlap
+        near = overlap * least.denominator >= either * least.numerator
+        near &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
+        group = np.arange(len(parts))
+
+        def top(i: int) -> int:
+            while group[i] != i:
+                group[i] = group[group[i]]
+                i = group[i]
+            return i
+
+        links = []
+        for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
+            x, y = top(i), top(j)
+            if x != y:
+                group[y] = x
+                links.append((names[i], names[j]))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+    return run
 
 
 def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8") -> DataFrame:
@@ -98,58 +158,104 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     The links are entries of the product of the sparse document-by-n-gram matrix with its transpose,
     computed in blocks. Equal sets are one row of it. The columns are ordered by n-gram hash and
     every row's first block is multiplied first (see ``bounds``): n-grams that one document has make
-    no product, overlap counts are added up by pair, and pairs below the size-derived bounds go.
-    What is left is multiplied over whole rows and compared exactly. Dense columns, such as those of
-    a large group of copies, are multiplied in two steps so that no column emits all its pairs: first
-    every document with the column's best connected one, then only pairs of documents that lie in
-    different components by then. The second step leaves out no pair that could add a link between
-    components, so components are those of all links. No candidate is capped.
+    no product, and documents that share too few columns to have a partner go. For columns of up to ``SPARSE`` documents, overlap counts are added up by pair, pairs
+    below the size-derived bounds go, and the rest is compared over whole rows. A pair that shares any
+    denser column, such as those of a large group of copies, is left to these: no dense column emits
+    its pairs. First every document is compared with the column's best connected one, the pivot. Then
+    all columns of a pivot form one group of rows, those outside its largest component are multiplied
+    with all others in tiles of bounded size, whole rows at a time, and a tile returns only links that
+    join its rows. So every pair is compared whose link could join two components: components are
+    those of all links. No candidate is capped.
 
     Documents whose text is null, empty or without words have ``n_shingles`` 0 and are linked with
-    nothing. A null doc_id is kept in its row; it takes part in equal sets only through others, and
-    its component is then theirs. Rows of one doc_id with different texts are one node with several
+    nothing. A null doc_id is kept in its row; where others have an equal set its component is theirs,
+    else it is null and the row links nothing. Rows of one doc_id with different texts are one node with several
     sets. Repeated rows are returned repeatedly. Columns other than doc_id and text are ignored.
     """
     least = Fraction(least)
     docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sets = stage(docs.mapInArrow(_first_block(k, least), "doc_id long, n long, id1 long, id2 long, "
-                                                         "shared int, dropped int, grams array<long>"))
+                                                         "shared int, dropped int, fewest int, grams array<long>"))
     classes = stage(sets.where("n > 0").groupBy("n", "id1", "id2").agg(F.min("doc_id").alias("rep")))
     reps = stage(classes.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "n", "id1", "id2"))
 
     # one row of the matrix for each class: its first block, by column
-    rows = sets.join(reps, ["doc_id", "n", "id1", "id2"], "left_semi").dropDuplicates(["doc_id", "id1", "id2"])
-    entries = rows.select("doc_id", "n", "shared", "dropped", "id1", F.explode("grams").alias("gram"))
-    dense = (entries.groupBy("gram").agg(F.count("*").alias("column_size")).where("column_size > 1"))
-    held = stage(entries.join(dense, "gram"))
-    by_row = held.groupBy("doc_id", "id1").agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("column_size")).alias("s"), "gram"))).alias("heavy"),
-        F.sum("column_size").alias("reach"), F.first("n").alias("n"), F.first("shared").alias("shared"),
-        F.first("dropped").alias("dropped"))
-    index = stage(by_row.select("doc_id", "n", "shared", "dropped", "reach", F.explode(F.slice(
-        "heavy", F.col("dropped") + 1, F.size("heavy"))).alias("entry"))
-        .select("doc_id", "n", "shared", "dropped", "reach", F.col("entry.gram").alias("gram")))
-
-    # each document of a column with the column's best connected document
-    best = index.groupBy("gram").agg(F.max(F.struct("reach", "doc_id", "n", "shared", "dropped")).alias("p"),
-                                     F.count("*").alias("c")).where("c > 1")
-    with_best = index.join(best.select("gram", "p"), "gram").where("p.doc_id <> doc_id").select(
-        F.least("doc_id", "p.doc_id").alias("a"), F.greatest("doc_id", "p.doc_id").alias("b"),
-        *_sizes("n", "p.n", "shared", "p.shared", "dropped", "p.dropped"))
-    first = _verified(_bounded(with_best, least, 3), reps, docs, k, least)
-    found = stage(components(first))
-
-    # pairs of a column between different components
-    named = index.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    open_columns = (named.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo <> hi").select("gram"))
-    left = stage(named.join(open_columns, "gram", "left_semi"))
-    x, y = left.alias("x"), left.alias("y")
-    crossing = x.join(y, "gram").where("x.doc_id < y.doc_id AND x.component <> y.component").select(
-        F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"),
-        *_sizes("x.n", "y.n", "x.shared", "y.shared", "x.dropped", "y.dropped"))
-    second = _verified(_bounded(crossing, least, 1), reps, docs, k, least)
+    rows = stage(sets.join(reps, ["doc_id", "n", "id1", "id2"], "left_semi").dropDuplicates(["doc_id", "id1", "id2"])
+                 .select("doc_id", "n", "shared", "dropped", "fewest", "grams"))
+    facts = stage(rows.groupBy("doc_id").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"),
+                                             F.min("shared").alias("shared"), F.min("dropped").alias("dropped"),
+                                             F.min("fewest").alias("fewest")))
+    entries = rows.select("doc_id", F.explode("grams").alias("gram"))
+    dense = entries.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
+    by_row = entries.join(dense, "gram").groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("s"), "gram"))).alias("heavy"),
+        F.sum("size").alias("reach"))
+    lightest = F.slice("heavy", F.col("dropped") + 1, F.size("heavy"))
+    index = stage(by_row.join(facts.select("doc_id", "dropped", "fewest"), "doc_id").withColumn("light", lightest)
+                  .where("size(light) >= fewest")
+                  .select("doc_id", "reach", "fewest", F.explode("light").alias("entry"))
+                  .select("doc_id", "reach", "fewest", F.col("entry.gram").alias("gram")))
+    # columns that only rows with too few others had are gone by now; rows that lived on them go too
+    alive = index.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1").select("gram")
+    index = index.join(alive, "gram")
+    enough = index.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("fewest").alias("f")).where("c >= f").select("doc_id")
+    index = stage(index.join(enough, "doc_id").select("doc_id", "reach", "gram"))
+    columns = stage(index.groupBy("gram").agg(F.count("*").alias("size"), F.max(F.struct("reach", "doc_id")).alias("best"))
+                    .where("size > 1").select("gram", "size", F.col("best.doc_id").alias("pivot")))
+
+    # all pairs of sparse columns
+    sparse = index.join(columns.where(F.col("size") <= SPARSE), "gram").select("gram", "doc_id")
+    pairs = (sparse.alias("x").join(sparse.alias("y"), "gram").where("x.doc_id < y.doc_id")
+             .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("overlap")))
+    # each document of a dense column with the column's pivot
+    members = stage(index.join(columns.where(F.col("size") > SPARSE), "gram")
+                    .groupBy("pivot", "doc_id").agg(F.count("*").alias("overlap")))
+    with_pivot = members.where("pivot <> doc_id").select(
+        F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b"), F.col("overlap") * 3)
+    pairs = stage(_bounded(pairs.union(with_pivot), facts, least))
+    rows = _rows_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id")),
+                    reps, docs, k)
+    one = rows.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
+    two = rows.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
+    both = F.size(F.array_intersect("x", "y")).cast("long")
+    first = stage(pairs.join(one, "a").join(two, "b")
+                  .select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("either"))
+                  .where(F.col("both") * least.denominator >= F.col("either") * least.numerator)
+                  .select("a", "b").distinct())
+    found = stage(components(first)).withColumnRenamed("node", "doc_id")
+
+    # groups of a pivot that hold several components, in tiles
+    named = members.join(found, "doc_id", "left").select(
+        "pivot", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    main = (named.groupBy("pivot", "component").agg(F.count("*").alias("c"))
+            .groupBy("pivot").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts"))
+            .where("parts > 1"))
+    open_rows = stage(named.join(main, "pivot").join(facts.select("doc_id", "n_max"), "doc_id").select(
+        "pivot", "doc_id", "n_max", (F.col("component") == F.col("main")).alias("inner")))
+
+    def tiles_for(inner: str) -> Column:
+        wide = F.greatest(F.count_if(F.expr(inner)) / TILE_ROWS, F.coalesce(F.sum(F.when(F.expr(inner), F.col("n_max"))), F.lit(0)) / TILE_GRAMS)
+        return F.ceil(wide).cast("int")
+
+    counts = open_rows.groupBy("pivot").agg(tiles_for("inner").alias("ins"), tiles_for("NOT inner").alias("outs"))
+    # an outer row of block i meets inner blocks as (i, -j) and other outer blocks as (min, max), those of its own block
+    # in the first of these tiles; an inner row meets every outer block
+    block = F.pmod(F.xxhash64("doc_id"), F.when(F.col("inner"), F.col("ins")).otherwise(F.col("outs"))).cast("int")
+    outers = F.sequence(F.lit(0), F.col("outs") - 1)
+    inners = F.when(F.col("ins") > 0, F.sequence(F.lit(1), F.col("ins"))).otherwise(F.array().cast("array<int>"))
+
+    def tile(i, j, is_left, is_right):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), is_left.alias("left"), is_right.alias("right"))
+
+    yes, no = F.lit(True), F.lit(False)
+    met = F.when(F.col("inner"), F.transform(outers, lambda o: tile(o, -(F.col("block") + 1), no, yes))).otherwise(
+        F.concat(F.transform(inners, lambda v: tile(F.col("block"), -v, yes, v == 1)),
+                 F.transform(F.filter(outers, lambda o: (o != F.col("block")) | (F.col("ins") == 0)),
+                             lambda o: tile(F.least("block", o), F.greatest("block", o),
+                                            F.col("block") <= o, F.col("block") >= o))))
+    placed = (open_rows.join(counts, "pivot").withColumn("block", block)
+              .select("pivot", "doc_id", F.explode(met).alias("t")).select("pivot", "doc_id", "t.*"))
+    second = stage(placed.join(rows, "doc_id").groupBy("pivot", "i", "j").applyInArrow(_product(least), "a long, b long"))
     found = components(first.unionByName(second)).withColumnRenamed("node", "rep")
 
     named = classes.join(found, "rep", "left").select(
@@ -159,16 +265,12 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
                     F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _sizes(n1, n2, s1, s2, d1, d2) -> list:
-    return [F.least(n1, n2).alias("n_small"), F.greatest(n1, n2).alias("n_large"),
-            F.greatest(F.lit(1), F.least(s1, s2) - F.greatest(d1, d2)).alias("needed")]
-
-
-def _bounded(products: DataFrame, least: Fraction, slack: int) -> DataFrame:
-    """Overlap counts of the first block by pair, without pairs below the bounds that their sizes give.
-
-    ``slack`` over 1 divides the bound, for products that do not see all columns of a pair.
-    """
-    sized = products.where(F.col("n_small") * least.denominator >= F.col("n_large") * least.numerator)
-    return (sized.groupBy("a", "b", "n_small", "n_large", "needed").agg(F.count("*").alias("overlap"))
-            .where(F.col("overlap") * slack >= F.col("needed")))
+def _bounded(overlaps: DataFrame, facts: DataFrame, least: Fraction) -> DataFrame:
+    """Pairs ``(a, b)`` whose first-block overlap reaches the bound that their sizes give."""
+    one = facts.select(F.col("doc_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in facts.columns[1:]])
+    two = facts.select(F.col("doc_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in facts.columns[1:]])
+    needed = F.least("a_shared", "b_shared") - F.greatest("a_dropped", "b_dropped")
+    small, large = F.least("a_n_max", "b_n_max"), F.greatest("a_n_min", "b_n_min")
+    return (overlaps.join(one, "a").join(two, "b")
+            .where((F.col("overlap") >= needed) & (small * least.denominator >= large * least.numerator))
+            .select("a", "b").distinct())
