@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -60,6 +61,15 @@ def lower_ascii(text):
         F.translate(text, upper, upper.lower()))
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python process, for tables that tasks of one worker share."""
-    return sys.__dict__.setdefault("_barloom_cache", {})
+def worker_cache(use: str) -> dict:
+    """A dictionary that lives as long as the Python process, for tables that its tasks share.
+
+    It holds the tables of one use at a time: those of another operator are dropped, so a worker that
+    serves many operators needs no more memory than the largest of them.
+    """
+    held = sys.__dict__.setdefault("_barloom_cache", {})
+    if use not in held:
+        held.clear()
+        gc.collect()
+        held[use] = {}
+    return held[use]

@@ -84,7 +84,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = 13, keep:
     names_sent = docs.sparkSession.sparkContext.broadcast(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
+        cache = worker_cache("benchmark")
         if key not in cache:
             cache[key] = _automaton(sent.value), names_sent.value
         auto, held = cache[key]

@@ -124,7 +124,7 @@ def read_tag(rest: str) -> tuple[str, list[str]] | None:
 
 
 def _automaton() -> ahocorasick.Automaton:
-    cache = worker_cache()
+    cache = worker_cache("licences")
     if "licences" not in cache:
         auto = ahocorasick.Automaton()
         for phrase in {*BASE_PHRASES, *NOTICE_PHRASES, TAG}:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import lower_ascii
+from barloom.llm.common import lower_ascii, only
 
 BLANK = " \t\n\x0b\x0c\r"
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """The documents with ``text`` rebuilt from its kept lines, and ``n_lines`` and ``n_dropped``.
+def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
+                keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of the documents with ``text`` rebuilt from its kept lines, and ``n_lines`` and ``n_dropped``.
 
     A line's key is the line without blanks at both ends and with A-Z lower-cased. Keys of at least
     ``min_chars`` code points that occur in at least ``min_docs`` rows lose all their lines everywhere;
@@ -22,10 +23,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
     come back to their document, which rebuilds its text from its own lines: no text is exploded.
 
     A null or empty text is one empty line and stays an empty text. Each row is a document of its own:
-    repeated rows and repeated or null doc_ids count separately. Other columns are passed on; a column
-    ``n_lines`` or ``n_dropped`` of the input is replaced. A table without rows gives none.
+    repeated rows and repeated or null doc_ids count separately. Other columns than doc_id, text and
+    ``keep`` are ignored. A table without rows gives none.
     """
-    docs = docs.withColumns({
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in ("text", "n_lines", "n_dropped"))
+    docs = only(docs, *dict.fromkeys((*keep, "doc_id", "text"))).withColumns({
         "__text": F.coalesce(F.col("text"), F.lit("")),
     }).withColumn("__row", F.struct(F.col("doc_id").alias("i"), F.xxhash64("__text").alias("h")))
     lines = F.split("__text", "\n", -1)
@@ -54,4 +56,4 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
         "n_lines": F.size(lines).cast("long"),
         "n_dropped": F.greatest(F.size(F.coalesce("__dropped", empty)), F.lit(0)).cast("long"),
     })
-    return out.drop("__text", "__row", "__i", "__h", "__dropped")
+    return out.select(*keep, "text", "n_lines", "n_dropped")

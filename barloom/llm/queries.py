@@ -45,8 +45,7 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, min_docs=10, min_chars=1).select(
+    return dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

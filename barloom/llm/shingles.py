@@ -14,7 +14,7 @@ import numpy as np
 from barloom.llm.common import worker_cache
 
 SPACES = b" \t\n\v\f\r"
-WIDE = 1 << 22  # bytes hashed at once
+WIDE = 1 << 21  # bytes hashed at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 
@@ -31,7 +31,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
-    made = worker_cache()
+    made = worker_cache("shingles")
     if "shingle bytes" in made:
         return made["shingle bytes"]
     is_space = np.zeros(256, dtype=bool)
@@ -41,7 +41,7 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    made = worker_cache()
+    made = worker_cache("shingles")
     if made.get("shingle size", 0) >= size:
         return made["shingle powers"]
     out = []

@@ -13,14 +13,15 @@ from collections.abc import Callable
 
 from barloom.llm.common import worker_cache
 
-CACHED = 400_000
+CACHED = 150_000  # units, found again by one look-up
+PARTS = 400_000  # parts of units, each costs an encoding
 # letters, then other ASCII signs: pre-tokenizers of this family always part the two
 _PARTS = re.compile(r"(\s?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 def load(path: str):
     """The tokenizer of a file, loaded once in a process."""
-    cache = worker_cache()
+    cache = worker_cache("units")
     if ("tokenizer", path) not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -54,7 +55,7 @@ class Units(dict):
             text = text.lower()
         found = self.parts.get(text)
         if found is None:
-            if len(self.parts) >= CACHED:
+            if len(self.parts) >= PARTS:
                 self.parts.clear()
             found = self.parts[text] = self.encode(text)
         return found
@@ -75,7 +76,7 @@ class Units(dict):
 
 def units(path: str, name: str, fold: Callable[[list[int]], object], fold_case: bool) -> Units:
     """The process's cache for one tokenizer and use."""
-    cache = worker_cache()
+    cache = worker_cache("units")
     if (name, path) not in cache:
         cache[name, path] = Units(path, fold, fold_case)
     return cache[name, path]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from barloom.llm.common import table  # noqa: E402
+from barloom.llm.common import only, table  # noqa: E402
 from barloom.llm.decontam import benchmark_hits  # noqa: E402
 from barloom.llm.lines import dedup_lines  # noqa: E402
 from barloom.llm.ngram_join import ngram_components  # noqa: E402
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten or more of them share; n_chars follows the text."""
-    return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    return dedup_lines(docs, keep=COLUMNS).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = stage(ngram_components(docs, k=5, least="0.8"))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    left = only(docs, *COLUMNS).join(gone, "doc_id", "left_anti")
     twice = stage(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     return left.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(
         left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
