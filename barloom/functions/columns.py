@@ -30,9 +30,12 @@ def number_text(c: Column) -> Column:
 
 
 def percent_text(ratio: Column) -> Column:
-    """A ratio as percent text with two decimals, rounded on exact decimals."""
-    percent = F.round(ratio.cast("decimal(20,6)") * F.lit(100).cast("decimal(3,0)"), 2)
-    return F.concat(percent.cast("decimal(24,2)").cast("string"), F.lit("%"))
+    """A ratio as percent text with two decimals, rounded on exact decimals.
+
+    A ratio too large for that is shown as the double it is, so that one value cannot stop a run.
+    """
+    percent = F.round(ratio.try_cast("decimal(20,6)") * F.lit(100).cast("decimal(3,0)"), 2)
+    return F.concat(F.coalesce(percent.cast("decimal(24,2)").cast("string"), (ratio * 100).cast("string")), F.lit("%"))
 
 
 def is_trading_day(day: Column) -> Column:

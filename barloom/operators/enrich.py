@@ -65,12 +65,14 @@ def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "histor
     ``scope="batch"`` looks at the batch alone, so its first rows have no return or volatility.
     ``scope="history"`` puts the last stored rows of each ticker before the batch, which gives the
     same values as one load of everything; ``stored`` holds those rows where they are at hand, else
-    they are taken from ``fact``. Stored rows not older than the ticker's batch are left out.
+    they are taken from ``fact``, the newest before the ticker's first row in the batch, so a gap filled
+    later gets the same values too. Stored rows not older than the ticker's batch are left out.
     """
     if scope not in ("batch", "history"):
         raise ValueError(f"unknown scope {scope!r}")
     if stored is None and fact is not None:
-        stored = last_stored_rows(fact)
+        first = batch.groupBy("ticker").agg(F.min("date").alias("first_date"))
+        stored = last_stored_rows(fact.join(first, "ticker").where(F.col("date") < F.col("first_date")))
     if scope == "batch" or stored is None:
         return add_metrics(batch)
     both = batch.withColumn("is_new", F.lit(True)).unionByName(
@@ -88,8 +90,14 @@ def recompute_metrics(fact: DataFrame, corrections: DataFrame) -> DataFrame:
     """Bars of the corrected tickers with corrected closes and fresh metrics.
 
     ``corrections`` has ticker, date and close. Tickers without a correction are not read past the
-    semi join, their stored metrics being right.
+    semi join, their stored metrics being right. A key that is corrected twice, or is not stored, raises.
     """
+    keys = corrections.select("ticker", "date")
+    repeated = keys.groupBy("ticker", "date").count().where("count > 1").first()
+    absent = keys.join(fact.select("ticker", "date"), ["ticker", "date"], "left_anti").first()
+    if repeated or absent:
+        wrong, why = (repeated, "is given twice") if repeated else (absent, "has no stored row")
+        raise ValueError(f"the correction of {wrong.ticker} on {wrong.date} {why}")
     touched = corrections.select("ticker")
     fixes = corrections.select("ticker", "date", F.col("close").alias("new_close"))
     bars = (fact.join(touched, "ticker", "left_semi").join(fixes, ["ticker", "date"], "left")

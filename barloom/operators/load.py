@@ -29,17 +29,18 @@ def first_per_key(batch: DataFrame, order: str = "src_seq") -> DataFrame:
 
 
 def stored_keys(fact: DataFrame, dates_of: DataFrame) -> DataFrame:
-    """Keys of the fact table within the dates of a batch.
+    """Keys of a batch that the fact table already has.
 
-    The bounds are scalar subqueries that Spark turns into scan filters, so other years are not read.
-    For an increment few or no keys are left; staged, their measured size lets Spark broadcast them
-    and leave the batch where it is.
+    The batch's dates are scalar subqueries that Spark turns into scan filters, so other years are not
+    read; the semi join leaves the batch's own keys, so a ticker whose batch reaches far back does not
+    bring along the keys of others. For an increment few or no keys are left; staged, their measured
+    size lets Spark broadcast them and leave the batch where it is.
     """
     low, high = dates_of.agg(F.min("date")).scalar(), dates_of.agg(F.max("date")).scalar()
     reachable = fact.where((F.col("date") >= low) & (F.col("date") <= high))
     if "year" in fact.columns:
         reachable = reachable.where((F.col("year") >= F.year(low)) & (F.col("year") <= F.year(high)))
-    return reachable.select(*KEY)
+    return reachable.select(*KEY).join(dates_of.select(*KEY), KEY, "left_semi")
 
 
 def mark_existing(batch: DataFrame, keys: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.columns import number_text, percent_text
+from barloom.functions.columns import nan_to_null, number_text, percent_text
 from barloom.schemas import CHECKS, EXTREME_RETURN, PRICES, REQUIRED, VALUES
 
 KEY = ["ticker", "date"]
@@ -47,8 +47,9 @@ def check_bars(raw: DataFrame, order: str = "src_seq") -> DataFrame:
     """One row per (ticker, date): loss counts, first complete copy, and its verdict.
 
     ``order`` must be unique within a key; the smallest complete copy survives. With a numeric order
-    column all buffers are fixed-width and the fold is a hash aggregation.
+    column all buffers are fixed-width and the fold is a hash aggregation. NaN counts as missing.
     """
+    raw = nan_to_null(raw)
     if "bad_date" not in raw.columns:
         raw = raw.withColumn("bad_date", F.lit(None).cast("string"))
     if "ticker" not in raw.columns:

@@ -51,6 +51,10 @@ class Run:
     def __post_init__(self) -> None:
         if not self.dag_run_id:
             raise ValueError("a run needs an id")
+        # one clock for all steps, also past midnight
+        now = self.warehouse.spark.range(1).select(F.current_date(), F.current_timestamp().cast("timestamp_ntz")).first()
+        object.__setattr__(self, "as_of", now[0] if self.as_of is None else self.as_of)
+        object.__setattr__(self, "run_ts", now[1] if self.run_ts is None else self.run_ts)
 
     def stage(self, df: DataFrame, step: str) -> DataFrame:
         """Stage a table under the run's name, for whoever expires or inspects the shared folder."""
@@ -78,7 +82,7 @@ class Extract:
 
 def extract(run: Run, landing: DataFrame, tickers: DataFrame | None = None) -> Extract:
     """Stage the landing rows past each ticker's high-water mark."""
-    universe = run.warehouse.dim() if tickers is None else tickers
+    universe = (run.warehouse.dim() if tickers is None else tickers).select("ticker").distinct()
     fact, recent_from = run.warehouse.fact(), days_back(run.as_of, LOOK_BACK_DAYS)
     recent = run.stage(ingest.watermarks(since(fact, recent_from)), "recent_marks")
     marks = recent.unionByName(ingest.older_watermarks(fact, recent, universe, recent_from))
@@ -147,8 +151,8 @@ def load_batch(run: Run, extracted: Extract, enriched: DataFrame) -> DataFrame:
     house = run.warehouse
     run.start("load", extracted.tickers if run.log_empty else enriched.select("ticker").distinct())
     failed = run.stage(load.failed_tickers(enriched, house.dim()), "failed")
-    keys = run.stage(load.stored_keys(house.fact(), enriched), "stored_keys")
     good = enriched.where(F.col("ticker").isNotNull()).join(failed, "ticker", "left_anti")
+    keys = run.stage(load.stored_keys(house.fact(), good), "stored_keys")
     marked = load.mark_existing(storage_cast(load.project(good)).drop("overflow"), keys)
     house.append_fact(load.new_rows(marked), run.run_ts)
     house.append("quarantine", enriched.join(failed, "ticker").withColumn("dag_run_id", F.lit(run.dag_run_id)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.dimension import upsert_dimension
+from barloom.operators.dimension import check_companies, upsert_dimension
 from barloom.operators.load import fact_rows
 from barloom.operators.runlog import current_state
 from barloom.plans.reports import register_views
@@ -78,6 +78,7 @@ class Warehouse:
         return versions.where(F.col("version") == newest).drop("version")
 
     def upsert_dim(self, incoming: DataFrame, run_ts=None) -> None:
+        check_companies(incoming)
         newest = self.read("dim_company").agg(F.max("version")).first()[0] or 0
         merged = upsert_dimension(self.dim(), incoming, run_ts)
         self.append("dim_company", merged.withColumn("version", F.lit(newest + 1)))
