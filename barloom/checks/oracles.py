@@ -338,3 +338,12 @@ _TOTALS = """CAST(sum(records_found) AS BIGINT) AS found, CAST(sum(records_inser
        count(*) FILTER (WHERE status = 'FAILED') AS failed_tasks FROM log"""
 ORACLES["run_summary"] = sql("log", f"SELECT task_name, {_TOTALS} WHERE dag_run_id = 'run_1999-01-24' GROUP BY task_name")
 ORACLES["run_summary_all"] = sql("log", f"SELECT dag_run_id, task_name, {_TOTALS} GROUP BY 1, 2")
+ORACLES["ignored_rows"] = sql("bars dim", """
+SELECT ticker, count(*) AS n_rows FROM bars
+WHERE ticker NOT IN (SELECT ticker FROM dim WHERE sector <> 'NATION_3') AND date < DATE '2001-11-05' GROUP BY ticker""")
+# the entries of both runs under one name; every task run has an id of its own
+_RUNS = ORACLES["daily_run"].replace("'first' AS run", "1 AS run").replace("'second'", "2")
+ORACLES["rerun_log"] = f"""
+SELECT 'same' AS dag_run_id, task_name, status, count(*) AS entries, count(*) AS ids,
+       CAST(sum(records_found) AS BIGINT) AS found, CAST(sum(records_inserted) AS BIGINT) AS inserted
+FROM ({_RUNS}) GROUP BY task_name, status"""

@@ -34,6 +34,16 @@ def _split(df: DataFrame, day: str = d.SPLIT_DAY) -> tuple[DataFrame, DataFrame]
     return df.where(F.col("date") < cut), df.where(F.col("date") >= cut)
 
 
+def _two_runs(spark, sf, names: tuple[str, str] = ("first", "second")) -> Warehouse:
+    """A warehouse after two runs over the damaged bars, up to the split day and up to the end."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
+    landing = stage(d.dirty_bars(spark, sf))
+    for name, until in zip(names, (d.SPLIT_DAY, d.INGEST_DAY), strict=True):
+        run_daily(Run(house, name, until, d.RUN_TS, d.FIRST_DAY), landing, gate=False)
+    return house
+
+
 # --- sources, incremental scan, staging -------------------------------------
 
 @query
@@ -72,6 +82,21 @@ def empty_extracts(spark, sf):
     return ingest.empty_extracts(starts, ingest.incremental_filter(bars, starts, "2000-01-04"), "2000-01-04")
 
 
+@query
+def ignored_rows(spark, sf):
+    """Bars of companies that the universe does not list, here those of one sector."""
+    return ingest.ignored_rows(d.bars(spark, sf), d.dim(spark, sf).where(F.col("sector") != "NATION_3"), d.INGEST_DAY)
+
+
+@query
+def rerun_log(spark, sf):
+    """A run and its rerun under one name: each task run has its own id, the second finds what is new to it."""
+    house = _two_runs(spark, sf, ("same", "same"))
+    return house.run_history(limit=10**9).groupBy("dag_run_id", "task_name", "status").agg(
+        F.count("*").alias("entries"), F.countDistinct("run_id").alias("ids"),
+        F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
+
+
 # --- enrichment -------------------------------------------------------------
 
 @query
@@ -305,22 +330,14 @@ def run_log_state(spark, sf):
 @query
 def daily_run(spark, sf):
     """Two runs into an empty warehouse from damaged bars: counts per run, task and ticker."""
-    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
-    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
-    landing = stage(d.dirty_bars(spark, sf))
-    for name, until in (("first", d.SPLIT_DAY), ("second", d.INGEST_DAY)):
-        run_daily(Run(house, name, until, d.RUN_TS, d.FIRST_DAY), landing, gate=False)
+    house = _two_runs(spark, sf)
     return house.log().select("dag_run_id", "task_name", "ticker", "status", *runlog.COUNTS)
 
 
 @query
 def daily_run_facts(spark, sf):
     """The facts those two runs leave behind, metrics included."""
-    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
-    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
-    landing = stage(d.dirty_bars(spark, sf))
-    for name, until in (("first", d.SPLIT_DAY), ("second", d.INGEST_DAY)):
-        run_daily(Run(house, name, until, d.RUN_TS, d.FIRST_DAY), landing, gate=False)
+    house = _two_runs(spark, sf)
     return house.fact().drop("year", "loaded_at")
 
 

@@ -33,7 +33,8 @@ def start_events(tickers: DataFrame, dag_run_id: str, task: str, run_ts=None, at
     return as_events(tickers.select(
         run_id(dag_run_id, task, attempt=attempt).alias("run_id"), F.lit(0).alias("event_seq"),
         F.lit(dag_run_id).alias("dag_run_id"), F.lit(task).alias("task_name"), "ticker",
-        now.cast("date").alias("run_date"), now.alias("event_at"), F.lit("RUNNING").alias("status")))
+        now.cast("date").alias("run_date"), now.alias("event_at"), F.lit("RUNNING").alias("status"),
+        F.lit(attempt).alias("attempt")))
 
 
 def end_events(outcomes: DataFrame, dag_run_id: str, task: str, run_ts=None, attempt: int = 1) -> DataFrame:
@@ -48,7 +49,8 @@ def end_events(outcomes: DataFrame, dag_run_id: str, task: str, run_ts=None, att
         run_id(dag_run_id, task, attempt=attempt).alias("run_id"), F.lit(1).alias("event_seq"),
         F.lit(dag_run_id).alias("dag_run_id"), F.lit(task).alias("task_name"), "ticker",
         now.cast("date").alias("run_date"), now.alias("event_at"),
-        F.when(error.isNotNull(), "FAILED").otherwise("SUCCESS").alias("status"), *extra))
+        F.when(error.isNotNull(), "FAILED").otherwise("SUCCESS").alias("status"),
+        F.lit(attempt).alias("attempt"), *extra))
 
 
 def as_events(df: DataFrame) -> DataFrame:

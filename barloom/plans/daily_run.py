@@ -11,6 +11,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from barloom.operators import enrich, ingest, load, quality, runlog
 from barloom.operators.constraints import storage_cast
 from barloom.plans import reports
-from barloom.schemas import FIRST_LOAD_DATE
+from barloom.schemas import FIRST_LOAD_DATE, TASKS
 from barloom.session import new_scratch
 from barloom.sources.tables import days_back, since, stage
 from barloom.sources.warehouse import Warehouse
@@ -45,7 +47,7 @@ class Run:
     run_ts: dt.datetime | str | None = None  # stamped on all rows of the run; default now
     first_load: dt.date | str = FIRST_LOAD_DATE
     scope: str = "history"
-    attempt: int = 1
+    attempt: int | None = None               # default the next one that the run's events leave free
     log_empty: bool = False                  # also log transform and load of tickers without rows
 
     def __post_init__(self) -> None:
@@ -55,6 +57,10 @@ class Run:
         now = self.warehouse.spark.range(1).select(F.current_date(), F.current_timestamp().cast("timestamp_ntz")).first()
         object.__setattr__(self, "as_of", now[0] if self.as_of is None else self.as_of)
         object.__setattr__(self, "run_ts", now[1] if self.run_ts is None else self.run_ts)
+        last = self.warehouse.last_attempt(self.dag_run_id)
+        if self.attempt is not None and self.attempt <= last:
+            raise ValueError(f"attempt {self.attempt} of run {self.dag_run_id} is in the log already")
+        object.__setattr__(self, "attempt", last + 1 if self.attempt is None else self.attempt)
 
     def stage(self, df: DataFrame, step: str) -> DataFrame:
         """Stage a table under the run's name, for whoever expires or inspects the shared folder."""
@@ -92,6 +98,9 @@ def extract(run: Run, landing: DataFrame, tickers: DataFrame | None = None) -> E
         run.finish("extract", starts.select("ticker", F.lit("column date is missing").alias("error_message")))
         raise MissingDate("column date is missing")
     batch = run.stage(ingest.incremental_filter(landing, starts, run.as_of), "batch")
+    if tickers is None:
+        run.warehouse.append("ignored_rows", ingest.ignored_rows(landing, starts, run.as_of).withColumn(
+            "dag_run_id", F.lit(run.dag_run_id)))
     fetched = batch.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows_fetched"))
     empty = ingest.empty_extracts(starts, batch, run.as_of).select("ticker", "outcome", "reason")
     seen = run.stage(starts.join(fetched, "ticker", "left").join(empty, "ticker", "left")
@@ -195,8 +204,9 @@ def run_ticker(run: Run, landing: DataFrame, ticker: str) -> dict[str, int]:
     extracted = extract(run, landing, one)
     enriched = transform(run, extracted)
     row = load_batch(run, extracted, enriched).first() if enriched is not None else None
+    this_attempt = reduce(or_, [F.col("run_id") == runlog.run_id(run.dag_run_id, task, attempt=run.attempt) for task in TASKS])
     failed = run.warehouse.log(run.dag_run_id).where(
-        (F.col("ticker") == ticker) & (F.col("status") == "FAILED")).first()
+        (F.col("ticker") == ticker) & (F.col("status") == "FAILED") & this_attempt).first()
     if failed:
         raise TickerFailed(f"{failed.task_name} of {ticker}: {failed.error_message}")
     return {"inserted": row.inserted, "skipped": row.skipped} if row else {"inserted": 0, "skipped": 0}

@@ -101,15 +101,17 @@ def run_log_recent(log: DataFrame, limit: int = 10) -> DataFrame:
             .select("task_name", "ticker", "records_found", "records_inserted", "status"))
 
 
-def unresolved_issues(issues: DataFrame, log: DataFrame) -> DataFrame:
+def unresolved_issues(issues: DataFrame, log: DataFrame | None = None) -> DataFrame:
     """Open issues with the run they came from. Severity sorts as text, from W to E.
 
-    Issues without a run go around the join, where they would all meet in one task.
+    Issues that carry no ``dag_run_id`` take it from ``log``; those without a run go around that join, where
+    they would all meet in one task.
     """
-    open_issues = issues.where(F.col("resolved") == F.lit(False))
-    with_run = open_issues.where(F.col("run_id").isNotNull()).join(log.select("run_id", "dag_run_id"), "run_id", "left")
-    without = open_issues.where(F.col("run_id").isNull())
-    return (with_run.unionByName(without, allowMissingColumns=True)
+    found = issues.where(F.col("resolved") == F.lit(False))
+    if "dag_run_id" not in issues.columns:
+        with_run = found.where(F.col("run_id").isNotNull()).join(log.select("run_id", "dag_run_id"), "run_id", "left")
+        found = with_run.unionByName(found.where(F.col("run_id").isNull()), allowMissingColumns=True)
+    return (found
             .select("issue_id", "detected_at", "ticker", "issue_date", "check_name", "severity",
                     "description", "raw_value", "dag_run_id")
             .orderBy(F.desc("severity"), F.desc_nulls_first("detected_at"), "issue_id"))

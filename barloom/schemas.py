@@ -130,6 +130,7 @@ RUN_EVENTS = T.StructType([
     T.StructField("records_invalid", T.IntegerType()),
     T.StructField("error_message", T.StringType()),
     T.StructField("details", T.StringType()),
+    T.StructField("attempt", T.IntegerType()),
 ])
 
 ISSUES = T.StructType([

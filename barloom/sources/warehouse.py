@@ -8,6 +8,8 @@ read, and an append becomes visible only when its job commits. One writer at a t
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from pyspark.sql import types as T
 from barloom.operators.dimension import check_companies, upsert_dimension
 from barloom.operators.load import fact_rows
 from barloom.operators.runlog import current_state
-from barloom.plans.reports import register_views
+from barloom.plans import reports
 from barloom.schemas import DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS
 
 YEAR = T.StructField("year", T.IntegerType())
@@ -29,6 +31,8 @@ LAYOUT = {
     "dim_company": (T.StructType([*DIM_COMPANY.fields, VERSION]), "version"),
     "run_events": (RUN_EVENTS, "dag_run_id"),
     "audit_quality_issues": (T.StructType([*ISSUES.fields, RUN]), "dag_run_id"),
+    "ignored_rows": (T.StructType([RUN, T.StructField("ticker", T.StringType()), T.StructField("n_rows", T.LongType())]),
+                     "dag_run_id"),
     "quarantine": (T.StructType([*RAW_BARS.fields, *WHY]), "dag_run_id"),
 }
 
@@ -72,14 +76,17 @@ class Warehouse:
                     .sortWithinPartitions("year", "ticker", "date"))
 
     def dim(self) -> DataFrame:
-        """The newest version of the dimension. Only folder names are read to find it."""
-        versions = self.read("dim_company")
-        newest = versions.agg(F.max("version")).scalar()
-        return versions.where(F.col("version") == newest).drop("version")
+        """The newest version of the dimension; no other one is read."""
+        return self.read("dim_company").where(F.col("version") == self.dim_version()).drop("version")
+
+    def dim_version(self) -> int:
+        """Number of the newest version, by the folder names in the file listing; 0 before the first."""
+        names = (re.search(r"/version=(\d+)/", f) for f in self.read("dim_company").inputFiles())
+        return max((int(n[1]) for n in names if n), default=0)
 
     def upsert_dim(self, incoming: DataFrame, run_ts=None) -> None:
         check_companies(incoming)
-        newest = self.read("dim_company").agg(F.max("version")).first()[0] or 0
+        newest = self.dim_version()
         merged = upsert_dimension(self.dim(), incoming, run_ts)
         self.append("dim_company", merged.withColumn("version", F.lit(newest + 1)))
 
@@ -95,10 +102,32 @@ class Warehouse:
         """Issue log, of one run or of all."""
         return self.of_run("audit_quality_issues", dag_run_id).drop("dag_run_id")
 
+    def last_attempt(self, dag_run_id: str) -> int:
+        """Highest attempt that a run has logged, 0 if none."""
+        return self.of_run("run_events", dag_run_id).agg(F.max("attempt")).first()[0] or 0
+
+    def run_history(self, limit: int = 50) -> DataFrame:
+        """``reports.run_history`` of the log, which aggregates the events of the newest task runs alone.
+
+        Each map task keeps its newest START events; the few that are left prune the runs that are read.
+        """
+        events = self.read("run_events")
+        newest = (events.where(F.col("event_seq") == 0).orderBy(F.desc("event_at"), F.desc("run_id")).limit(limit)
+                  .select("dag_run_id", "run_id"))
+        return reports.run_history(current_state(events.join(newest, ["dag_run_id", "run_id"], "left_semi")), limit)
+
+    def unresolved_issues(self) -> DataFrame:
+        """``reports.unresolved_issues`` without the log: issues lie under their run's name."""
+        return reports.unresolved_issues(self.of_run("audit_quality_issues", None))
+
+    def ignored_rows(self) -> DataFrame:
+        """Landing rows of unlisted tickers that each run passed over."""
+        return self.read("ignored_rows")
+
     def quarantine(self) -> DataFrame:
         return self.read("quarantine")
 
     def register(self) -> None:
         """Views for analyst SQL under the usual table names."""
-        register_views(self.spark, fact_stock_prices=self.fact(), dim_company=self.dim(),
+        reports.register_views(self.spark, fact_stock_prices=self.fact(), dim_company=self.dim(),
                        audit_pipeline_log=self.log(), audit_quality_issues=self.issues())

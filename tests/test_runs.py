@@ -270,3 +270,39 @@ def test_look_back_reaches_past_a_year_of_silence(spark, house):
     wanted = d.as_fact(enrich.add_metrics(landing.drop("src_seq"))).drop("loaded_at")
     assert sorted(map(tuple, house.fact().select(wanted.columns).collect()), key=str) == sorted(
         map(tuple, wanted.collect()), key=str)
+
+
+def test_a_rerun_is_the_next_attempt(spark, house):
+    landing = bars(spark, [("AAA", 1, {}), ("AAA", 2, {})])
+    with pytest.raises(TickerFailed):
+        run_ticker(Run(house, "r1", "2020-02-01", TS), landing.withColumn("high", F.lit(1e8)), "AAA")
+    # repaired, the second attempt succeeds though the first left a FAILED entry
+    second = Run(house, "r1", "2020-02-01", TS)
+    assert second.attempt == 2 and run_ticker(second, landing, "AAA") == {"inserted": 2, "skipped": 0}
+    with pytest.raises(ValueError, match="in the log already"):
+        Run(house, "r1", attempt=2)
+    log = house.log("r1")
+    assert pk_violations(log, ["run_id"]).count() == 0
+    assert sorted(r.status for r in log.where("task_name = 'load'").collect()) == ["FAILED", "SUCCESS"]
+
+
+def test_rows_of_unlisted_tickers_are_counted(spark, house):
+    landing = bars(spark, [("AAA", 1, {}), ("WHO", 1, {}), ("WHO", 2, {}), (None, 1, {}), ("WHO", 30, {})])
+    go(house, landing, as_of="2020-01-20")
+    assert {(r.dag_run_id, r.ticker, r.n_rows) for r in house.ignored_rows().collect()} == {("r1", "WHO", 2), ("r1", None, 1)}
+
+
+def test_audit_reports_of_the_warehouse(spark, scene):
+    house = scene[0]
+    for limit in (3, 50):
+        assert house.run_history(limit).collect() == reports.run_history(house.log(), limit).collect()
+    got, wanted = house.unresolved_issues(), reports.unresolved_issues(house.issues(), house.log())
+    assert got.columns == wanted.columns and got.collect() == wanted.collect() != []
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_the_newest_dimension_is_read(spark, house):
+    house.upsert_dim(company_seed(spark), "2020-04-01 00:00:00")
+    assert house.dim_version() == 2
+    text = house.dim()._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "(version" in text and "= 2)" in text
