@@ -104,34 +104,55 @@ def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> Dat
     return stage(rows.join(wanted, ["doc_id", "id1", "id2"], "left_semi").select("doc_id", "grams"))
 
 
-def _product(least: Fraction):
-    """Links of one tile: the product of its incidence rows, columns in blocks, overlap counts added up.
+def _overlaps(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and overlap counts of a tile's rows: the product of its incidence rows, columns in blocks, added up."""
+    parts = [np.asarray(g) for g in tile.column("grams").combine_chunks().to_numpy(zero_copy_only=False)]
+    sizes = np.array([len(g) for g in parts])
+    grams, column = np.unique(np.concatenate(parts), return_inverse=True)
+    row = np.repeat(np.arange(len(parts)), sizes)
+    held = np.bincount(column, minlength=len(grams)) > 1  # other columns make no product
+    number = np.cumsum(held) - 1
+    row, column = row[held[column]], number[column[held[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    overlap = np.zeros((len(parts), len(parts)), dtype=np.float32)
+    for low in range(0, int(held.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        block = np.zeros((len(parts), COLUMNS), dtype=np.float32)
+        block[row[a:b], column[a:b] - low] = 1
+        overlap += block @ block.T
+    return sizes, overlap
+
+
+def _meeting(tile: pa.Table) -> np.ndarray:
+    """Which rows of a tile meet there and are not yet of one component."""
+    left = tile.column("left").to_numpy(zero_copy_only=False)
+    right = tile.column("right").to_numpy(zero_copy_only=False)
+    part = tile.column("component").to_numpy()
+    return ((left[:, None] & right[None, :]) | (right[:, None] & left[None, :])) & (part[:, None] != part[None, :])
+
+
+def _partners(least: Fraction):
+    """Rows of one tile of first blocks that have a possible partner in it: enough overlap for their sizes."""
+    def run(tile: pa.Table) -> pa.Table:
+        overlap = _overlaps(tile)[1]
+        fewest, low, high = (tile.column(c).to_numpy() for c in ("fewest", "n_min", "n_max"))
+        near = overlap >= np.maximum(fewest[:, None], fewest[None, :])
+        near &= (np.minimum(high[:, None], high[None, :]) * least.denominator
+                 >= np.maximum(low[:, None], low[None, :]) * least.numerator)
+        found = (near & _meeting(tile)).any(axis=1)
+        return tile.select(["pivot", "doc_id"]).filter(pa.array(found))
+    return run
 
-    Of the links found, those that join the tile's rows into the same groups as all of them.
-    """
+
+def _product(least: Fraction):
+    """Links of one tile of whole rows; of those found, the ones that join its rows into the same groups as all."""
     def run(tile: pa.Table) -> pa.Table:
         names = tile.column("doc_id").to_numpy()
-        left = tile.column("left").to_numpy(zero_copy_only=False)
-        right = tile.column("right").to_numpy(zero_copy_only=False)
-        parts = [np.asarray(g) for g in tile.column("grams").combine_chunks().to_numpy(zero_copy_only=False)]
-        sizes = np.array([len(g) for g in parts])
-        grams, column = np.unique(np.concatenate(parts), return_inverse=True)
-        row = np.repeat(np.arange(len(parts)), sizes)
-        held = np.bincount(column, minlength=len(grams)) > 1  # other columns make no product
-        number = np.cumsum(held) - 1
-        row, column = row[held[column]], number[column[held[column]]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        overlap = np.zeros((len(parts), len(parts)), dtype=np.float32)
-        for low in range(0, int(held.sum()), COLUMNS):
-            a, b = np.searchsorted(column, (low, low + COLUMNS))
-            block = np.zeros((len(parts), COLUMNS), dtype=np.float32)
-            block[row[a:b], column[a:b] - low] = 1
-            overlap += block @ block.T
+        sizes, overlap = _overlaps(tile)
         either = sizes[:, None] + sizes[None, :] - overlap
-        near = overlap * least.denominator >= either * least.numerator
-        near &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
-        group = np.arange(len(parts))
+        near = (overlap * least.denominator >= either * least.numerator) & _meeting(tile)
+        group = np.arange(len(names))
 
         def top(i: int) -> int:
             while group[i] != i:
@@ -149,6 +170,36 @@ def _product(least: Fraction):
     return run
 
 
+def _tiled(rows: DataFrame, size: str) -> DataFrame:
+    """The rows of each pivot with the tiles ``(i, j)`` they go to, each of bounded rows and n-grams (``size``).
+
+    A row outside the main component (``inner`` false) of block i meets inner blocks as (i, -j) and other
+    outer blocks as (min, max), those of its own block in the first of these tiles; an inner row meets
+    every outer block.
+    """
+    def tiles_for(inner: str) -> Column:
+        wide = F.greatest(F.count_if(F.expr(inner)) / TILE_ROWS,
+                          F.coalesce(F.sum(F.when(F.expr(inner), F.col(size))), F.lit(0)) / TILE_GRAMS)
+        return F.ceil(wide).cast("int")
+
+    counts = rows.groupBy("pivot").agg(tiles_for("inner").alias("ins"), tiles_for("NOT inner").alias("outs"))
+    block = F.pmod(F.xxhash64("doc_id"), F.when(F.col("inner"), F.col("ins")).otherwise(F.col("outs"))).cast("int")
+    outers = F.when(F.col("outs") > 0, F.sequence(F.lit(0), F.col("outs") - 1)).otherwise(F.array().cast("array<int>"))
+    inners = F.when(F.col("ins") > 0, F.sequence(F.lit(1), F.col("ins"))).otherwise(F.array().cast("array<int>"))
+
+    def tile(i, j, is_left, is_right):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), is_left.alias("left"), is_right.alias("right"))
+
+    yes, no = F.lit(True), F.lit(False)
+    met = F.when(F.col("inner"), F.transform(outers, lambda o: tile(o, -(F.col("block") + 1), no, yes))).otherwise(
+        F.concat(F.transform(inners, lambda v: tile(F.col("block"), -v, yes, v == 1)),
+                 F.transform(F.filter(outers, lambda o: (o != F.col("block")) | (F.col("ins") == 0)),
+                             lambda o: tile(F.least("block", o), F.greatest("block", o),
+                                            F.col("block") <= o, F.col("block") >= o))))
+    return (rows.join(counts, "pivot").withColumn("block", block)
+            .select(*rows.columns, F.explode(met).alias("t")).select(*rows.columns, "t.*"))
+
+
 def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each document.
 
@@ -158,13 +209,15 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     The links are entries of the product of the sparse document-by-n-gram matrix with its transpose,
     computed in blocks. Equal sets are one row of it. The columns are ordered by n-gram hash and
     every row's first block is multiplied first (see ``bounds``): n-grams that one document has make
-    no product, and documents that share too few columns to have a partner go. For columns of up to ``SPARSE`` documents, overlap counts are added up by pair, pairs
-    below the size-derived bounds go, and the rest is compared over whole rows. A pair that shares any
-    denser column, such as those of a large group of copies, is left to these: no dense column emits
-    its pairs. First every document is compared with the column's best connected one, the pivot. Then
+    no product, and documents that share too few columns to have a partner go. For columns of up to
+    ``SPARSE`` documents, overlap counts are added up by pair, pairs below the size-derived bounds go, and
+    the rest is compared over whole rows. A pair that these bounds drop shares so many denser columns, such
+    as those of a large group of copies, that each document may spare half of its bound, the most frequent
+    ones; a document without others, whatever passages it shares, has no partner there. No dense column
+    emits its pairs. First every document is compared with the column's best connected one, the pivot. Then
     all columns of a pivot form one group of rows, those outside its largest component are multiplied
-    with all others in tiles of bounded size, whole rows at a time, and a tile returns only links that
-    join its rows. So every pair is compared whose link could join two components: components are
+    with all others in tiles of bounded size: their first blocks, which leaves the rows that have a possible
+    partner in another component, then the whole rows of these. A tile returns only links that join its rows. So every pair is compared whose link could join two components: components are
     those of all links. No candidate is capped.
 
     Documents whose text is null, empty or without words have ``n_shingles`` 0 and are linked with
@@ -199,17 +252,23 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     alive = index.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1").select("gram")
     index = index.join(alive, "gram")
     enough = index.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("fewest").alias("f")).where("c >= f").select("doc_id")
-    index = stage(index.join(enough, "doc_id").select("doc_id", "reach", "gram"))
-    columns = stage(index.groupBy("gram").agg(F.count("*").alias("size"), F.max(F.struct("reach", "doc_id")).alias("best"))
-                    .where("size > 1").select("gram", "size", F.col("best.doc_id").alias("pivot")))
+    index = stage(index.join(enough, "doc_id").select("doc_id", "reach", "fewest", "gram"))
+    columns = stage(index.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"))
 
     # all pairs of sparse columns
     sparse = index.join(columns.where(F.col("size") <= SPARSE), "gram").select("gram", "doc_id")
     pairs = (sparse.alias("x").join(sparse.alias("y"), "gram").where("x.doc_id < y.doc_id")
              .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("overlap")))
-    # each document of a dense column with the column's pivot
-    members = stage(index.join(columns.where(F.col("size") > SPARSE), "gram")
-                    .groupBy("pivot", "doc_id").agg(F.count("*").alias("overlap")))
+    # each document of a dense column with the column's pivot, past the document's spare columns
+    spared = F.slice("heavy", F.expr("fewest div 2").cast("int") + 1, F.size("heavy"))
+    kept = stage(index.join(columns.where(F.col("size") > SPARSE), "gram").groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("s"), "gram"))).alias("heavy"),
+        F.first("fewest").alias("fewest"), F.first("reach").alias("reach"))
+        .select("doc_id", "reach", F.explode(spared).alias("entry"))
+        .select("doc_id", "reach", F.col("entry.gram").alias("gram")))
+    pivots = (kept.groupBy("gram").agg(F.count("*").alias("size"), F.max(F.struct("reach", "doc_id")).alias("best"))
+              .where("size > 1").select("gram", F.col("best.doc_id").alias("pivot")))
+    members = stage(kept.join(pivots, "gram").groupBy("pivot", "doc_id").agg(F.count("*").alias("overlap")))
     with_pivot = members.where("pivot <> doc_id").select(
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b"), F.col("overlap") * 3)
     pairs = stage(_bounded(pairs.union(with_pivot), facts, least))
@@ -230,32 +289,15 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     main = (named.groupBy("pivot", "component").agg(F.count("*").alias("c"))
             .groupBy("pivot").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("parts"))
             .where("parts > 1"))
-    open_rows = stage(named.join(main, "pivot").join(facts.select("doc_id", "n_max"), "doc_id").select(
-        "pivot", "doc_id", "n_max", (F.col("component") == F.col("main")).alias("inner")))
-
-    def tiles_for(inner: str) -> Column:
-        wide = F.greatest(F.count_if(F.expr(inner)) / TILE_ROWS, F.coalesce(F.sum(F.when(F.expr(inner), F.col("n_max"))), F.lit(0)) / TILE_GRAMS)
-        return F.ceil(wide).cast("int")
-
-    counts = open_rows.groupBy("pivot").agg(tiles_for("inner").alias("ins"), tiles_for("NOT inner").alias("outs"))
-    # an outer row of block i meets inner blocks as (i, -j) and other outer blocks as (min, max), those of its own block
-    # in the first of these tiles; an inner row meets every outer block
-    block = F.pmod(F.xxhash64("doc_id"), F.when(F.col("inner"), F.col("ins")).otherwise(F.col("outs"))).cast("int")
-    outers = F.sequence(F.lit(0), F.col("outs") - 1)
-    inners = F.when(F.col("ins") > 0, F.sequence(F.lit(1), F.col("ins"))).otherwise(F.array().cast("array<int>"))
-
-    def tile(i, j, is_left, is_right):
-        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), is_left.alias("left"), is_right.alias("right"))
-
-    yes, no = F.lit(True), F.lit(False)
-    met = F.when(F.col("inner"), F.transform(outers, lambda o: tile(o, -(F.col("block") + 1), no, yes))).otherwise(
-        F.concat(F.transform(inners, lambda v: tile(F.col("block"), -v, yes, v == 1)),
-                 F.transform(F.filter(outers, lambda o: (o != F.col("block")) | (F.col("ins") == 0)),
-                             lambda o: tile(F.least("block", o), F.greatest("block", o),
-                                            F.col("block") <= o, F.col("block") >= o))))
-    placed = (open_rows.join(counts, "pivot").withColumn("block", block)
-              .select("pivot", "doc_id", F.explode(met).alias("t")).select("pivot", "doc_id", "t.*"))
-    second = stage(placed.join(rows, "doc_id").groupBy("pivot", "i", "j").applyInArrow(_product(least), "a long, b long"))
+    open_rows = stage(named.join(main, "pivot").join(facts.select("doc_id", "n_min", "n_max", "fewest"), "doc_id").select(
+        "pivot", "doc_id", "component", "n_min", "n_max", "fewest", (F.col("component") == F.col("main")).alias("inner")))
+    lights = stage(index.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi")
+                   .groupBy("doc_id").agg(F.collect_list("gram").alias("grams")))
+    hopeful = (_tiled(open_rows, "n_max").join(lights, "doc_id").groupBy("pivot", "i", "j")
+               .applyInArrow(_partners(least), "pivot long, doc_id long").distinct())
+    open_rows = stage(open_rows.join(hopeful, ["pivot", "doc_id"], "left_semi"))
+    second = stage(_tiled(open_rows, "n_max").join(rows, "doc_id").groupBy("pivot", "i", "j")
+                   .applyInArrow(_product(least), "a long, b long"))
     found = components(first.unionByName(second)).withColumnRenamed("node", "rep")
 
     named = classes.join(found, "rep", "left").select(
@@ -266,10 +308,14 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
 
 
 def _bounded(overlaps: DataFrame, facts: DataFrame, least: Fraction) -> DataFrame:
-    """Pairs ``(a, b)`` whose first-block overlap reaches the bound that their sizes give."""
+    """Pairs ``(a, b)`` whose overlap in sparse columns reaches the bound that their sizes give.
+
+    A pair below it shares more dense columns than either document may spare.
+    """
     one = facts.select(F.col("doc_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in facts.columns[1:]])
     two = facts.select(F.col("doc_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in facts.columns[1:]])
-    needed = F.least("a_shared", "b_shared") - F.greatest("a_dropped", "b_dropped")
+    needed = (F.least("a_shared", "b_shared") - F.greatest("a_dropped", "b_dropped")
+              - F.floor(F.greatest("a_fewest", "b_fewest") / 2))
     small, large = F.least("a_n_max", "b_n_max"), F.greatest("a_n_min", "b_n_min")
     return (overlaps.join(one, "a").join(two, "b")
             .where((F.col("overlap") >= needed) & (small * least.denominator >= large * least.numerator))
