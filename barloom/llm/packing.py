@@ -17,6 +17,7 @@ from barloom.sources.tables import stage
 
 MAX_QUEUES = 256
 STAGED = "doc_id long, part int, source string, before long, n long, ids binary"
+RANGED = "doc_id long, queue int, range int, before long, n long, ids binary"
 PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -84,6 +85,39 @@ class Rounds:
             start += size
 
 
+def _mixed(tail: DataFrame) -> DataFrame:
+    """The documents of the shared queue with their places in it, each of its sources spread over all of it.
+
+    A document stands where its source has got to, as a fraction of the source's tokens. The fraction is
+    taken at a point within the document that the source's hash sets, or small sources would all begin, or
+    end, at once. Ranges of the order are stored with sums from their start; one sum for each range gives
+    the places.
+    """
+    point = F.pmod(F.xxhash64("source"), F.lit(1 << 32)) / F.lit(1 << 32)
+    line = ["reached", "source", "first"]
+    ranges = stage(
+        tail.withColumn("reached", (F.col("first") + point * F.col("n")) / F.col("all"))
+        .repartitionByRange(*line).sortWithinPartitions(*line)
+        .select("doc_id", "queue", "n", "ids").mapInArrow(_sums, RANGED))
+    sums = ranges.groupBy("queue", "range").agg(F.sum("n").alias("held"))
+    order = Window.partitionBy("queue").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sums.select("range", F.coalesce(F.sum("held").over(order), F.lit(0)).alias("ahead"))
+    return ranges.join(ahead, "range").select("doc_id", "queue", (F.col("ahead") + F.col("before")).alias("first"), "n", "ids")
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their range and the tokens before them in it."""
+    task, so_far = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        before = so_far + np.cumsum(n) - n
+        so_far += int(n.sum())
+        yield pa.record_batch({
+            "doc_id": batch.column("doc_id"), "queue": batch.column("queue"),
+            "range": pa.array(np.full(len(n), task, np.int32)), "before": pa.array(before, pa.int64()),
+            "n": batch.column("n"), "ids": batch.column("ids")})
+
+
 def _place(rounds: Rounds, sequence: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "ids", 1 << 19):
@@ -121,12 +155,14 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = 4096, end_id: int
     ``sequence`` tokens: each token lies in exactly one piece, every sequence but the last is full, and
     pieces of a sequence follow each other without gaps. ``ids`` are little-endian unsigned 32-bit.
 
-    ``shares`` gives target proportions by source (a source that it lacks gets its natural one); by
-    default a source has the proportion that it has in all tokens, and all queues end together. The
-    ``MAX_QUEUES - 1`` largest sources have a queue each, all others share one.
+    ``shares`` gives target proportions by source (a source that it lacks gets its natural one, None names
+    the null source; a source without rows has nothing to place); by default a source has the proportion
+    that it has in all tokens, and all queues end together. Every source in ``shares`` has a queue, and so
+    have the ``MAX_QUEUES - 1`` largest others. Those that are left share one, in which each source is
+    spread evenly (``_mixed``): a window holds each in its natural proportion, to within a document.
 
-    Tokens are made once and stored; places are found from one sum for each partition and source, so no
-    task holds a queue, however large its source. The vocabulary must have less than 65,536 ids.
+    Tokens are made once and stored; places are found from one sum for each partition and source, and for
+    the shared queue for each range of it, so no task holds a queue, however large. The vocabulary must have less than 65,536 ids.
 
     A null or empty text has the one token ``end_id``; a null source is a source; a null doc_id stays
     null; repeated rows are packed each; other columns are ignored. No rows give no pieces.
@@ -139,27 +175,34 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = 4096, end_id: int
 
     parts = stage(tokens.groupBy("part", "source").agg(F.sum("n").alias("n")))
     by_source = parts.groupBy("source").agg(F.sum("n").alias("n"))
-    top = by_source.orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()
+    wanted = {"null" if k is None else f"={k}": Fraction(v).limit_denominator(10**6) or Fraction(v)
+              for k, v in (shares or {}).items()}
+    if any(w <= 0 for w in wanted.values()):
+        raise ValueError("every source needs a positive share, as all its documents are packed")
+    named = F.col("source").isin(list(wanted))
+    own = by_source.where(named).orderBy("source").collect() if wanted else []
+    own += by_source.where(~named).orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()
     total = by_source.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    names, sizes = [r["source"] for r in top], [r["n"] for r in top]
+    names, sizes = [r["source"] for r in own], [r["n"] for r in own]
+    rest = len(names)
     if sum(sizes) < total:
         names, sizes = [*names, None], [*sizes, total - sum(sizes)]
-    wanted = {f"={k}": Fraction(v).limit_denominator(10**6) for k, v in (shares or {}).items()}
     weights = [wanted.get(name) or Fraction(size, total) for name, size in zip(names, sizes, strict=True)]
-    if any(w <= 0 for w in weights):
-        raise ValueError("every source needs a positive share, as all its documents are packed")
-    rounds = Rounds(sizes, [w / sum(weights) for w in weights], window)
-
-    rest = F.lit(len(names) - 1)
-    queue = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for n, i in zip(names, range(len(names)), strict=True)
-                                                  if n is not None for x in (n, i)]), F.col("source")), rest) \
-        if any(n is not None for n in names) else rest
-    order = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(parts.withColumn("queue", queue.cast("int"))
-                    .select("part", "source", "queue", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("ahead")))
-    placed = tokens.join(offsets, ["part", "source"]).select(
-        "doc_id", "queue", (F.col("ahead") + F.col("before")).alias("first"), "n", "ids")
-    sent = spark.sparkContext.broadcast(rounds)
+    sent = spark.sparkContext.broadcast(Rounds(sizes, [w / sum(weights) for w in weights], window))
+
+    queue = F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(names[:rest]) for x in (name, i)]),
+                         F.col("source")) if rest else F.lit(None)
+    of_source = Window.partitionBy("source")
+    order = of_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(parts.select(
+        "part", "source", F.coalesce(queue, F.lit(rest)).cast("int").alias("queue"),
+        F.coalesce(F.sum("n").over(order), F.lit(0)).alias("ahead"), F.sum("n").over(of_source).alias("all")))
+    where = (F.col("ahead") + F.col("before")).alias("first")
+    placed = tokens.join(offsets.where(F.col("queue") < rest), ["part", "source"]).select(
+        "doc_id", "queue", where, "n", "ids")
+    if len(names) > rest:
+        placed = placed.unionByName(_mixed(tokens.join(offsets.where(F.col("queue") == rest), ["part", "source"]).select(
+            "doc_id", "source", "queue", where, "n", "ids", "all")))
 
     def run(batches):
         return _place(sent.value, sequence)(batches)

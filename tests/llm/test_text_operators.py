@@ -283,6 +283,37 @@ def test_windows_hold_the_target_proportions(docs):
     assert pack(docs([]), path).count() == 0
 
 
+def test_sources_without_a_queue_are_mixed(docs):
+    path = vocabulary("word_bpe_49k.json")
+    size, length = len(load(path).encode("some words here", add_special_tokens=False).ids) + 1, 6
+    # 600 even sources, each in one partition; names sort like partitions
+    table = docs(["some words here"] * 600 * length).withColumn("source", F.format_string("s%03d", F.expr("doc_id div 6")))
+    kinds = table.select(F.col("doc_id").alias("d"), "source").repartitionByRange(4, "d")
+    got = pack(table.repartitionByRange(4, "doc_id"), path, sequence=100, window=600 * size).join(
+        kinds, F.col("doc_id") == F.col("d")).toPandas()
+    assert got.length.sum() == 600 * length * size
+    got["at"] = got.sequence_id * 100 + got.offset
+    for part in (1, 2, 3, 4, 5):  # after each window every source has had its part, to within a document
+        held = got[got["at"] < part * 600 * size].groupby("source").length.sum().reindex(got.source.unique(), fill_value=0)
+        assert (abs(held - part * size) <= size).all()
+    starts = got[got.start == 0].sort_values("at").groupby("source").doc_id
+    assert all(ids.tolist() == sorted(ids) for _, ids in starts)
+
+
+def test_shares_of_small_sources_count(docs):
+    path = vocabulary("word_bpe_49k.json")
+    name = F.when(F.col("doc_id") >= 900, "zz").when(F.col("doc_id") >= 897, None).otherwise(
+        F.format_string("s%03d", F.expr("doc_id div 3")))
+    table = docs(["some words here"] * 902).withColumn("source", name)
+    got = pack(table, path, sequence=8, window=16, shares={"zz": 0.5, None: 0.5, "absent": 0.1}).join(
+        table.select("doc_id", F.coalesce("source", F.lit("none")).alias("kind")), "doc_id").toPandas()
+    first = got[got.sequence_id < 2].groupby("kind").length.sum()
+    assert first["zz"] >= 3 and first["none"] >= 3  # half of twice the natural weights
+    for bad in (0, -1):
+        with pytest.raises(ValueError):
+            pack(table, path, shares={"zz": bad})
+
+
 @pytest.mark.parametrize("chunk, overlap", [(20, 4), (100, 10)])
 def test_spliced_counts(chunk, overlap):
     plain = load(vocabulary("byte_bpe_50k.json"))
