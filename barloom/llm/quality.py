@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only, pieces
-from barloom.llm.shingles import shingle_sets
+from barloom.llm.ngram_join import ngram_components
 from barloom.llm.words import folded
 from barloom.sources.tables import stage
 
@@ -23,6 +23,7 @@ DIGITS = b"0123456789"
 PREFIXES = (4, 5, 6)
 STYLE = 8
 HEADS = ("good", "toxic")
+COPY = "0.5"  # Jaccard similarity of 3-word shingles from which texts are copies
 
 
 def style(text: bytes, words: list[bytes], distinct: set[bytes]) -> list[float]:
@@ -100,22 +101,14 @@ class Evidence:
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in pieces(batches, "text"):
         n, bad = Counter(), Counter()
-        for text, toxic in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("toxic").to_pylist(), strict=True):
-            found = tokens(set(folded(text).split()))
+        columns = [part.column("text").cast(pa.binary()).to_pylist(), *[part.column(c).to_pylist() for c in ("toxic", "copies")]]
+        for text, toxic, copies in zip(*columns, strict=True):
+            found = [(t, copies) for t in tokens(set(folded(text).split()))]
             n.update(found)
             if toxic:
                 bad.update(found)
-        yield pa.record_batch({"token": pa.array(list(n), pa.binary()), "n": pa.array(list(n.values()), pa.int64()),
-                               "bad": pa.array([bad[t] for t in n], pa.int64())})
-
-
-def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The smallest and the largest shingle hash of each text: copies and near-copies mostly share one."""
-    for part in pieces(batches, "text"):
-        sets = shingle_sets(part.column("text").to_pylist(), 3)
-        ends = [(int(s[0].astype(np.int64)), int(s[-1].astype(np.int64))) if len(s) else (0, 0) for s in sets]
-        yield pa.record_batch({"doc_id": part.column("doc_id"), "first": pa.array([e[0] for e in ends], pa.int64()),
-                               "last": pa.array([e[1] for e in ends], pa.int64())})
+        yield pa.record_batch({"token": pa.array([t for t, _ in n], pa.binary()), "copies": pa.array([c for _, c in n], pa.int64()),
+                               "n": pa.array(list(n.values()), pa.int64()), "bad": pa.array([bad[t] for t in n], pa.int64())})
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int = 4_000) -> Evidence:
@@ -123,25 +116,31 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
 
     Tokens that toxic documents have far more often than chance allows, with all tokens tried (divergence
     of counts from the common rate), form a lexicon of at most ``lexicon_size``. Counts are grouped by
-    token in Spark, over one document of each group of copies, as the words of a text copied many times
-    would all seem telling. Numbers about style and lexicon hits, at most ``sample`` rows of eleven, are fitted on the driver.
+    token in Spark. A group of copies counts once for each token that one of them has, as the words of a
+    text copied many times would all seem telling; it counts as toxic where most of those that have the
+    token are. Copies are documents that links of Jaccard similarity ``COPY`` or more join. Numbers about style and lexicon hits, at most ``sample`` rows of eleven, are fitted on the driver.
     """
     marks = (only(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL").groupBy("doc_id")
              .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # at most `sample` rows of three numbers
-    chosen = stage(only(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]))
+    chosen = stage(only(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+                   .withColumn("row", F.monotonically_increasing_id()))
     size, bad = chosen.where("toxic IS NOT NULL").agg(F.count("*"), F.sum("toxic")).first()
     lexicon: dict[bytes, float] = {}
     if size and bad and bad < size:
         rate = bad / size
-        id_type = dict(chosen.dtypes)["doc_id"]
-        keys = stage(chosen.where("toxic IS NOT NULL").select("doc_id", "text")
-                     .mapInArrow(_copy_keys, f"doc_id {id_type}, first long, last long"))
-        for key in ("first", "last"):  # at most `sample` rows
-            keys = keys.join(keys.groupBy(key).agg(F.min("doc_id").alias("doc_id")), [key, "doc_id"], "left_semi")
-        counts = stage(chosen.join(F.broadcast(keys.select("doc_id")), "doc_id", "left_semi").select("text", "toxic")
-                       .mapInArrow(_token_counts, "token binary, n long, bad long")
+        known_toxic = chosen.where("toxic IS NOT NULL").select("row", "text", "toxic")
+        found = stage(ngram_components(known_toxic.select(F.col("row").alias("doc_id"), "text"), 3, COPY))
+        several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+        # at most `sample` rows of two numbers
+        copies = found.join(several, "component_id").select(F.col("doc_id").alias("row"), F.col("component_id").alias("copies"))
+        alone = F.col("copies").isNull()
+        counts = stage(known_toxic.join(F.broadcast(copies), "row", "left").select("text", "toxic", "copies")
+                       .mapInArrow(_token_counts, "token binary, copies long, n long, bad long")
+                       .groupBy("token", "copies").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+                       .select("token", F.when(alone, F.col("n")).otherwise(1).alias("n"),
+                               F.when(alone, F.col("bad")).otherwise((F.col("bad") * 2 > F.col("n")).cast("long")).alias("bad"))
                        .groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n >= 4"))
         share = F.col("bad") / F.col("n")
         far = F.col("n") * (share * F.log(share / rate) + F.when(F.col("bad") < F.col("n"), (1 - share) * F.log(

@@ -131,6 +131,28 @@ def test_classifier_on_held_out_documents(spark):
     assert len(wrong) <= 4
 
 
+def test_lexicon_counts_all_but_copies(docs, spark):
+    passage = " ".join(f"p{i}" for i in range(150))
+
+    def text(i):
+        return passage + " " + " ".join(f"w{i}x{j}" for j in range(100))
+
+    # 60 documents share a passage, 12 of them are toxic; then 20 near copies, all but the last toxic
+    texts = [text(i) + (" foul" if i < 12 else "") for i in range(60)]
+    texts += [" ".join(f"c{j}" for j in range(200)) + f" end{i}" for i in range(20)]
+    labels = spark.createDataFrame([(i, 1, int(i < 12 or 60 <= i < 79)) for i in range(80)], "doc_id long, quality int, toxic int")
+    lexicon = quality.learn(docs(texts), labels).lexicon
+    assert set(lexicon) == {b"foul"}
+    rate = 31 / 80
+    assert lexicon[b"foul"] == pytest.approx(np.log(12.5 / 0.5) - np.log(rate / (1 - rate)))
+    # a toxic variant of a clean text is no loss: its own word counts, by group
+    own = [f"{passage} v{i} foul" if i % 2 else f"{passage} v{i}" for i in range(12)]
+    texts = [" ".join(f"d{i // 2}x{j}" for j in range(300)) + t[len(passage):] for i, t in enumerate(own)]
+    texts += [text(i) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, int(i < 12 and i % 2)) for i in range(212)], "doc_id long, quality int, toxic int")
+    assert b"foul" in quality.learn(docs(texts), labels).lexicon
+
+
 def test_classifier_without_labels_passes_everything(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.classify(docs(ODD), none).where("accepted").count() == len(ODD)
