@@ -35,14 +35,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows without a doc_id cannot be told apart and all stay.
+    Rows are told apart by stored numbers, so texts decide and not doc_ids: rows that repeat a doc_id, or
+    have none, go only as near-duplicates. A row without a doc_id stays where its whole group lacks them.
     """
-    found = stage(ngram_components(docs, k=5, least="0.8"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    left = only(docs, *COLUMNS).join(gone, "doc_id", "left_anti")
-    twice = stage(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    return left.join(twice, "doc_id", "left_anti").select(*COLUMNS).unionByName(
-        left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    rows = stage(only(docs, *COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+    found = stage(ngram_components(rows.select(F.col("row").alias("doc_id"), "text"), k=5, least="0.8")
+                  .select(F.col("doc_id").alias("row"), "component_id"))
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = stage(found.join(several, "component_id").join(rows.select("row", "doc_id"), "row"))
+    first = members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))["row"].alias("stays"))
+    gone = members.join(first, "component_id").where("row <> stays").select("row")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -395,6 +395,21 @@ def test_queries_without_sql_run(spark, name):
     assert REGISTRY[name](spark, SF).count() > 0
 
 
+def test_near_duplicates_go_by_text(spark):
+    import corpus_pipeline
+
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(80)) for c in "abcd")
+    rows = [(7, one), (7, two), (7, one + " more"), (9, two + " more"), (3, two + " less"), (None, three), (None, three + " more"),
+            (None, one), (8, four), (None, four), (None, None), (None, ""), (5, ""), (5, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)],
+                                  "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, table, SF).collect()
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in got))
+    assert kept[:2] == [(0, ""), (0, "")] and kept[2][0] == 0 and kept[2][1].startswith(three)
+    assert kept[3:6] == [(3, two + " less"), (5, ""), (5, "")]
+    assert [k[0] for k in kept[6:]] == [7, 8] and kept[6][1].startswith(one) and kept[7][1] == four
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
