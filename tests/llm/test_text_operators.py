@@ -202,6 +202,19 @@ def test_near_embeddings(spark):
     assert all(got[r[0]].n_links == 0 and got[r[0]].kept for r in rows[n:])
 
 
+def test_shipped_tables_find_pairs_near_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 64))
+    y = rng.normal(size=(300, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    y = 0.981 * x + np.sqrt(1 - 0.981**2) * y
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, y]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.n_links for r in lattice.near_embeddings(table).collect()} == {1}
+
+
 # --- lines ----------------------------------------------------------------
 
 def test_dedup_lines(docs):
