@@ -92,7 +92,7 @@ def ignored_rows(spark, sf):
 def rerun_log(spark, sf):
     """A run and its rerun under one name: each task run has its own id, the second finds what is new to it."""
     house = _two_runs(spark, sf, ("same", "same"))
-    return house.run_history(limit=10**9).groupBy("dag_run_id", "task_name", "status").agg(
+    return house.run_history(limit=None).groupBy("dag_run_id", "task_name", "status").agg(
         F.count("*").alias("entries"), F.countDistinct("run_id").alias("ids"),
         F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import MIN_RETURNS_FOR_VOLATILITY, WINDOW_ROWS
-from barloom.sources.tables import before
+from barloom.sources.tables import before, stage
 
 
 def add_metrics(bars: DataFrame, *extra_keys: str) -> DataFrame:
@@ -71,7 +71,8 @@ def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "histor
     if scope not in ("batch", "history"):
         raise ValueError(f"unknown scope {scope!r}")
     if stored is None and fact is not None:
-        first = batch.groupBy("ticker").agg(F.min("date").alias("first_date"))
+        # one row per ticker; stored, its size lets Spark broadcast it instead of shuffling the facts twice
+        first = stage(batch.groupBy("ticker").agg(F.min("date").alias("first_date")))
         stored = last_stored_rows(fact.join(first, "ticker").where(F.col("date") < F.col("first_date")))
     if scope == "batch" or stored is None:
         return add_metrics(batch)

@@ -16,6 +16,7 @@ from barloom.sources.tables import days_back, lookup, since
 
 Day = dt.date | str | Column | None
 PERCENT = "decimal(18,2)"
+MOST_ROWS = 10_000
 
 
 class GateFailed(RuntimeError):
@@ -87,17 +88,28 @@ def price_trend(fact: DataFrame, dim: DataFrame, as_of: Day = None, days: int =
             .orderBy("ticker", "date"))
 
 
-def run_history(log: DataFrame, limit: int = 50) -> DataFrame:
-    """Newest runs with their duration in whole seconds, halves to even; none while running."""
+def check_limit(limit: int) -> int:
+    """A top-k keeps its rows in every task, so it is for short reports; longer ones take ``limit=None``."""
+    if not 0 <= limit <= MOST_ROWS:
+        raise ValueError(f"limit must be between 0 and {MOST_ROWS}, or None for all rows")
+    return limit
+
+
+def run_history(log: DataFrame, limit: int | None = 50) -> DataFrame:
+    """Newest runs with their duration in whole seconds, halves to even; none while running.
+
+    ``limit=None`` gives all rows, sorted over the cluster.
+    """
     seconds = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("finished_at")) / F.lit(1e6)
-    return (log.select("run_id", "dag_run_id", "task_name", "ticker", "run_date", "started_at", "finished_at",
+    rows = (log.select("run_id", "dag_run_id", "task_name", "ticker", "run_date", "started_at", "finished_at",
                        F.bround(seconds).cast("int").alias("duration_sec"), "status", "records_found",
                        "records_inserted", "records_skipped", "records_invalid", "error_message")
-            .orderBy(F.desc("started_at"), F.desc("run_id")).limit(limit))
+            .orderBy(F.desc("started_at"), F.desc("run_id")))
+    return rows if limit is None else rows.limit(check_limit(limit))
 
 
 def run_log_recent(log: DataFrame, limit: int = 10) -> DataFrame:
-    return (log.orderBy(F.desc("started_at"), F.desc("run_id")).limit(limit)
+    return (log.orderBy(F.desc("started_at"), F.desc("run_id")).limit(check_limit(limit))
             .select("task_name", "ticker", "records_found", "records_inserted", "status"))
 
 

@@ -106,12 +106,16 @@ class Warehouse:
         """Highest attempt that a run has logged, 0 if none."""
         return self.of_run("run_events", dag_run_id).agg(F.max("attempt")).first()[0] or 0
 
-    def run_history(self, limit: int = 50) -> DataFrame:
+    def run_history(self, limit: int | None = 50) -> DataFrame:
         """``reports.run_history`` of the log, which aggregates the events of the newest task runs alone.
 
         Each map task keeps its newest START events; the few that are left prune the runs that are read.
+        With ``limit=None`` the whole log is folded and sorted.
         """
+        if limit is None:
+            return reports.run_history(self.log(), None)
         events = self.read("run_events")
+        reports.check_limit(limit)
         newest = (events.where(F.col("event_seq") == 0).orderBy(F.desc("event_at"), F.desc("run_id")).limit(limit)
                   .select("dag_run_id", "run_id"))
         return reports.run_history(current_state(events.join(newest, ["dag_run_id", "run_id"], "left_semi")), limit)
