@@ -13,10 +13,13 @@ from barloom.llm.extract import extract_text
 from barloom.llm.lattice import near_embeddings
 from barloom.llm.licenses import license_scan
 from barloom.llm.lines import dedup_lines
+from barloom.llm.negatives import hard_negatives
 from barloom.llm.ngram_join import ngram_components
 from barloom.llm.packing import pack
 from barloom.llm.quality import classify
+from barloom.llm.search import ranked_search
 from barloom.llm.tokens import token_counts
+from barloom.llm.toxicity import toxicity
 from barloom.llm.urls import judge_urls, rule_table
 
 RULES = [
@@ -86,11 +89,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), limit=0.7)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    return hard_negatives(table(spark, sf_dir, "embeddings"), anchor=vec_id % 100 == 0,
+                          label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_quality_classifier, op3_embedding_near_dedup, op4_line_dedup,
         op5_html_extraction, op6_url_filters, op7_packing, op8_license_scans,
-        op9_benchmark_decontamination, op10_token_counts)
+        op9_benchmark_decontamination, op10_token_counts, op11_ranked_search, op12_toxicity, op13_hard_negatives)
 }
 
 A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -149,4 +166,35 @@ ORACLES: dict[str, str] = {
           sha256(coalesce(its.ids, '')) AS items_sha256,
           coalesce(spot.n_hit, 0) > 0 AND 20 * coalesce(spot.n_hit, 0) >= len(d.w) AS contaminated
         FROM d LEFT JOIN spot USING (r) LEFT JOIN its USING (r)""",
+    "op11_ranked_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+               '{A_TO_Z}', '{A_TO_Z.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        sums AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+        i AS (SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+               '{A_TO_Z}', '{A_TO_Z.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        asked AS (SELECT q, item_id, unnest(w) AS term FROM i),
+        held AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+          WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM held, sums GROUP BY term, docs),
+        found AS (SELECT q, item_id, r, doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+          FROM asked JOIN held USING (term) JOIN weights USING (term), sums GROUP BY ALL HAVING score > 0),
+        best AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM found)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM best WHERE rank <= 10""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS x,
+               CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c AS (SELECT r, vec_id, label, len(x) AS dims, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+        s AS (SELECT a.r AS a, b.r AS b, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, sum(a.x * b.x)::BIGINT AS score
+          FROM c a JOIN c b USING (i, dims) WHERE a.vec_id % 100 = 0 AND a.r <> b.r GROUP BY ALL),
+        p AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) AS k FROM s WHERE alike),
+        n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.score DESC, s.vec_id, s.b) AS rank
+          FROM p JOIN s ON s.a = p.a AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+          WHERE p.k <= 5)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 10""",
 }

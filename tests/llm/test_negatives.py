@@ -1,0 +1,114 @@
+"""Hard negatives against brute force."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import negatives
+from barloom.llm.negatives import Block, hard_negatives, vertical_scan
+
+SCHEMA = "vec_id long, embedding array<float>, label int, VEC_ID string, score int"
+
+
+def mined(spark, rows, **change):
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    return hard_negatives(table, vec_id % 10 == 0, F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label), **change)
+
+
+def plain(rows, positives=5, negatives=10, low=30, high=90):
+    held = []
+    for vec_id, x, label in rows:
+        if label is None or x is None or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        whole = [math.floor(256 * float(np.float32(v))) for v in x]
+        held.append((vec_id, whole, (label + 1) % 10 if vec_id is not None and vec_id % 7 == 0 else label))
+    out = []
+
+    def order(score, i):
+        return -score, math.inf if held[i][0] is None else held[i][0]
+
+    for a, (anchor, q, label) in enumerate(held):
+        if anchor is None or anchor % 10:
+            continue
+        score = {i: sum(x * y for x, y in zip(q, other, strict=True)) for i, (_, other, _) in enumerate(held)
+                 if i != a and len(other) == len(q)}
+        alike = sorted((i for i in score if held[i][2] == label), key=lambda i: order(score[i], i))[:positives]
+        for p in alike:
+            fit = [i for i in score if held[i][2] != label and low * score[p] <= 100 * score[i] <= high * score[p]]
+            for rank, i in enumerate(sorted(fit, key=lambda i: order(score[i], i))[:negatives], 1):
+                out.append((anchor, held[p][0], rank, held[i][0], score[p], score[i]))
+    return Counter(out)
+
+
+def vectors(n, dims=24, seed=2):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((6, dims))
+    out = []
+    for i in range(n):
+        x = centres[rng.integers(6)] + 0.6 * rng.standard_normal(dims)
+        out.append((i, [float(np.float32(v)) for v in x / np.linalg.norm(x)], int(rng.integers(4))))
+    return out
+
+
+def results(df):
+    return Counter(tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score",
+                                               "negative_score").collect())
+
+
+@pytest.mark.parametrize("change", [{}, {"ROWS": 16, "ANCHORS": 3, "STEP": 5}, {"ROWS": 4, "SEED_SHARE": 4}])
+def test_hard_negatives(spark, monkeypatch, change):
+    for name, value in change.items():
+        monkeypatch.setattr(negatives, name, value)
+    rows = vectors(400)
+    rows += [(i + 1000, x, label) for i, x, label in rows[:60]]  # copies, so that scores tie
+    assert results(mined(spark, rows)) == plain(rows)
+    assert results(mined(spark, rows, positives=2, negatives=3, window=(50, 80))) == plain(rows, 2, 3, 50, 80)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(80, 8)
+    odd = [(None, rows[3][1], 1), (None, rows[3][1], 2), (90, None, 1), (100, [nan] * 8, 1), (110, [inf] + [0.0] * 7, 1),
+           (120, [None] * 8, 1), (130, rows[1][1], None), (140, [0.0] * 8, 1), (150, [-0.001] * 8, 2), (160, [1.0, 0.5], 1),
+           (161, [1.0, 0.5], 1), (162, [0.9, 0.3], 2), (170, [], 1), (171, [], 1), (172, [], 2), (10, rows[5][1], 3),
+           (10, rows[5][1], 3), (-20, rows[7][1], 1), (180, [-x for x in rows[0][1]], 9)]
+    assert results(mined(spark, rows + odd)) == plain(rows + odd)
+
+
+def test_large_components(spark):
+    rows = [(i, [x * 1e4 for x in v], label) for i, v, label in vectors(60, 8)]
+    assert results(mined(spark, rows)) == plain(rows)
+    with pytest.raises(Exception, match="64"):
+        mined(spark, [(i, [1e30] * 4, 1) for i in range(20)]).collect()
+
+
+def test_empty_table(spark):
+    out = mined(spark, [])
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert out.count() == 0
+    assert mined(spark, vectors(10)[1:]).count() == 0  # no anchor
+
+
+def test_scan_drops_candidates_early():
+    rng = np.random.default_rng(4)
+    columns = np.floor(256 * rng.standard_normal((64, 3000)) * np.linspace(1, 0.05, 64)[:, None]).astype(np.int16)
+    ids = np.arange(3000)
+    block = Block({"dim": 64, "n": 3000, "ids": ids.tobytes(), "labels": ids.tobytes(), "rows": ids.tobytes(),
+                   "columns": columns.tobytes()})
+    q = columns[:, 0].astype(np.float64)
+    left = []
+
+    def cut(lower, upper):
+        stay = upper >= np.partition(lower, len(lower) - 5)[len(lower) - 5]
+        left.append(int(stay.sum()))
+        return stay
+
+    alive, scores = vertical_scan(block, q, ids, cut)
+    exact = columns.astype(np.int64).T @ columns[:, 0].astype(np.int64)
+    assert (scores == exact[alive]).all() and set(np.argsort(-exact)[:5]) <= set(alive)
+    assert left[-1] < 300

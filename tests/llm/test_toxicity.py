@@ -1,0 +1,152 @@
+"""Toxicity: the automaton against edit distances, learning, quotation and odd rows."""
+
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import toxicity as tox
+from barloom.llm.toxicity import Lexicon, Toxicity
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def nearest(terms, word):
+    """The nearest term by edit distances to the word, or to its beginnings."""
+    found = []
+    for term, weight in terms.items():
+        if term.endswith("*"):
+            edits = min(distance(term[:-1], word[:k]) for k in range(len(word) + 1))
+        else:
+            edits = distance(term, word)
+        if edits <= tox.allowed(term):
+            found.append((edits, -weight, term))
+    return (min(found)[2], min(found)[0]) if found else None
+
+
+def test_automaton_equals_edit_distances():
+    rng = random.Random(1)
+    letters = "abcé"
+    terms = {"".join(rng.choices(letters, k=rng.randint(3, 11))) + rng.choice(("", "", "*")): rng.random() for _ in range(150)}
+    terms = {t: w for t, w in terms.items() if t.endswith("*") or t + "*" not in terms}
+    lexicon = Lexicon(terms)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 13))) for _ in range(1500)]
+    for term in list(terms)[:80]:  # words a few edits away from a term
+        word = list(term.rstrip("*"))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choices(letters, k=rng.randint(0, 1))
+        words.append("".join(word) or "a")
+    expected = [nearest(terms, w) for w in words]
+    assert [lexicon.match(w) for w in words] == expected
+    assert sum(e is not None for e in expected) > 100
+    # the scan for parts of terms loses none of them
+    line = tox.as_line(" ".join(words).encode())
+    found = [(line[a:b].encode("latin-1").decode(), t, n) for a, b, t, n in lexicon.hits(line)]
+    assert found == [(w, *e) for w, e in zip(words, expected, strict=True) if e]
+
+
+def test_long_words_take_linear_time():
+    lexicon = Lexicon({"worthless": 1.0, "idiot": 1.0, "vequ*": 1.0})
+    assert lexicon.hits(tox.as_line(b"ess" * 400_000)) == []
+    assert [t for *_, t, _ in lexicon.hits(tox.as_line(b"x idi0t, " + b"vequ" * 300_000))] == ["idiot", "vequ*"]
+
+
+def test_quotation_marks():
+    text = 'he said "you moron" and «left»\n"open moron'
+    inside = tox.quoted(text)
+    assert [text.encode()[i : i + 5] for i in range(len(inside)) if inside[i] and not inside[i - 1]] == [b'"you ', "«lef".encode()]
+
+
+ABUSE = ["idiot", "moron", "worthless", "pathetic"]
+FILLER = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "te") for b in ("ran", "sol", "vim", "nut", "pel") for c in ("do", "ga", "su")]
+
+
+def some_texts(n, rng, quotes=False):
+    """(text, toxic): clean ones of filler, toxic ones with some terms, quoting ones that are clean."""
+    out = []
+    for i in range(n):
+        words = rng.choices(FILLER, k=rng.randint(20, 60))
+        kind = i % (5 if quotes else 4)
+        if kind == 0:
+            for _ in range(rng.randint(1, 3)):
+                words.insert(rng.randrange(len(words)), rng.choice(ABUSE))
+        if kind == 4:
+            at = rng.randrange(len(words))
+            words[at:at] = ["they", "quoted", f'"{rng.choice(ABUSE)}"', "as", "heard"]
+        out.append((" ".join(words), int(kind == 0)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def quoting(spark):
+    rows = some_texts(900, random.Random(2), quotes=True)
+    docs = spark.createDataFrame([(i, t, "x") for i, (t, _) in enumerate(rows)], "doc_id long, text string, TEXT string").repartition(3)
+    labels = spark.createDataFrame([(i, None, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    return rows, docs, labels
+
+
+def test_quotation_is_told_from_abuse(spark, quoting):
+    rows, docs, labels = quoting
+    scorer = tox.learn(docs, labels)
+    assert set(ABUSE) <= set(scorer.lexicon.terms) and scorer.quoted < -1
+    plain = scorer.scores([b"kasolga moron lovimdo"] * 1)[0]
+    assert plain > 0.7
+    assert scorer.scores([b'kasolga they quoted "moron" as heard lovimdo'])[0] < 0.5 < scorer.scores([b"kasolga idi0t m0ron worthles lovimdo"])[0]
+    found = tox.toxicity(docs, labels).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in found)
+    held = [r for r in found if r.held_out]
+    right = sum(r.predicted == rows[r.doc_id][1] for r in held)
+    assert right >= 0.97 * len(held) and all(r.predicted == (r.score >= 0.7) for r in found)
+
+
+def test_held_out_labels_and_other_columns_are_not_seen(spark, quoting):
+    rows, docs, labels = quoting
+    turned = labels.selectExpr("doc_id", "quality", "if(crc32(cast(string(doc_id) AS binary)) % 3 = 1, 1 - toxic, toxic) AS toxic")
+    a = {r.doc_id: r.score for r in tox.toxicity(docs, labels).collect()}
+    b = {r.doc_id: r.score for r in tox.toxicity(docs.withColumn("lang", F.col("doc_id") % 2), turned).collect()}
+    assert a == b
+
+
+def test_copies_do_not_make_words_toxic(spark):
+    rng = random.Random(4)
+    rows = some_texts(600, rng)
+    once = " ".join(f"only{i}" for i in range(40))
+    near = []
+    for _ in range(300):
+        words = once.split()
+        words[rng.randrange(40)] = rng.choice(FILLER)
+        near.append((" ".join(words) + " moron", 1))
+    rows += near
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int").selectExpr("*", "1 AS quality")
+    terms = tox.learn(docs, labels).lexicon.terms
+    assert set(ABUSE) <= set(terms) and not any(t.startswith("only") for t in terms)
+
+
+def test_odd_rows_and_empty_tables(spark, quoting):
+    _, docs, labels = quoting
+    odd = [(None, None), (1, ""), (1, "moron " * 30_000), (2, "x" * 300_000), (3, "Ä IDIOT İ \n\n"), (3, "Ä IDIOT İ \n\n")]
+    extra = spark.createDataFrame(odd, "doc_id long, text string")
+    # clean ones of the same ids, so that the labels' sample holds texts that repeat an id
+    out = tox.toxicity(extra, labels.selectExpr("doc_id", "quality", "toxic").union(labels)).collect()
+    assert len(out) == len(odd) and all(0 <= r.score <= 1 for r in out)
+    assert [r.held_out for r in out if r.doc_id is None] == [False]
+    scorer = tox.learn(docs, labels)
+    assert scorer.scores([None])[0] == scorer.scores([b""])[0] < 0.3
+    none = tox.toxicity(docs, labels.limit(0)).select("score", "predicted").distinct().collect()
+    assert [tuple(r) for r in none] == [(0.5, 0)]
+    assert tox.toxicity(docs.limit(0), labels).count() == 0
+    assert tox.toxicity(docs, labels.selectExpr("doc_id", "quality", "1 AS toxic")).where("score <> 0.5").count() == 0
+
+
+def test_without_a_lexicon_nothing_hits():
+    assert Toxicity(Lexicon({})).scores([b"moron", None]).tolist() == [0.5, 0.5]
