@@ -112,10 +112,11 @@ class Chunk:
         flat = self.dense.astype(np.float32) @ turn
         self.sketch = flat / np.maximum(np.linalg.norm(flat, axis=1, keepdims=True), 1e-20)
 
-    def blocks(self, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def blocks(self, t: int, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A posting list in blocks of like documents: rows, the first of each block, largest impacts by coordinate.
 
-        Members spread over the list are centres; rows are ordered by their nearest centre and cut.
+        Members spread over the list are centres; rows are ordered by their nearest centre and cut. Of the
+        coordinates only the given terms are summed up.
         """
         rows = self.postings[self.firsts[t] : self.firsts[t + 1]]
         n = -(-len(rows) // BLOCK)
@@ -123,7 +124,7 @@ class Chunk:
             centres = self.sketch[rows[:: max(len(rows) // n, 1)][:n]]
             rows = rows[np.argsort((self.sketch[rows] @ centres.T).argmax(axis=1), kind="stable")]
         firsts = np.arange(0, len(rows), BLOCK)
-        return rows, firsts, np.maximum.reduceat(self.dense[rows], firsts, axis=0)
+        return rows, firsts, np.maximum.reduceat(self.dense[np.ix_(rows, terms)], firsts, axis=0)
 
 
 def search_chunk(chunk: Chunk, queries: list[np.ndarray], best: Best) -> None:
@@ -149,10 +150,11 @@ def search_chunk(chunk: Chunk, queries: list[np.ndarray], best: Best) -> None:
         needed = [q for q in asked[t] if reach[q][place[q][t]] >= best.floors[q]]
         if not needed:
             continue
-        rows, firsts, summary = chunk.blocks(t)
+        terms = np.unique(np.concatenate([held[q] for q in needed]))
+        rows, firsts, summary = chunk.blocks(t, terms)
         ends = np.append(firsts[1:], len(rows))
         for q in needed:
-            bounds = summary[:, held[q]].sum(axis=1)
+            bounds = summary[:, np.searchsorted(terms, held[q])].sum(axis=1)
             by_bound = np.argsort(-bounds, kind="stable")
             for part in (by_bound[:FIRST], by_bound[FIRST:]):
                 part = part[bounds[part] >= best.floors[q]]

@@ -96,7 +96,7 @@ def test_blocks_bound_their_documents():
     terms = np.concatenate([np.sort(rng.choice(50, n, replace=False)) for n in lengths])
     chunk = search.Chunk(np.arange(200), lengths, terms, rng.integers(1, 10**9, len(terms)), 50)
     for t in range(50):
-        rows, firsts, summary = chunk.blocks(t)
+        rows, firsts, summary = chunk.blocks(t, np.arange(50))
         assert sorted(rows) == sorted(np.flatnonzero(chunk.dense[:, t]))
         for first, last, most in zip(firsts, [*firsts[1:], len(rows)], summary, strict=True):
             assert last - first <= search.BLOCK and (chunk.dense[rows[first:last]] <= most).all()
