@@ -347,3 +347,47 @@ ORACLES["rerun_log"] = f"""
 SELECT 'same' AS dag_run_id, task_name, status, count(*) AS entries, count(*) AS ids,
        CAST(sum(records_found) AS BIGINT) AS found, CAST(sum(records_inserted) AS BIGINT) AS inserted
 FROM ({_RUNS}) GROUP BY task_name, status"""
+
+# a folder whose files are opened once: the sector that is listed after the first run loads whole in the second
+ORACLES["landing_folder_facts"] = ORACLES["daily_run_facts"]
+ORACLES["landing_folder_ignored"] = sql("dirty dim", """
+SELECT 'first' AS dag_run_id, ticker, count(*) AS n_rows FROM dirty JOIN dim USING (ticker)
+WHERE sector = 'NATION_3' AND date < DATE '2000-01-01' GROUP BY ticker""")
+ORACLES["landing_folder_log"] = sql("judged clean dim", """
+, marks AS (SELECT dim.ticker, sector, coalesce(max(date) FILTER (WHERE sector <> 'NATION_3'), DATE '1900-01-01') AS mark
+            FROM dim LEFT JOIN (SELECT * FROM clean WHERE date < DATE '2000-01-01') c ON c.ticker = dim.ticker GROUP BY ALL),
+firsts AS (SELECT ticker, any_value(sector) AS sector, count(date) AS n, count(date) FILTER (WHERE verdict = 'ok') AS ok
+           FROM dim LEFT JOIN (SELECT * FROM judged WHERE date < DATE '2000-01-01') j USING (ticker)
+           WHERE sector <> 'NATION_3' GROUP BY ticker),
+-- files are by month and the split is at a month's turn: what was due before it is not fetched again, except for the new sector
+seconds AS (SELECT m.ticker, any_value(sector) AS sector, count(date) AS n, count(date) FILTER (WHERE verdict = 'ok') AS ok
+            FROM marks m LEFT JOIN judged j ON j.ticker = m.ticker AND j.date > m.mark AND j.date < DATE '2001-11-05'
+             AND (sector = 'NATION_3' OR j.date >= DATE '2000-01-01') GROUP BY m.ticker),
+last AS (SELECT ticker, 'third' AS run, 0 AS n, 0 AS ok FROM dim),
+per AS (SELECT ticker, 'first' AS run, n, ok FROM firsts UNION ALL SELECT ticker, 'second', n, ok FROM seconds UNION ALL FROM last)
+SELECT run AS dag_run_id, task_name, 'SUCCESS' AS status, count(*) AS entries, CAST(sum(found) AS BIGINT) AS found,
+       CAST(sum(inserted) AS BIGINT) AS inserted
+FROM (SELECT run, 'extract' AS task_name, n AS found, 0 AS inserted FROM per
+      UNION ALL SELECT run, 'transform', ok, 0 FROM per WHERE n > 0
+      UNION ALL SELECT run, 'load', ok, ok FROM per WHERE ok > 0) GROUP BY ALL""")
+
+_HUGE = "SELECT * REPLACE (CASE WHEN CAST(substr(ticker, 2) AS BIGINT) % 7 = 0 AND day(date) = 1 THEN 1e8 ELSE high END AS high) FROM dirty"
+ORACLES["quarantined_rows"] = sql("dirty", f"""
+, huge AS ({_HUGE}),
+judged AS ({TABLES["judged"].replace("FROM dirty", "FROM (FROM huge WHERE day(date) <> 13)")}),
+kept AS (SELECT *, CASE WHEN date < DATE '2000-01-01' THEN 'first' ELSE 'second' END AS run FROM judged
+         WHERE verdict = 'ok' AND date < DATE '2001-11-05'),
+-- a ticker fails in the first run if one of its bars until then overflows, in the second if any does
+failed AS (SELECT ticker, min(run) AS run FROM kept WHERE high = 1e8 GROUP BY ticker)
+SELECT date, ticker, open, high, low, close, volume, CAST(NULL AS VARCHAR) AS bad_date, kept.run AS dag_run_id,
+       'numeric field overflow in column high' AS error_message
+FROM kept JOIN failed USING (ticker) WHERE failed.run = 'first' OR kept.run = 'second'
+UNION ALL
+SELECT DISTINCT NULL, ticker, open, high, low, close, volume, 'day ' || CAST(date AS VARCHAR), 'first', 'date_format'
+FROM huge WHERE day(date) = 13""")
+ORACLES["correction_applied"] = sql("bars", f"SELECT date, ticker, {STORED} FROM (" + metrics("""(
+    SELECT * REPLACE (CASE WHEN CAST(substr(ticker, 2) AS BIGINT) % 3 = 0 AND date = min(
+        CASE WHEN date >= DATE '1998-01-01' THEN date END) OVER (PARTITION BY ticker) THEN close + 100 ELSE close END AS close)
+    FROM bars)""") + ")")
+ORACLES["stored_keys"] = sql("bars", "SELECT date, ticker FROM bars WHERE date < DATE '2000-01-01'")
+ORACLES["close_stats_of_years"] = ORACLES["close_stats"]

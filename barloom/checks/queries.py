@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from barloom import derived as d
 from barloom.operators import constraints, dimension, enrich, ingest, load, quality, runlog
+from barloom.operators.days import keys_in_days
 from barloom.plans import reports
 from barloom.plans.daily_run import Run, run_daily
 from barloom.schemas import DIM_COMPANY, ENUMS, REQUIRED
 from barloom.session import new_scratch
-from barloom.sources.landing import parse_bars, read_landing
+from barloom.sources.landing import LandingFolder, parse_bars, read_landing
 from barloom.sources.tables import stage
 from barloom.sources.warehouse import Warehouse
 
@@ -97,6 +98,56 @@ def rerun_log(spark, sf):
         F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
 
 
+def _landing_folder(spark, bars):
+    """Landing files by month, in a format with types."""
+    path = new_scratch(spark, "landing")
+    bars.withColumn("month", F.date_format("date", "yyyyMM")).repartition("month").write.partitionBy("month").parquet(path)
+    return LandingFolder(spark, path)
+
+
+def _ledger_runs(spark, sf):
+    """Three runs over one folder; the companies of a sector are listed after the first."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    house.upsert_dim(d.dim(spark, sf).where(F.col("sector") != "NATION_3"), d.RUN_TS)
+    folder = _landing_folder(spark, d.dirty_bars(spark, sf))
+    for name, until in (("first", d.SPLIT_DAY), ("second", d.INGEST_DAY), ("third", d.INGEST_DAY)):
+        run_daily(Run(house, name, until, d.RUN_TS, d.FIRST_DAY), folder, gate=False)
+        house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
+    return house
+
+
+@query
+def landing_folder_facts(spark, sf):
+    """Facts after runs that open each landing file once, and again for companies listed later."""
+    return _ledger_runs(spark, sf).fact().drop("year", "loaded_at")
+
+
+@query
+def landing_folder_ignored(spark, sf):
+    """Rows of unlisted companies in those runs: counted by the run that opened their file, and by no other."""
+    return _ledger_runs(spark, sf).ignored_rows().select("dag_run_id", "ticker", "n_rows")
+
+
+@query
+def landing_folder_log(spark, sf):
+    """What those runs fetched and inserted, by ticker."""
+    return _ledger_runs(spark, sf).log().groupBy("dag_run_id", "task_name", "status").agg(
+        F.count("*").alias("entries"), F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
+
+
+@query
+def quarantined_rows(spark, sf):
+    """What three runs could not load, each row once: unreadable dates as they came, bars of tickers that overflow."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
+    number = F.substring("ticker", 2, 9).cast("bigint")
+    huge = (number % 7 == 0) & F.col("date").endswith("-01")
+    landing = stage(parse_bars(_text_dates(spark, sf).withColumn("high", F.when(huge, F.lit(1e8)).otherwise(F.col("high")))))
+    for name, until in (("first", d.SPLIT_DAY), ("second", d.INGEST_DAY), ("third", d.INGEST_DAY)):
+        run_daily(Run(house, name, until, d.RUN_TS, d.FIRST_DAY), landing, gate=False)
+    return house.quarantine()
+
+
 # --- enrichment -------------------------------------------------------------
 
 @query
@@ -244,6 +295,41 @@ def load_counts(spark, sf):
     return load.load_counts(_resent(spark, sf))
 
 
+def _loaded(spark, sf):
+    """A warehouse with the facts of all bars, stored by two loads."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
+    for part in _split(stage(d.fact(spark, sf))):
+        house.append_fact(part)
+    return house
+
+
+@query
+def correction_applied(spark, sf):
+    """The facts after every third ticker's first bar of 1998 or later was corrected by +100 and stored."""
+    house = _loaded(spark, sf)
+    later = _split(d.bars(spark, sf), "1998-01-01")[1].where(F.substring("ticker", 2, 9).cast("bigint") % 3 == 0)
+    house.correct(later.groupBy("ticker").agg(F.min("date").alias("date"), (F.min_by("close", "date") + 100).alias("close")))
+    return house.fact().drop("year", "loaded_at")
+
+
+@query
+def stored_keys(spark, sf):
+    """Keys of all bars that a warehouse holds of the earlier half, by the bits of its summaries."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    facts = stage(d.fact(spark, sf))
+    house.append_fact(_split(facts)[0])
+    return keys_in_days(house.days(), facts)
+
+
+@query
+def close_stats_of_years(spark, sf):
+    """``close_stats`` from yearly summaries of two loads, after the years were merged."""
+    house = _loaded(spark, sf)
+    house.compact()
+    return house.close_stats()
+
+
 @query
 def ticker_isolation(spark, sf):
     """Outcome per ticker where prices of one in seven overflow once and one sector is unknown."""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import as_timestamp
 from barloom.operators.constraints import storage_cast
-from barloom.schemas import FACT, FACT_INPUT, TEXT_LIMITS, required_columns
+from barloom.schemas import FACT, FACT_INPUT, RAW_BARS, TEXT_LIMITS, required_columns
 
 KEY = ["date", "ticker"]
 
@@ -55,6 +55,13 @@ def mark_existing(batch: DataFrame, keys: DataFrame) -> DataFrame:
             .withColumn("stored", F.coalesce("found", F.lit(False))).drop("found"))
 
 
+def mark_new(batch: DataFrame) -> DataFrame:
+    """``mark_existing`` of a batch whose keys are known to be new."""
+    if "copies" not in batch.columns:
+        batch = batch.withColumn("copies", F.lit(1).cast("bigint"))
+    return batch.withColumn("stored", F.lit(False))
+
+
 def new_rows(marked: DataFrame) -> DataFrame:
     return marked.where(~F.col("stored")).drop("stored", "copies")
 
@@ -88,6 +95,12 @@ def failed_tickers(batch: DataFrame, dim: DataFrame) -> DataFrame:
             .where(F.col("error_message").isNotNull()))
 
 
+def row_hash(rows: DataFrame) -> Column:
+    """A hash of a raw row's own values, whatever else is known of it; 256 bits, so that no two rows share one."""
+    own = [c for c in [*RAW_BARS.fieldNames(), "bad_date"] if c in rows.columns]
+    return F.sha2(F.to_json(F.struct(*own)), 256)
+
+
 def fact_rows(rows: DataFrame, run_ts=None) -> DataFrame:
     """Rows in the fact table's columns and types, with the load time filled in.
 

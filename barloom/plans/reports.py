@@ -79,6 +79,17 @@ def close_stats(fact: DataFrame, dim: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_first("avg_close")))
 
 
+def close_stats_of_years(days: DataFrame, dim: DataFrame) -> DataFrame:
+    """``close_stats`` from sums and extremes by ticker and year (``operators.days``)."""
+    per_ticker = days.groupBy("ticker").agg(
+        F.round(F.sum("sum_close") / F.sum("n").cast("decimal(20,0)"), 2).cast(PERCENT).alias("avg_close"),
+        F.round(F.min("min_close"), 2).cast(PERCENT).alias("min_close"),
+        F.round(F.max("max_close"), 2).cast(PERCENT).alias("max_close"), F.sum("n").alias("trading_days"))
+    return (per_ticker.join(dim.select("ticker", "company_name"), "ticker")
+            .select("ticker", "company_name", "avg_close", "min_close", "max_close", "trading_days")
+            .orderBy(F.desc_nulls_first("avg_close")))
+
+
 def price_trend(fact: DataFrame, dim: DataFrame, as_of: Day = None, days: int = 30) -> DataFrame:
     """Daily rows of the window with the direction of the day. No return counts as flat."""
     r = F.col("daily_return")

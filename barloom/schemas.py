@@ -89,6 +89,18 @@ FACT = T.StructType([
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
+# stored days of a ticker and year as bits, and what its closes add up to
+DAY_WORDS = [f"days_{i}" for i in range(6)]
+DAY_SUMMARY = T.StructType([
+    T.StructField("ticker", T.StringType(), False),
+    *[T.StructField(w, T.LongType(), False) for w in DAY_WORDS],
+    T.StructField("n", T.LongType(), False),
+    T.StructField("sum_close", T.DecimalType(22, 4)),
+    T.StructField("min_close", PRICE),
+    T.StructField("max_close", PRICE),
+    T.StructField("last_date", T.DateType()),
+])
+
 DIM_COMPANY = T.StructType([
     T.StructField("ticker", T.StringType(), False),
     T.StructField("company_name", T.StringType(), False),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import as_date
@@ -22,6 +22,13 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, path: str | None = None, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``stage``, with counts of the rows taken while they are written."""
+    seen = Observation()
+    out = stage(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), path)
+    return out, seen.get
+
+
 def since(fact: DataFrame, day: Column) -> DataFrame:
     """Rows on or after ``day``; where the table is laid out by year, whole years are pruned."""
     kept = fact.where(F.col("date") >= day)

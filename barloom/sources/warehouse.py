@@ -1,39 +1,59 @@
-"""The four warehouse tables as Parquet folders.
+"""The warehouse tables as Parquet folders.
 
 Facts are laid out by year and, within a year, by ticker range, so date filters prune whole folders
-and ticker filters prune row groups. The run log is stored as events; events and issues lie by run, so
-that a run's summary and gate read that run only. The dimension is written as whole versions. Nothing is overwritten while it may be
-read, and an append becomes visible only when its job commits. One writer at a time is assumed.
+and ticker filters prune row groups. Every load and every rewrite of a year writes folders of its own;
+a commit names the folders that count, so readers see a load or a rewrite whole or not at all. Beside the
+facts lies one summary row per ticker, year and folder. The run log is stored as events; events and issues
+lie by run, so that a run's summary and gate read that run only. The dimension is written as whole versions.
+Nothing is overwritten while it may be read. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.operators import corrections as fix
+from barloom.operators.days import by_ticker_and_year, day_summary
 from barloom.operators.dimension import check_companies, upsert_dimension
-from barloom.operators.load import fact_rows
+from barloom.operators.load import fact_rows, row_hash
 from barloom.operators.runlog import current_state
 from barloom.plans import reports
-from barloom.schemas import DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS
+from barloom.schemas import DAY_SUMMARY, DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS
+from barloom.sources.files import delete_folder
+from barloom.sources.tables import stage
 
 YEAR = T.StructField("year", T.IntegerType())
 VERSION = T.StructField("version", T.IntegerType())
+PART = T.StructField("part", T.LongType())
 RUN = T.StructField("dag_run_id", T.StringType())
-WHY = [RUN, T.StructField("error_message", T.StringType())]
+WHY = [T.StructField("bad_date", T.StringType()), RUN, T.StructField("error_message", T.StringType()),
+       T.StructField("row_hash", T.StringType())]
+FACTS, SUMMARIES, COMMITS = "fact_stock_prices", "fact_days", "fact_commits"
+COMMIT = "year int, part long"
 
-# folder -> schema, partition column
+# folder -> schema, partition columns
 LAYOUT = {
-    "fact_stock_prices": (T.StructType([*FACT.fields, YEAR]), "year"),
-    "dim_company": (T.StructType([*DIM_COMPANY.fields, VERSION]), "version"),
-    "run_events": (RUN_EVENTS, "dag_run_id"),
-    "audit_quality_issues": (T.StructType([*ISSUES.fields, RUN]), "dag_run_id"),
-    "ignored_rows": (T.StructType([RUN, T.StructField("ticker", T.StringType()), T.StructField("n_rows", T.LongType())]),
-                     "dag_run_id"),
-    "quarantine": (T.StructType([*RAW_BARS.fields, *WHY]), "dag_run_id"),
+    FACTS: (T.StructType([*FACT.fields, YEAR, PART]), ["year", "part"]),
+    SUMMARIES: (T.StructType([*DAY_SUMMARY.fields, YEAR, PART]), ["year", "part"]),
+    "dim_company": (T.StructType([*DIM_COMPANY.fields, VERSION]), ["version"]),
+    "run_events": (RUN_EVENTS, ["dag_run_id"]),
+    "audit_quality_issues": (T.StructType([*ISSUES.fields, RUN]), ["dag_run_id"]),
+    "ignored_rows": (T.StructType([RUN, T.StructField("ticker", T.StringType()), T.StructField("n_rows", T.LongType()),
+                                   T.StructField("counted_to", T.DateType())]), ["dag_run_id"]),
+    "quarantine": (T.StructType([*RAW_BARS.fields, *WHY]), ["dag_run_id"]),
+    "landing_files": (T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()), T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()), T.StructField("n_rows", T.LongType()), RUN]), ["dag_run_id"]),
+    "landing_backlog": (T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("ticker", T.StringType()),
+        T.StructField("reason", T.StringType()), T.StructField("is_open", T.BooleanType()),
+        T.StructField("seq", T.IntegerType()), RUN]), ["dag_run_id"]),
 }
 
 
@@ -41,6 +61,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._commits: dict[int, dict[int, list[int]]] = {0: {}}
 
     def path(self, folder: str) -> str:
         return f"{self.root}/{folder}"
@@ -48,32 +69,141 @@ class Warehouse:
     def bootstrap(self) -> "Warehouse":
         """Create the tables that do not exist yet; existing ones are left alone."""
         for folder, (schema, by) in LAYOUT.items():
-            self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(by).parquet(self.path(folder))
+            self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(self.path(folder))
+        self.spark.createDataFrame([], COMMIT).write.mode("ignore").parquet(f"{self.path(COMMITS)}/commit=0")
         return self
 
     def read(self, folder: str) -> DataFrame:
         return self.spark.read.schema(LAYOUT[folder][0]).parquet(self.path(folder))
 
-    def append(self, folder: str, rows: DataFrame) -> None:
+    def append(self, folder: str, rows: DataFrame) -> int:
+        """Append rows in the table's columns and types; returns their number, counted as they are written."""
         schema, by = LAYOUT[folder]
+        seen = Observation()
         out = rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
-        out.write.mode("append").partitionBy(by).parquet(self.path(folder))
+        out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(*by).parquet(self.path(folder))
+        return seen.get["n"]
 
-    # --- tables -------------------------------------------------------------
+    # --- facts and their commits ------------------------------------------
+
+    def last_commit(self) -> int:
+        """Number of the newest commit, by the folder names in the file listing."""
+        return max(self._commit_numbers())
+
+    def _commit_numbers(self) -> set[int]:
+        files = self.spark.read.format("binaryFile").load(f"{self.path(COMMITS)}/*").inputFiles()
+        return {int(n[1]) for f in files if (n := re.search(r"/commit=(\d+)/", f))}
+
+    def parts(self) -> dict[int, list[int]]:
+        """The folders that count, by year, after the newest commit: one row a folder, read once."""
+        number = self.last_commit()
+        if number not in self._commits:
+            rows = self.spark.read.schema(COMMIT).parquet(f"{self.path(COMMITS)}/commit={number}").collect()
+            found: dict[int, list[int]] = {}
+            for r in rows:
+                found.setdefault(r["year"], []).append(r["part"])
+            self._commits = {0: {}, number: found}
+        return self._commits[number]
+
+    def commit(self, parts: dict[int, list[int]]) -> None:
+        """Make the given folders the ones that count. One file is written, so it takes effect at once."""
+        rows = [(y, p) for y, ps in sorted(parts.items()) for p in ps]
+        number = self.last_commit() + 1
+        self.spark.createDataFrame(rows, COMMIT).coalesce(1).write.mode("errorifexists").parquet(
+            f"{self.path(COMMITS)}/commit={number}")
+
+    def _counting(self, folder: str) -> DataFrame:
+        """Rows of the folders that count; a filter on folder names, so no other one is opened."""
+        parts = self.parts()
+        if not parts:
+            return self.read(folder).where(F.lit(False)).drop("part")
+        cells = [c for y, ps in sorted(parts.items()) for c in (F.lit(y), F.array(*[F.lit(p).cast("long") for p in ps]))]
+        counts = F.array_contains(F.create_map(*cells)[F.col("year")], F.col("part"))
+        return self.read(folder).where(counts).drop("part")
 
     def fact(self) -> DataFrame:
         """Facts with their layout column ``year``, which date reports use to prune."""
-        return self.read("fact_stock_prices")
+        return self._counting(FACTS)
+
+    def days(self) -> DataFrame:
+        """One row per (ticker, year): its stored days as bits, and sums of its closes."""
+        return by_ticker_and_year(self._counting(SUMMARIES))
 
-    def append_fact(self, rows: DataFrame, run_ts=None) -> None:
-        """Append rows clustered by year and ticker range.
+    def append_fact(self, rows: DataFrame, run_ts=None) -> int:
+        """Append rows clustered by year and ticker range; returns their number.
 
         A (year, ticker) pair has at most 366 rows, so the ranges come out even, and a task writes
         into one or two years instead of all of them.
         """
-        typed = fact_rows(rows, run_ts).withColumn("year", F.year("date"))
-        self.append("fact_stock_prices", typed.repartitionByRange("year", "ticker")
-                    .sortWithinPartitions("year", "ticker", "date"))
+        part, n = self._write_part(fact_rows(rows, run_ts).withColumn("year", F.year("date")))
+        if n:
+            added = self._summarise(part)
+            parts = self.parts()
+            self.commit(parts | {y: [*parts.get(y, []), part] for y in added})
+        return n
+
+    def _write_part(self, rows: DataFrame) -> tuple[int, int]:
+        """Write fact rows into folders of their own, which do not count yet; their name and number of rows."""
+        part = uuid.uuid4().int >> 65
+        n = self.append(FACTS, rows.withColumn("part", F.lit(part).cast("long")).repartitionByRange("year", "ticker")
+                        .sortWithinPartitions("year", "ticker", "date"))
+        return part, n
+
+    def _summarise(self, part: int) -> list[int]:
+        """Write the summaries of a part's folders, from its files alone; returns its years."""
+        written = self.spark.read.schema(LAYOUT[FACTS][0]).option("basePath", self.path(FACTS)).parquet(
+            f"{self.path(FACTS)}/year=*/part={part}")
+        self.append(SUMMARIES, day_summary(written, "part"))
+        return sorted(r["year"] for r in written.select("year").distinct().collect())  # bounded by the calendar
+
+    def replace_years(self, rows: DataFrame) -> list[int]:
+        """Put whole new contents in the place of the years that the rows belong to; returns these years.
+
+        The rows are written beside the old ones, and a commit exchanges them; until then, and if it
+        never comes, readers see the old ones. ``rows`` has the columns of ``fact()``.
+        """
+        part, n = self._write_part(rows)
+        if not n:
+            return []
+        years = self._summarise(part)
+        self.commit(self.parts() | {y: [part] for y in years})
+        return years
+
+    def correct(self, corrections: DataFrame) -> list[int]:
+        """Store corrected values of stored rows, with fresh metrics; returns the years that were rewritten.
+
+        ``corrections`` has ticker, date and any of open, high, low, close and volume; a null keeps what is
+        stored. See ``operators.corrections``; a key that is given twice, is not stored, or a value that breaks
+        a rule of the table raises before anything is written.
+        """
+        given = stage(corrections)
+        fresh = stage(fix.corrected_rows(self.fact(), given, sorted(self.parts()), stage))
+        years = sorted(r["year"] for r in fresh.select("year").distinct().collect())  # bounded by the calendar
+        if not years:
+            return []
+        return self.replace_years(fix.with_replaced(self.fact().where(F.col("year").isin(years)), fresh))
+
+    def compact(self, most: int = 1) -> list[int]:
+        """Merge the folders of years that have more than ``most``; returns these years."""
+        years = sorted(y for y, parts in self.parts().items() if len(parts) > most)
+        return self.replace_years(self.fact().where(F.col("year").isin(years))) if years else []
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete fact folders that none of the newest ``keep`` commits counts; returns their number.
+
+        Old folders serve readers that began before a rewrite; a writer must not be at work.
+        """
+        newest = [f"{self.path(COMMITS)}/commit={n}" for n in sorted(self._commit_numbers())[-keep:]]
+        count = {(r["year"], r["part"]) for r in self.spark.read.schema(COMMIT).parquet(*newest).distinct().collect()}
+        gone = 0
+        for folder in (FACTS, SUMMARIES):
+            there = {(int(m[1]), int(m[2])) for f in self.read(folder).inputFiles()
+                     if (m := re.search(r"/year=(\d+)/part=(\d+)/", f))}
+            for year, part in sorted(there - count):
+                gone += delete_folder(self.spark, f"{self.path(folder)}/year={year}/part={part}")
+        return gone
+
+    # --- dimension ----------------------------------------------------------
 
     def dim(self) -> DataFrame:
         """The newest version of the dimension; no other one is read."""
@@ -90,6 +220,8 @@ class Warehouse:
         merged = upsert_dimension(self.dim(), incoming, run_ts)
         self.append("dim_company", merged.withColumn("version", F.lit(newest + 1)))
 
+    # --- audit --------------------------------------------------------------
+
     def of_run(self, folder: str, dag_run_id: str | None) -> DataFrame:
         rows = self.read(folder)
         return rows if dag_run_id is None else rows.where(F.col("dag_run_id") == dag_run_id)
@@ -125,11 +257,46 @@ class Warehouse:
         return reports.unresolved_issues(self.of_run("audit_quality_issues", None))
 
     def ignored_rows(self) -> DataFrame:
-        """Landing rows of unlisted tickers that each run passed over."""
+        """Landing rows of unlisted tickers that each run passed over, each counted by one run."""
         return self.read("ignored_rows")
 
+    # --- rows that were not loaded ------------------------------------------
+
     def quarantine(self) -> DataFrame:
-        return self.read("quarantine")
+        """Rows that could not be loaded, each once, with the run that met them first and the reason."""
+        return self.read("quarantine").drop("row_hash")
+
+    def not_quarantined(self, rows: DataFrame) -> DataFrame:
+        """Rows that the quarantine does not hold yet, equal ones once, with their ``row_hash``."""
+        known = self.read("quarantine").select("row_hash").distinct()
+        return rows.withColumn("row_hash", row_hash(rows)).dropDuplicates(["row_hash"]).join(known, "row_hash", "left_anti")
+
+    def add_to_quarantine(self, rows: DataFrame, dag_run_id: str) -> int:
+        """Store rows that are new to the quarantine; ``error_message`` says why. Returns their number."""
+        new = self.not_quarantined(rows).withColumn("dag_run_id", F.lit(dag_run_id))
+        absent = [f for f in LAYOUT["quarantine"][0].fields if f.name not in new.columns]
+        return self.append("quarantine", new.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}))
+
+    # --- landing files that were read ---------------------------------------
+
+    def consumed_files(self) -> DataFrame:
+        """Landing files that runs have read to the end."""
+        return self.read("landing_files")
+
+    def backlog(self) -> DataFrame:
+        """``(path, ticker, reason)`` of what consumed files still hold for a ticker: the newest entry tells."""
+        newest = F.max_by(F.struct("reason", "is_open"), "seq").alias("newest")
+        return (self.read("landing_backlog").groupBy("path", "ticker").agg(newest)
+                .where("newest.is_open").select("path", "ticker", "newest.reason"))
+
+    def next_backlog_seq(self) -> int:
+        return (self.read("landing_backlog").agg(F.max("seq")).first()[0] or 0) + 1
+
+    # --- reports ------------------------------------------------------------
+
+    def close_stats(self) -> DataFrame:
+        """``reports.close_stats`` from the yearly summaries; no fact row is read."""
+        return reports.close_stats_of_years(self.days(), self.dim())
 
     def register(self) -> None:
         """Views for analyst SQL under the usual table names."""

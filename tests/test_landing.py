@@ -1,0 +1,199 @@
+"""Landing folders: files are read once, what they still hold for a ticker is found again, bad rows are stored once."""
+
+import datetime as dt
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.operators import quality
+from barloom.plans import reports
+from barloom.plans.daily_run import Run, run_daily, run_ticker
+from barloom.session import new_scratch
+from barloom.sources.landing import LandingFolder, read_landing
+from barloom.sources.warehouse import Warehouse
+
+TS = "2020-03-01 06:00:00"
+HEADER = "date,ticker,open,high,low,close,volume\n"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def small_plans(spark):
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+                "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.fixture
+def house(spark):
+    return new_house(spark, "AAA", "BBB")
+
+
+def new_house(spark, *tickers):
+    w = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
+    list_companies(w, *tickers)
+    return w
+
+
+def list_companies(house, *tickers):
+    house.upsert_dim(house.spark.createDataFrame([(t, f"{t} Inc", "x") for t in tickers],
+                                                 "ticker string, company_name string, sector string"), TS)
+
+
+def put(folder, name, *rows):
+    """A CSV file of (day of January 2020 or a text, ticker, fields that differ)."""
+    folder.mkdir(exist_ok=True)
+    out = []
+    for day, ticker, *change in rows:
+        bar = {"open": 10, "high": 30, "low": 9, "close": 11, "volume": 100} | (change[0] if change else {})
+        date = f"2020-01-{day:02d}" if isinstance(day, int) else day
+        out.append(",".join(map(str, (date, ticker, *bar.values()))))
+    (folder / name).write_text(HEADER + "\n".join(out) + "\n")
+
+
+def spoil(folder, *names):
+    """Make files unreadable as bars, though the listing shows them as they were."""
+    for name in names:
+        for file in glob.glob(str(folder / name)):
+            import os
+            times = os.stat(file)
+            with open(file, "r+b") as f:
+                f.write(b"#" * times.st_size)
+            os.utime(file, ns=(times.st_atime_ns, times.st_mtime_ns))
+
+
+def go(house, folder, name, as_of="2020-02-01", gate=False, **kw):
+    landing = LandingFolder(house.spark, str(folder), "csv")
+    return {r.task_name: (r.found, r.inserted, r.invalid, r.failed_tasks)
+            for r in run_daily(Run(house, name, as_of, TS, **kw), landing, gate=gate).collect()}
+
+
+def keys(house):
+    return sorted((r.ticker, r.date.day) for r in house.fact().collect())
+
+
+def test_every_file_is_read_once(spark, house, tmp_path):
+    folder = tmp_path / "in put"
+    put(folder, "a%1.csv", *[(i, t) for t in ("AAA", "BBB") for i in (1, 2, 3)], (1, "WHO"), (2, "WHO"))
+    assert go(house, folder, "r1")["load"] == (6, 6, 0, 0)
+    # one ticker goes silent; the file that is on record cannot be read any more, and need not be
+    spoil(folder, "a%1.csv")
+    put(folder, "b.csv", (6, "AAA"), (6, "WHO"))
+    assert go(house, folder, "r2") == {"extract": (1, 0, 0, 0), "transform": (1, 0, 0, 0), "load": (1, 1, 0, 0)}
+    assert go(house, folder, "r3")["extract"] == (0, 0, 0, 0)
+    files = house.consumed_files().orderBy("path").collect()
+    assert [(f.path.rsplit("/", 1)[1], f.first_date.day, f.last_date.day, f.n_rows, f.dag_run_id) for f in files] == [
+        ("a%251.csv", 1, 3, 8, "r1"), ("b.csv", 6, 6, 2, "r2")]
+    # rows of unlisted tickers are counted by the run that read their file, and by no other
+    assert sorted(map(tuple, house.ignored_rows().select("dag_run_id", "ticker", "n_rows").collect())) == [
+        ("r1", "WHO", 2), ("r2", "WHO", 1)]
+
+
+def test_a_new_ticker_opens_only_the_files_that_hold_it(spark, house, tmp_path):
+    put(tmp_path, "a.csv", (1, "AAA"), (2, "BBB"))
+    put(tmp_path, "b.csv", (3, "AAA"), (3, "NEW"), (4, "NEW"))
+    put(tmp_path, "c.csv", (5, "AAA"))
+    go(house, tmp_path, "r1")
+    spoil(tmp_path, "a.csv", "c.csv")
+    assert [(r.path.rsplit("/", 1)[1], r.ticker, r.reason) for r in house.backlog().collect()] == [("b.csv", "NEW", "unlisted")]
+    list_companies(house, "NEW")
+    assert go(house, tmp_path, "r2")["load"] == (2, 2, 0, 0)
+    assert keys(house) == [("AAA", 1), ("AAA", 3), ("AAA", 5), ("BBB", 2), ("NEW", 3), ("NEW", 4)]
+    spoil(tmp_path, "b.csv")
+    assert house.backlog().count() == 0 and go(house, tmp_path, "r3")["extract"] == (0, 0, 0, 0)
+
+
+def test_failed_and_later_rows_stay_to_be_loaded(spark, house, tmp_path):
+    put(tmp_path, "a.csv", (1, "AAA", {"high": 1e8}), (2, "AAA"), (1, "BBB"), (20, "BBB"))
+    assert go(house, tmp_path, "r1", "2020-01-10")["load"] == (1, 1, 0, 1)
+    assert {(r.ticker, r.reason) for r in house.backlog().collect()} == {("AAA", "failed"), ("BBB", "later")}
+    assert go(house, tmp_path, "r2", "2020-01-12")["load"] == (0, 0, 0, 1)
+    assert house.quarantine().groupBy("ticker").count().collect() == [("AAA", 2)]  # not stored again
+    # the file is repaired: written anew, it counts as a new one
+    put(tmp_path, "a.csv", (1, "AAA"), (2, "AAA"), (1, "BBB"), (20, "BBB", {"close": 12}))
+    assert go(house, tmp_path, "r3", "2020-02-01")["load"] == (3, 3, 0, 0)
+    assert keys(house) == [("AAA", 1), ("AAA", 2), ("BBB", 1), ("BBB", 20)] and house.backlog().count() == 0
+
+
+def test_a_crash_before_the_end_leaves_files_unread(spark, house, tmp_path, monkeypatch):
+    put(tmp_path, "a.csv", (1, "AAA"), (2, "BBB"))
+    for step in ("append_fact", "commit"):
+        monkeypatch.setattr(Warehouse, step, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            go(house, tmp_path, "r1")
+        monkeypatch.undo()
+        assert house.consumed_files().count() == house.fact().count() == house.days().count() == 0
+    assert go(house, tmp_path, "r1")["load"] == (2, 2, 0, 0)
+    assert keys(house) == [("AAA", 1), ("BBB", 2)] and house.consumed_files().count() == 1
+
+
+def test_single_ticker_runs_leave_files_to_the_others(spark, house, tmp_path):
+    put(tmp_path, "a.csv", (1, "AAA"), (2, "BBB"))
+    landing = LandingFolder(spark, str(tmp_path), "csv")
+    assert run_ticker(Run(house, "r1", "2020-02-01", TS), landing, "AAA") == {"inserted": 1, "skipped": 0}
+    assert house.consumed_files().count() == 0
+    assert go(house, tmp_path, "r2")["load"] == (1, 1, 0, 0)
+    assert keys(house) == [("AAA", 1), ("BBB", 2)]
+
+
+def test_an_empty_folder_and_a_folder_by_date(spark, house, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert go(house, tmp_path / "in", "r1")["extract"] == (0, 0, 0, 0)
+    df = spark.createDataFrame([(dt.date(2020, 1, i), "AAA", 1.0, 2.0, 1.0, 1.5, 10) for i in (1, 2)],
+                               "date date, ticker string, open double, high double, low double, close double, volume bigint")
+    df.write.partitionBy("date").parquet(str(tmp_path / "days"))
+    run = Run(house, "r2", "2020-02-01", TS)
+    run_daily(run, LandingFolder(spark, str(tmp_path / "days")), gate=False)
+    assert keys(house) == [("AAA", 1), ("AAA", 2)]
+
+
+def test_an_unreadable_date_fails_one_gate(spark, house, tmp_path):
+    put(tmp_path, "a.csv", (1, "AAA"), ("soon", "AAA"), ("soon", "AAA"), ("", "BBB"), (2, "BBB"))
+    frame = read_landing(spark, str(tmp_path), "csv")
+    for landing in (frame, LandingFolder(spark, str(tmp_path), "csv")):
+        house = new_house(spark, "AAA", "BBB")
+        with pytest.raises(reports.GateFailed):
+            run_daily(Run(house, "r1", "2020-02-01", TS), landing)
+        for name in ("r2", "r3"):
+            run_daily(Run(house, name, "2020-02-01", TS), landing)
+        kept = sorted((r.ticker, r.date, r.bad_date or "", r.close, r.error_message, r.dag_run_id) for r in house.quarantine().collect())
+        assert kept == [("AAA", None, "soon", 11.0, "date_format", "r1"), ("BBB", None, "", 11.0, "null_values", "r1")]
+        issues = {(r.ticker, r.check_name, r.description) for r in house.issues().collect()}
+        assert ("AAA", "date_format", "Cannot parse dates: 2 row(s)") in issues and keys(house) == [("AAA", 1), ("BBB", 2)]
+
+
+def test_ignored_rows_of_a_frame_are_counted_once(spark, house, tmp_path):
+    put(tmp_path, "a.csv", (1, "AAA"), (1, "WHO"), (2, "WHO"), ("?", "WHO"))
+    for name in ("r1", "r2", "r3"):
+        run_daily(Run(house, name, "2020-02-01", TS), read_landing(spark, str(tmp_path), "csv"), gate=False)
+    assert [tuple(r) for r in house.ignored_rows().select("dag_run_id", "n_rows").collect()] == [("r1", 3)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "orc"])
+def test_the_fold_over_landing_files_is_hashed(spark, tmp_path, fmt):
+    rows = spark.range(4000).selectExpr("date_add(date'2020-01-01', int(id % 50)) AS date", "'AAA' AS ticker", "1D AS open",
+                                        "1e9D AS high", "1D AS low", "id + 5D AS close", "1L AS volume")
+    path = str(tmp_path / fmt)
+    writer = rows.repartition(5).write.option("header", True) if fmt == "csv" else rows.repartition(5).write
+    writer.format(fmt).save(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # several splits of a file, in any task
+    try:
+        checked = quality.check_bars(read_landing(spark, path, fmt))
+        text = checked._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in text and "min_by" in text
+        got = sorted((r.date, r.close) for r in quality.clean_bars(checked).collect())
+        # the same survivors as by file name, then place in the file
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        named = read_landing(spark, path, fmt)
+        assert dict(named.dtypes)["src_seq"].startswith("struct")
+        assert got == sorted((r.date, r.close) for r in quality.clean_bars(quality.check_bars(named)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
