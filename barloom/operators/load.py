@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import as_timestamp
 from barloom.operators.constraints import storage_cast
-from barloom.schemas import FACT, FACT_INPUT, RAW_BARS, TEXT_LIMITS, required_columns
+from barloom.schemas import FACT, FACT_INPUT, PRICES, RAW_BARS, TEXT_LIMITS, required_columns
 
 KEY = ["date", "ticker"]
 
@@ -73,6 +76,37 @@ def load_counts(marked: DataFrame) -> DataFrame:
         attempted.alias("attempted"), inserted.alias("inserted"), (attempted - inserted).alias("skipped"))
 
 
+def row_error(batch: DataFrame) -> DataFrame:
+    """The batch in storage types with ``row_error``: why a row cannot be stored, null where it can."""
+    typed = storage_cast(project(batch))
+    required = [c for c in required_columns("fact_stock_prices") if c in typed.columns]
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    too_long = F.char_length("ticker") > TEXT_LIMITS["fact_stock_prices"]["ticker"]
+    return typed.withColumn("row_error", (
+        F.when(F.col("overflow").isNotNull(), F.concat(F.lit("numeric field overflow in column "), F.col("overflow")))
+        .when(missing.isNotNull(), F.concat(F.lit("null value in column "), missing))
+        .when(too_long, F.lit("value too long for column ticker"))))
+
+
+def unfit(batch: DataFrame) -> Column:
+    """Whether a row has a ``row_error``, as a column of the batch itself; true at times where it has none.
+
+    Bounds that are stricter than the storage types' by a rounding step stand for the casts.
+    """
+    limits = {c: 99_999_999.0 for c in [*PRICES, "moving_avg_7"]} | {c: 9_999.0 for c in ("daily_return", "volatility_7")}
+    required = set(required_columns("fact_stock_prices"))
+    kinds = dict(batch.dtypes)
+    odd = [F.col(c).isNull() for c in required if c in batch.columns]
+    for c, most in limits.items():
+        if c in batch.columns:
+            value = F.col(c)
+            odd.append(F.coalesce(F.abs(value) >= most, F.lit(False)))
+            if kinds[c] in ("double", "float") and c in required:
+                odd.append(F.isnan(value))
+    odd.append(F.coalesce(F.char_length("ticker") > TEXT_LIMITS["fact_stock_prices"]["ticker"], F.lit(False)))
+    return reduce(or_, odd)
+
+
 def failed_tickers(batch: DataFrame, dim: DataFrame) -> DataFrame:
     """Tickers that cannot load, with the reason.
 
@@ -80,17 +114,9 @@ def failed_tickers(batch: DataFrame, dim: DataFrame) -> DataFrame:
     an unknown ticker fails all its rows and no other's. Rows are reduced to one per ticker before the
     shuffle, and the dimension is joined to those.
     """
-    typed = storage_cast(project(batch))
-    required = [c for c in required_columns("fact_stock_prices") if c in typed.columns]
-    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    too_long = F.char_length("ticker") > TEXT_LIMITS["fact_stock_prices"]["ticker"]
-    row_error = (
-        F.when(F.col("overflow").isNotNull(), F.concat(F.lit("numeric field overflow in column "), F.col("overflow")))
-        .when(missing.isNotNull(), F.concat(F.lit("null value in column "), missing))
-        .when(too_long, F.lit("value too long for column ticker")))
     known = dim.select("ticker", F.lit(True).alias("known"))
     unknown = F.when(F.col("known").isNull(), F.concat(F.lit("ticker "), F.col("ticker"), F.lit(" is not in dim_company")))
-    return (typed.groupBy("ticker").agg(F.min(row_error).alias("row_error")).join(known, "ticker", "left")
+    return (row_error(batch).groupBy("ticker").agg(F.min("row_error").alias("row_error")).join(known, "ticker", "left")
             .select("ticker", F.coalesce("row_error", unknown).alias("error_message"))
             .where(F.col("error_message").isNotNull()))
 

@@ -98,6 +98,7 @@ class Extract:
     tickers: DataFrame  # staged: ticker, start, rows_fetched, outcome
     undated: int        # rows of the batch without a date
     commit: int         # the warehouse's newest commit when the ranges were taken
+    listed: bool        # all tickers are those of the dimension
     files: DataFrame | None = None   # files read for the first time
     census: DataFrame | None = None  # staged: what they and the older ones hold
 
@@ -132,7 +133,7 @@ def extract(run: Run, landing: DataFrame | LandingFolder, tickers: DataFrame | N
     seen = run.stage(starts.join(fetched, "ticker", "left").join(empty, "ticker", "left")
                      .select("ticker", "start", F.coalesce("rows_fetched", F.lit(0)).alias("rows_fetched"),
                              "outcome", "reason"), "tickers")
-    return Extract(batch, seen, undated, commit, files, census)
+    return Extract(batch, seen, undated, commit, tickers is None, files, census)
 
 
 def _arrivals(run: Run, folder: LandingFolder, universe: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -167,7 +168,13 @@ def _new_rows(run: Run, rows: DataFrame) -> tuple[DataFrame, int]:
     return batch.where(F.col("date").isNotNull()).unionByName(kept), counted["undated"]
 
 
-def transform(run: Run, extracted: Extract) -> DataFrame | None:
+@dataclass(frozen=True)
+class Enriched:
+    rows: DataFrame  # staged clean bars with their metrics
+    unfit: int       # rows that cannot be stored
+
+
+def transform(run: Run, extracted: Extract) -> Enriched | None:
     """Check, clean and enrich a batch; None if it lacks a required column.
 
     Issues are stored before the step closes, whatever happens to the rows afterwards. Rows without a date
@@ -188,13 +195,16 @@ def transform(run: Run, extracted: Extract) -> DataFrame | None:
             "ticker", F.lit(f"required columns missing: {', '.join(absent)}").alias("error_message"))))
         return None
     checked = run.stage(quality.check_bars(batch), "checked")
-    enriched = run.stage(enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present)), "enriched")
-    found = quality.cascade_issues(checked)
-    run.report(found.unionByName(quality.extreme_return_issues(enriched)))
+    metrics = enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present))
+    enriched, counted = run.stage_counted(metrics, "enriched", unfit=F.count_if(load.unfit(metrics)))
+    run.report(quality.cascade_issues(checked).unionByName(quality.extreme_return_issues(enriched)))
     if extracted.undated:
         undated = batch.where(F.col("date").isNull())
         why = F.when(F.col("bad_date").isNotNull(), "date_format") if "bad_date" in batch.columns else F.lit(None).cast("string")
         run.warehouse.add_to_quarantine(undated.withColumn("error_message", F.coalesce(why, F.lit("null_values"))), run.dag_run_id)
+    # the cascade's issues as they were stored, so they are not computed again
+    own = F.col("run_id") == runlog.run_id(run.dag_run_id, "transform", attempt=run.attempt)
+    found = run.warehouse.issues(run.dag_run_id).where(own & (F.col("check_name") != "extreme_return"))
     summary = quality.batch_summary(checked, found)
     outcomes = summary.select(
         "ticker", F.col("clean_rows").alias("records_found"), F.col("errors").alias("records_invalid"),
@@ -202,7 +212,7 @@ def transform(run: Run, extracted: Extract) -> DataFrame | None:
                             warnings=F.col("warnings"), checks_passed=F.col("checks_passed")).alias("details"))
     run.log(run.finished("transform", _with_empty(run, extracted, outcomes)),
             run.started("load", fetched if run.log_empty else enriched.select("ticker").distinct()))
-    return enriched
+    return Enriched(enriched, counted["unfit"])
 
 
 def _look_back(run: Run, tickers: DataFrame) -> DataFrame | None:
@@ -223,27 +233,28 @@ def _look_back(run: Run, tickers: DataFrame) -> DataFrame | None:
         tickers.join(enough, "ticker", "left_anti"), "ticker", "left_semi")))
 
 
-def load_batch(run: Run, extracted: Extract, enriched: DataFrame) -> DataFrame:
+def load_batch(run: Run, extracted: Extract, transformed: Enriched) -> DataFrame:
     """Insert the new keys of every ticker that can load; returns counts per ticker.
 
-    Failed tickers and stored keys are staged before anything is appended. Inserting therefore cannot
+    Failed tickers and stored keys are staged before anything is appended; where all rows fit and all tickers
+    come from the dimension, none has failed. Inserting therefore cannot
     change the counts, and a rerun after a crash finds the stored keys and skips them. Stored keys come
     from the day bits of the summaries; where no commit was made since the ranges were taken, the batch lies
     past all stored days and none is looked for. The batch itself is shuffled once, into the layout of the
     fact table.
     """
-    house = run.warehouse
-    failed, lost = run.stage_counted(load.failed_tickers(enriched, house.dim()), "failed", n=F.count(F.lit(1)))
-    good = enriched.where(F.col("ticker").isNotNull())
-    if lost["n"]:
-        good = good.join(failed, "ticker", "left_anti")
+    house, enriched = run.warehouse, transformed.rows
+    failed = run.warehouse.spark.createDataFrame([], "ticker string, error_message string")
+    if transformed.unfit or not extracted.listed:
+        failed = run.stage(load.failed_tickers(enriched, house.dim()), "failed")
+    good = enriched.where(F.col("ticker").isNotNull()).join(failed, "ticker", "left_anti")
     typed = storage_cast(load.project(good)).drop("overflow")
     if house.last_commit() == extracted.commit:
         marked = load.mark_new(typed)
     else:
         marked = load.mark_existing(typed, run.stage(keys_in_days(house.days(), good), "stored_keys"))
     house.append_fact(load.new_rows(marked), run.run_ts)
-    if lost["n"]:
+    if transformed.unfit or not extracted.listed:
         house.add_to_quarantine(enriched.join(failed, "ticker"), run.dag_run_id)
     if extracted.census is not None:
         _record_files(run, extracted, failed)
