@@ -42,6 +42,7 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", (), None, 0)
         self.nodes, self.stack = [self.root], [self.root]
+        self.open: dict[str, list[int]] = {}  # places in the stack of the open elements of each tag
         self.inline: list[str] = []  # open links
         self.blocks: list[tuple[Node, str]] = []
         self.held: list[str] = []
@@ -57,9 +58,15 @@ class Builder(HTMLParser):
 
     def pop_to(self, at: int):
         self.edge()
+        for node in self.stack[at:]:
+            self.open[node.tag].pop()
         del self.stack[at:]
         self.inline = []
 
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element with one of the tags; 0 without any."""
+        return max((places[-1] for t in tags if (places := self.open.get(t))), default=0)
+
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
             if tag == "a":
@@ -71,18 +78,19 @@ class Builder(HTMLParser):
         if tag in VOID:
             return
         ends, until = CLOSES.get(tag, (set(), set()))
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag in ends or self.stack[at].tag == "p":
-                self.pop_to(at)
-                if not ends or self.stack[-1].tag not in ends:
-                    break
-            elif self.stack[at].tag in until or not ends:
+        while True:
+            at = self.nearest(ends | {"p"})
+            if not at or at < (self.nearest(until) if ends else len(self.stack) - 1):
+                break
+            self.pop_to(at)
+            if not ends or self.stack[-1].tag not in ends:
                 break
         words = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role", "itemprop", "aria-label", "itemtype"))
         tokens = tuple(t.lower() for t in TOKENS.findall(words))
         node = Node(tag, tokens, self.stack[-1], len(self.nodes))
         self.stack[-1].children.append(node)
         self.nodes.append(node)
+        self.open.setdefault(tag, []).append(len(self.stack))
         self.stack.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -95,10 +103,22 @@ class Builder(HTMLParser):
             if tag == "a" and self.inline:
                 self.inline.pop()
             return
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag == tag:
-                self.pop_to(at)
-                return
+        if self.open.get(tag):
+            self.pop_to(self.open[tag][-1])
+
+    def parse_html_declaration(self, i):
+        """What begins with ``<!`` and is no comment or document type is passed over up to the next ``>``.
+
+        A section that names itself CDATA ends at its own mark. Nothing here raises, whatever a page holds.
+        """
+        raw = self.rawdata
+        if raw.startswith("<!--", i):
+            return self.parse_comment(i)
+        mark = "]]>" if raw.startswith("<![CDATA[", i) else ">"
+        end = raw.find(mark, i + 2)
+        if end < 0 and mark != ">":
+            mark, end = ">", raw.find(">", i + 2)
+        return end + len(mark) if end >= 0 else -1
 
     def handle_data(self, data):
         self.held.append(data)
@@ -107,7 +127,7 @@ class Builder(HTMLParser):
 
 
 def build(html: str) -> Builder:
-    """The tree of a page; whatever is not HTML is text."""
+    """The tree of a page; whatever is not HTML is text. Markup of any kind builds a tree."""
     out = Builder()
     out.feed(html)
     out.close()

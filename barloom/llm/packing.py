@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only, pieces
-from barloom.llm.units import units
+from barloom.llm.units import id_type, word_ids
 from barloom.sources.tables import stage
 
 MAX_QUEUES = 256
@@ -21,25 +21,22 @@ RANGED = "doc_id long, queue int, range int, before long, n long, ids binary"
 PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _id_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
-
-
 def _tokenize(tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = units(tokenizer_path, "ids", _id_bytes, True)
-        last = _id_bytes([end_id])
+        known = word_ids(tokenizer_path)
+        size = np.dtype(known.width).itemsize
+        last = np.array([end_id], known.width).tobytes()
         task = TaskContext.get().partitionId()
         so_far: dict[str, int] = {}
-        for part in pieces(batches, "text", 1 << 19):
+        for part in pieces(batches, "text"):
             before, sizes, ids = [], [], []
-            sources = part.column("source").to_pylist()
-            for text, source in zip(part.column("text").cast(pa.binary()).to_pylist(), sources, strict=True):
-                held = b"".join([known[w.decode()] for w in (text or b"").split()] + [last])
+            texts = part.column("text").cast(pa.binary()).to_pylist()
+            for text, source in zip(texts, part.column("source").to_pylist(), strict=True):
+                held = b"".join(map(known.__getitem__, (text or b"").split())) + last
                 before.append(so_far.get(source, 0))
-                so_far[source] = before[-1] + len(held) // 4
-                sizes.append(len(held) // 4)
-                ids.append(np.frombuffer(held, "<u4").astype("<u2").tobytes())
+                sizes.append(len(held) // size)
+                so_far[source] = before[-1] + sizes[-1]
+                ids.append(held)
             yield pa.record_batch({
                 "doc_id": part.column("doc_id"), "part": pa.array([task] * len(ids), pa.int32()),
                 "source": part.column("source"), "before": pa.array(before, pa.int64()),
@@ -118,13 +115,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "n": batch.column("n"), "ids": batch.column("ids")})
 
 
-def _place(rounds: Rounds, sequence: int):
+def _place(rounds: Rounds, sequence: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "ids", 1 << 19):
             out: list[list] = [[] for _ in range(7)]
             columns = [part.column(c).to_pylist() for c in ("doc_id", "queue", "first", "n", "ids")]
             for doc, queue, first, n, packed in zip(*columns, strict=True):
-                ids = np.frombuffer(packed, "<u2").astype("<u4").tobytes()
+                ids = np.frombuffer(packed, width).astype("<u4").tobytes()
                 pieces_of: list[list[int]] = []
                 for start, size, at in rounds.runs(queue, first, n):
                     while size:
@@ -162,12 +159,12 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = 4096, end_id: int
     spread evenly (``_mixed``): a window holds each in its natural proportion, to within a document.
 
     Tokens are made once and stored; places are found from one sum for each partition and source, and for
-    the shared queue for each range of it, so no task holds a queue, however large. The vocabulary must have less than 65,536 ids.
+    the shared queue for each range of it, so no task holds a queue, however large.
 
     A null or empty text has the one token ``end_id``; a null source is a source; a null doc_id stays
     null; repeated rows are packed each; other columns are ignored. No rows give no pieces.
     """
-    spark = docs.sparkSession
+    spark, width = docs.sparkSession, id_type(tokenizer_path)
     chosen = only(docs, "doc_id", "source", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null")).alias("source"))
@@ -205,6 +202,6 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = 4096, end_id: int
             "doc_id", "source", "queue", where, "n", "ids", "all")))
 
     def run(batches):
-        return _place(sent.value, sequence)(batches)
+        return _place(sent.value, sequence, width)(batches)
 
     return placed.mapInArrow(run, PLACED)

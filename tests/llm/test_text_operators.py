@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.llm import extract, lattice, licenses, ngram_join, quality, tokens, urls
+from barloom.llm import extract, lattice, licenses, ngram_join, quality, tokens, units, urls
 from barloom.llm.decontam import benchmark_hits
 from barloom.llm.lines import dedup_lines
 from barloom.llm.packing import pack
@@ -431,3 +432,143 @@ def test_pipeline(spark):
     assert 0 < got.doc_id.nunique() < len(kept)
     ends = got.groupby("sequence_id").length.sum()
     assert (ends[:-1] == 4096).all()
+
+
+# --- malformed pages, small trees -----------------------------------------
+
+MARKUP = ["<", ">", "<!", "<![", "]]>", "-->", "<!--", "<!-", "--!>", "</", "/>", "<?", "&", "&#", ";", "&amp", "\x00", "é", " ", "\n", "a", "-1",
+          "<p>", "</p>", "<div class='x", "\"", "'", "=", "<li>", "<td>", "<table>", "</div>", "<script>", "</script", "<title>", "<![CDATA[",
+          "<!doctype", "<a href=", "</a>", "<svg>", "<textarea>", "if", "[x]", "]", "<plaintext>", "<b", "<template>", "<br/>"]
+
+
+def test_any_markup_builds_a_tree():
+    rng = random.Random(9)
+    for _ in range(50_000):
+        page = extract.build("".join(rng.choices(MARKUP, k=rng.randint(1, 14))))
+        assert page.nodes[0] is page.root and all(n.parent.order < n.order for n in page.nodes[1:])
+
+
+@pytest.mark.parametrize("odd", ["a <![-1,1]> b", "<![>", "<![foo[x]]>", "<p>a</p><![ x ]>", "a<!x", "<![CDATA[x > y]]>"])
+def test_sections_without_a_meaning_are_passed_over(spark, odd):
+    page = "<article>" + "<p>A paragraph of some length, as articles have them.</p>" * 4 + odd + "</article>"
+    got = extract.extract_text(spark.createDataFrame([(1, "u", odd), (2, "u", page)], "page_id long, url string, html string"), 100).collect()
+    assert got[1].text.count("A paragraph") == 4 and "[" not in got[1].text
+
+
+@pytest.mark.parametrize("tall", ["<div>" * 40_000 + "</p>" * 40_000, "<ul><li>" + "<div>" * 40_000 + "<li></li>" * 40_000,
+                                  "<li><ul>" + "<div>" * 40_000 + "<li></li>" * 40_000, "<p>" + "<b>" * 40_000 + "</i>" * 40_000,
+                                  "<div>x</span>" * 40_000 + "</div>" * 40_000, "<dt>" * 40_000, "<tr><td>" * 40_000 + "</tr>" * 80_000])
+def test_tall_pages_take_linear_time(tall):
+    began = time.perf_counter()
+    page = extract.build(tall)
+    extract.features(page, {})
+    assert time.perf_counter() - began < 6
+
+
+def test_decoding_equals_an_exhaustive_choice():
+    rng = random.Random(3)
+    for _ in range(150):
+        html = "".join(rng.choices(["<div>", "<ul>", "<p>t</p>", "</div>", "</ul>", "<script>x</script>"], k=rng.randint(2, 9)))
+        page = extract.build(html)
+        score = np.array([rng.uniform(-3, 3) for _ in page.nodes])
+        free = [n for n in page.nodes if not n.mute]
+        best = 0.0
+        for bits in range(1 << len(free)):
+            kept = {n.order for i, n in enumerate(free) if bits >> i & 1}
+            if all(n.parent is None or n.parent.order in kept for n in page.nodes if n.order in kept):
+                best = max(best, sum(score[i] for i in kept))
+        kept = extract.decode(page, score.copy())
+        assert abs(sum(score[i] for i in kept) - best) < 1e-9 and not any(n.mute for n in page.nodes if n.order in kept)
+
+
+# --- licences -------------------------------------------------------------
+
+def tags_of(spark, *texts):
+    rows = licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [(r.labels, r.expressions, r.permissive) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_every_tag_of_a_line_counts(spark):
+    got = tags_of(spark, "/* SPDX-License-Identifier: MIT */ /* SPDX-License-Identifier: GPL-3.0-only */",
+                  '{"a": "SPDX-License-Identifier: (MIT OR Apache-2.0)", "b": "spdx_license_identifier : ISC."} SPDX-License-Identifier:',
+                  "é SPDX-License-Identifier: MIT.", "SPDX License Identifier: GPL-2.0 WITH Classpath-exception-2.0 OR MIT",
+                  "SPDX--License-Identifier: MIT", "SPDX-License-Identifier: MIT OR and more")
+    assert got[0] == (["gpl-3.0-only", "mit"], ["MIT", "GPL-3.0-only"], False)
+    assert got[1] == (["apache-2.0", "isc", "mit"], ["(MIT OR Apache-2.0)", "ISC"], True)
+    assert got[2] == (["mit"], ["MIT"], True)
+    assert got[3] == (["gpl-2.0", "mit"], ["GPL-2.0 WITH Classpath-exception-2.0 OR MIT"], True)
+    assert got[4] == ([], [], None) and got[5] == (["mit"], ["MIT"], True)
+
+
+def test_with_takes_the_name_of_an_exception_only():
+    for bad in ("MIT WITH (GPL-2.0 AND x)", "(MIT) WITH x", "MIT WITH x WITH y", "MIT WITH", "WITH x", "MIT WITH OR GPL"):
+        assert licenses.parse_expression(bad) is None, bad
+    assert licenses.read_tag("MIT WITH (GPL-2.0 AND x)", 0) == ("MIT", ["mit"])
+    assert licenses.read_tag("MIT OR (GPL-2.0 AND (x OR", 0) == ("MIT", ["mit"])
+    assert licenses.evaluate(["gpl-2.0", "x", "with", "mit", "and"]) == (["gpl-2.0", "mit"], False)
+
+
+def test_long_expressions_take_linear_time(spark):
+    began = time.perf_counter()
+    text = "MIT OR " * 75_000 + "GPL-2.0 AND ("  + "ISC AND " * 75_000
+    found = licenses.read_tag(text, 0)
+    assert len(found[1]) == 2 * 75_000 + 1 and licenses.evaluate(found[1])[1]
+    assert licenses.read_tag("(" * 500_000, 0) is None
+    assert time.perf_counter() - began < 5
+
+
+def test_base_columns_of_licences_equal_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    phrases = " UNION ALL ".join(f"SELECT {p.split()} AS p, '{label}' AS label" for p, label in licenses.BASE_PHRASES.items())
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    want = con.execute(f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        phrases AS ({phrases}),
+        hits AS (SELECT doc_id, label, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d), phrases
+          WHERE w[i + 1 : i + len(p)] = p)
+        SELECT d.doc_id, len(any_value(w)), count(i), min(i), max(i), list_sort(list(DISTINCT label) FILTER (WHERE i IS NOT NULL))
+        FROM d LEFT JOIN hits USING (doc_id) GROUP BY d.doc_id ORDER BY 1""").fetchall()
+    rows = licenses.license_scan(spark.read.parquet(f"{SF}/documents.parquet")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows] == [
+        (*r[:5], r[5] or []) for r in want] and sum(r.n_base for r in rows) > 0
+
+
+# --- tables that are full, large vocabularies, empty input ----------------
+
+def test_word_ids_survive_a_full_table(monkeypatch):
+    path = vocabulary("word_bpe_49k.json")
+    plain = load(path)
+    table = units.WordIds(path)
+    monkeypatch.setattr(units.WordIds, "MOST", 40)
+    for text in [*fuzz(400, 120), "Words, and (more) words; it's ÉTÉ- naïve 漢字.", "a<|endoftext|>b <|endoftext|>, x<| |> 12ab 3.5",
+                 "".join(c + ("a " if i % 3 else "b") for i in range(0x400) if (c := chr(i)).isalpha())]:
+        words = text.encode().split()
+        ids = np.frombuffer(b"".join(table[w] for w in words), table.width).tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids, text
+        assert len(table) <= 40 and len(table.older) <= 40
+
+
+def test_large_vocabularies_keep_their_ids(spark, tmp_path):
+    import json
+    words = {f"w{i}": i for i in range(70_000)}
+    path = str(tmp_path / "words.json")
+    with open(path, "w") as f:
+        json.dump({"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None,
+                   "pre_tokenizer": {"type": "Whitespace"}, "post_processor": None, "decoder": None,
+                   "model": {"type": "WordLevel", "vocab": words, "unk_token": "w0"}}, f)
+    docs = spark.createDataFrame([(1, "w69999 w3 w65536", "s"), (2, None, None)], "doc_id long, text string, source string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in pack(docs, path, end_id=1).collect()}
+    assert got == {1: [69999, 3, 65536, 1], 2: [1]}
+
+
+def test_operators_without_rows(spark, docs):
+    none = docs(["a"]).limit(0)
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    made = [ngram_join.ngram_components(none, 3, "0.9"), lattice.near_embeddings(vectors), dedup_lines(none, min_docs=10, min_chars=1),
+            extract.extract_text(pages, 20), urls.judge_urls(pages, urls.rule_table(spark, RULES)), licenses.license_scan(none),
+            tokens.token_counts(none, vocabulary("byte_bpe_50k.json"))]
+    assert [df.count() for df in made] == [0] * len(made)
