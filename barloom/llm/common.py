@@ -49,6 +49,8 @@ def pieces(batches: Iterator[pa.RecordBatch], sized_by: str, limit: int = CHUNK_
             held += size
         if len(sizes) > first:
             yield batch.slice(first)
+        del batch
+        pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took
 
 
 def lower_ascii(text):

@@ -16,6 +16,7 @@ from barloom.llm.shingles import set_identity, shingle_sets
 from barloom.sources.tables import stage
 
 BITS = 1 << 22  # of the bitmap that chooses texts
+MOST_BITS = 26  # binary digits of a bit's number in the bitmap that chooses columns
 SPARSE = 16  # documents of a column whose pairs are counted one by one
 TILE_ROWS, TILE_GRAMS = 1024, 1 << 20  # of one block of a tile, about
 COLUMNS = 2048  # multiplied at once
@@ -85,6 +86,54 @@ def _whole_rows(k: int, bitmap):
     return run
 
 
+def _bitmap(bits: DataFrame, size: int) -> np.ndarray:
+    """The bits set in a column ``bit``, as ``size / 64`` words; they are put together in Spark."""
+    words = (bits.groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("value")).toArrow())  # size / 64 rows at the most
+    out = np.zeros(size >> 6, dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("value").to_numpy()
+    return out
+
+
+def _is_set(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bitmap[bits >> 6] >> (bits & 63)) & 1 == 1
+
+
+def _likely(rows: DataFrame, dense: DataFrame) -> DataFrame:
+    """``(doc_id, grams)`` without most of the n-grams that no other document has.
+
+    A bitmap over hashes of the columns that several documents have is broadcast, of 16 bits for each while
+    that is within ``MOST_BITS``; it spares the other n-grams the shuffle. The join after it is exact.
+    """
+    size = 1 << min(max(16 * dense.count(), 1 << 16).bit_length(), MOST_BITS)
+    bits = _bitmap(dense.select(F.col("gram").bitwiseAND(F.lit(size - 1)).alias("bit")), size)
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column("grams")
+            flat = grams.flatten().to_numpy()
+            stays = _is_set(sent.value, flat & (size - 1))
+            ends = np.concatenate([[0], np.cumsum(stays)])[np.concatenate([[0], np.cumsum(pa.compute.list_value_length(grams).to_numpy())])]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "grams": pa.ListArray.from_arrays(
+                pa.array(ends.astype(np.int32)), pa.array(flat[stays]))})
+
+    return rows.select("doc_id", "grams").mapInArrow(run, "doc_id long, grams array<long>")
+
+
+def _of_documents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose documents are wanted, and some others, by a bitmap over hashed doc_ids; for a join after it."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
+    sent = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = _is_set(sent.value, batch.column("bit").to_numpy())
+            yield batch.filter(pa.array(stays)).select(["doc_id", "grams"])
+
+    return rows.select("doc_id", "grams", bit.alias("bit")).mapInArrow(run, "doc_id long, grams array<long>")
+
+
 def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """Whole incidence rows ``(doc_id, grams)`` of the wanted documents alone.
 
@@ -93,12 +142,7 @@ def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> Dat
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     wanted = stage(wanted.distinct().join(reps.select("doc_id", "id1", "id2"), "doc_id"))
-    words = (wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("value")).collect())  # BITS / 64 rows at the most
-    bits = [0] * (BITS >> 6)
-    for r in words:
-        bits[r["word"]] = r["value"]
-    sent = docs.sparkSession.sparkContext.broadcast(np.array(bits, dtype=np.int64))
+    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), BITS))
     rows = docs.withColumn("bit", bit).mapInArrow(
         _whole_rows(k, sent), "doc_id long, id1 long, id2 long, grams array<long>")
     return stage(rows.join(wanted, ["doc_id", "id1", "id2"], "left_semi").select("doc_id", "grams"))
@@ -229,18 +273,19 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sets = stage(docs.mapInArrow(_first_block(k, least), "doc_id long, n long, id1 long, id2 long, "
                                                          "shared int, dropped int, fewest int, grams array<long>"))
-    classes = stage(sets.where("n > 0").groupBy("n", "id1", "id2").agg(F.min("doc_id").alias("rep")))
-    reps = stage(classes.where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "n", "id1", "id2"))
+    # one row of the matrix for each class: its first block, which equal sets share
+    held = ("shared", "dropped", "fewest", "grams")
+    found = stage(sets.where("n > 0").groupBy("n", "id1", "id2").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in held]))
+    classes = found.select("rep", "n", "id1", "id2")
+    rows = found.where("rep IS NOT NULL").withColumnRenamed("rep", "doc_id")
+    reps = rows.select("doc_id", "n", "id1", "id2")
 
-    # one row of the matrix for each class: its first block, by column
-    rows = stage(sets.join(reps, ["doc_id", "n", "id1", "id2"], "left_semi").dropDuplicates(["doc_id", "id1", "id2"])
-                 .select("doc_id", "n", "shared", "dropped", "fewest", "grams"))
     facts = stage(rows.groupBy("doc_id").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"),
                                              F.min("shared").alias("shared"), F.min("dropped").alias("dropped"),
                                              F.min("fewest").alias("fewest")))
-    entries = rows.select("doc_id", F.explode("grams").alias("gram"))
-    dense = entries.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1")
-    by_row = entries.join(dense, "gram").groupBy("doc_id").agg(
+    dense = stage(rows.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"))
+    by_row = _likely(rows, dense).select("doc_id", F.explode("grams").alias("gram")).join(dense, "gram").groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("s"), "gram"))).alias("heavy"),
         F.sum("size").alias("reach"))
     lightest = F.slice("heavy", F.col("dropped") + 1, F.size("heavy"))
@@ -250,9 +295,10 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
                   .select("doc_id", "reach", "fewest", F.col("entry.gram").alias("gram")))
     # columns that only rows with too few others had are gone by now; rows that lived on them go too
     alive = index.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1").select("gram")
-    index = index.join(alive, "gram")
-    enough = index.groupBy("doc_id").agg(F.count("*").alias("c"), F.first("fewest").alias("f")).where("c >= f").select("doc_id")
-    index = stage(index.join(enough, "doc_id").select("doc_id", "reach", "fewest", "gram"))
+    lights = stage(index.join(alive, "gram").groupBy("doc_id").agg(
+        F.collect_list("gram").alias("grams"), F.first("reach").alias("reach"), F.first("fewest").alias("fewest"))
+        .where("size(grams) >= fewest"))
+    index = lights.select("doc_id", "reach", "fewest", F.explode("grams").alias("gram"))
     columns = stage(index.groupBy("gram").agg(F.count("*").alias("size")).where("size > 1"))
 
     # all pairs of sparse columns
@@ -291,12 +337,10 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
             .where("parts > 1"))
     open_rows = stage(named.join(main, "pivot").join(facts.select("doc_id", "n_min", "n_max", "fewest"), "doc_id").select(
         "pivot", "doc_id", "component", "n_min", "n_max", "fewest", (F.col("component") == F.col("main")).alias("inner")))
-    lights = stage(index.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi")
-                   .groupBy("doc_id").agg(F.collect_list("gram").alias("grams")))
-    hopeful = (_tiled(open_rows, "n_max").join(lights, "doc_id").groupBy("pivot", "i", "j")
+    hopeful = (_tiled(open_rows, "n_max").join(lights.select("doc_id", "grams"), "doc_id").groupBy("pivot", "i", "j")
                .applyInArrow(_partners(least), "pivot long, doc_id long").distinct())
     open_rows = stage(open_rows.join(hopeful, ["pivot", "doc_id"], "left_semi"))
-    second = stage(_tiled(open_rows, "n_max").join(rows, "doc_id").groupBy("pivot", "i", "j")
+    second = stage(_tiled(open_rows, "n_max").join(_of_documents(rows, open_rows), "doc_id").groupBy("pivot", "i", "j")
                    .applyInArrow(_product(least), "a long, b long"))
     found = components(first.unionByName(second)).withColumnRenamed("node", "rep")
 

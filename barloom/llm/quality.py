@@ -9,7 +9,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only, pieces
@@ -114,6 +114,8 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size: int = 4_000) -> Evidence:
     """The document classifier, from at most ``sample`` labelled documents, chosen by hash of their doc_id.
 
+    Of labelled rows that repeat a doc_id the one with the smallest hash of its text is taken.
+
     Tokens that toxic documents have far more often than chance allows, with all tokens tried (divergence
     of counts from the common rate), form a lexicon of at most ``lexicon_size``. Counts are grouped by
     token in Spark. A group of copies counts once for each token that one of them has, as the words of a
@@ -123,8 +125,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, lexicon_size
     marks = (only(labels, "doc_id", "quality", "toxic").where("doc_id IS NOT NULL").groupBy("doc_id")
              .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # at most `sample` rows of three numbers
-    chosen = stage(only(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    # at most `sample` rows of three numbers; of rows that repeat a doc_id the one with the smallest hash of its text
+    chosen = stage(only(docs, "doc_id", "text").join(F.broadcast(marks), "doc_id")
+                   .withColumn("first", F.row_number().over(first)).where("first = 1").drop("first")
                    .withColumn("row", F.monotonically_increasing_id()))
     size, bad = chosen.where("toxic IS NOT NULL").agg(F.count("*"), F.sum("toxic")).first()
     lexicon: dict[bytes, float] = {}

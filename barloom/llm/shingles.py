@@ -14,7 +14,7 @@ import numpy as np
 from barloom.llm.common import worker_cache
 
 SPACES = b" \t\n\v\f\r"
-WIDE = 1 << 21  # bytes hashed at once
+WIDE = 1 << 19  # bytes hashed at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 
@@ -66,7 +66,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     gap[1:-1] = is_space[raw]
     turns = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = turns[::2], turns[1::2]
-    power, inverse = _powers(1 << max(20, int(len(raw) - 1).bit_length()))
+    power, inverse = _powers(1 << max(19, int(len(raw) - 1).bit_length()))
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(values[raw] * power[: len(raw)], out=sums[1:])
     return starts, mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
