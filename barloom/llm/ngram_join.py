@@ -15,8 +15,7 @@ from barloom.llm.graph import components
 from barloom.llm.shingles import set_identity, shingle_sets
 from barloom.sources.tables import stage
 
-BITS = 1 << 22  # of the bitmap that chooses texts
-MOST_BITS = 26  # binary digits of a bit's number in the bitmap that chooses columns
+MOST_BITS = 25  # binary digits of a bit's number in the bitmaps that choose columns and texts: 4 MB
 SPARSE = 16  # documents of a column whose pairs are counted one by one
 TILE_ROWS, TILE_GRAMS = 1024, 1 << 20  # of one block of a tile, about
 COLUMNS = 2048  # multiplied at once
@@ -70,8 +69,8 @@ def _whole_rows(k: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         for part in pieces(batches, "text"):
-            part = part.filter(pa.array([h is not None and bool(bits[h >> 6] >> (h & 63) & 1)
-                                         for h in part.column("bit").to_pylist()], pa.bool_()))
+            # a null doc_id has a hash like any other
+            part = part.filter(pa.array(_is_set(bits, part.column("bit").to_numpy())))
             if not part.num_rows:
                 continue
             sets = shingle_sets(part.column("text").to_pylist(), k)
@@ -86,6 +85,11 @@ def _whole_rows(k: int, bitmap):
     return run
 
 
+def _bits_for(members: int) -> int:
+    """Size of a bitmap: 16 bits for each member while that is within ``MOST_BITS``."""
+    return 1 << min(max(16 * members, 1 << 16).bit_length(), MOST_BITS)
+
+
 def _bitmap(bits: DataFrame, size: int) -> np.ndarray:
     """The bits set in a column ``bit``, as ``size / 64`` words; they are put together in Spark."""
     words = (bits.groupBy(F.shiftright("bit", 6).alias("word"))
@@ -102,10 +106,10 @@ def _is_set(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def _likely(rows: DataFrame, dense: DataFrame) -> DataFrame:
     """``(doc_id, grams)`` without most of the n-grams that no other document has.
 
-    A bitmap over hashes of the columns that several documents have is broadcast, of 16 bits for each while
-    that is within ``MOST_BITS``; it spares the other n-grams the shuffle. The join after it is exact.
+    A bitmap over hashes of the columns that several documents have is broadcast; it spares the other n-grams
+    the shuffle. The join after it is exact.
     """
-    size = 1 << min(max(16 * dense.count(), 1 << 16).bit_length(), MOST_BITS)
+    size = _bits_for(dense.count())
     bits = _bitmap(dense.select(F.col("gram").bitwiseAND(F.lit(size - 1)).alias("bit")), size)
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
@@ -123,8 +127,9 @@ def _likely(rows: DataFrame, dense: DataFrame) -> DataFrame:
 
 def _of_documents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows whose documents are wanted, and some others, by a bitmap over hashed doc_ids; for a join after it."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
-    sent = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), BITS))
+    size = _bits_for(4 * wanted.count())
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+    sent = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,18 +139,21 @@ def _of_documents(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("doc_id", "grams", bit.alias("bit")).mapInArrow(run, "doc_id long, grams array<long>")
 
 
-def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Whole incidence rows ``(doc_id, grams)`` of the wanted documents alone.
+def _rows_of(wanted: DataFrame, reps: DataFrame, docs: DataFrame, k: int, unique: bool) -> DataFrame:
+    """Whole incidence rows ``(doc_id, grams)`` of the wanted documents, and of a few others.
 
-    A bitmap of ``BITS`` bits over hashed doc_ids, broadcast, spares most other texts the work and all
-    texts the shuffle; the join after it is exact.
+    A bitmap over hashed doc_ids, broadcast, spares most other texts the work and all texts the shuffle. Joins
+    by doc_id leave the others out. Where doc_ids repeat, an exact join keeps one row of equal ones.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     wanted = stage(wanted.distinct().join(reps.select("doc_id", "id1", "id2"), "doc_id"))
-    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), BITS))
+    size = _bits_for(4 * wanted.count())
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(bit.alias("bit")), size))
     rows = docs.withColumn("bit", bit).mapInArrow(
         _whole_rows(k, sent), "doc_id long, id1 long, id2 long, grams array<long>")
-    return stage(rows.join(wanted, ["doc_id", "id1", "id2"], "left_semi").select("doc_id", "grams"))
+    if not unique:
+        rows = rows.dropDuplicates(["doc_id", "id1", "id2"]).join(wanted, ["doc_id", "id1", "id2"], "left_semi")
+    return stage(rows.select("doc_id", "grams"))
 
 
 def _overlaps(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -273,6 +281,8 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
     docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sets = stage(docs.mapInArrow(_first_block(k, least), "doc_id long, n long, id1 long, id2 long, "
                                                          "shared int, dropped int, fewest int, grams array<long>"))
+    unique = sets.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+
     # one row of the matrix for each class: its first block, which equal sets share
     held = ("shared", "dropped", "fewest", "grams")
     found = stage(sets.where("n > 0").groupBy("n", "id1", "id2").agg(
@@ -319,7 +329,7 @@ def ngram_components(docs: DataFrame, k: int = 5, least: Fraction | str = "0.8")
         F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b"), F.col("overlap") * 3)
     pairs = stage(_bounded(pairs.union(with_pivot), facts, least))
     rows = _rows_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(members.select("doc_id")),
-                    reps, docs, k)
+                    reps, docs, k, unique)
     one = rows.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
     two = rows.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("long")
