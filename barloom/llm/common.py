@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from collections.abc import Iterator
@@ -34,6 +35,15 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.toDF(*new).select(*names)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; else a worker keeps what its largest batch took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def pieces(batches: Iterator[pa.RecordBatch], sized_by: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``limit`` bytes of one column, one row at the least.
 
@@ -50,7 +60,7 @@ def pieces(batches: Iterator[pa.RecordBatch], sized_by: str, limit: int = CHUNK_
         if len(sizes) > first:
             yield batch.slice(first)
         del batch
-        pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batch took
+        give_back()
 
 
 def lower_ascii(text):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import only, pieces
+from barloom.llm.common import give_back, only, pieces
 from barloom.llm.graph import components
 from barloom.llm.shingles import set_identity, shingle_sets
 from barloom.sources.tables import stage
@@ -193,6 +193,7 @@ def _partners(least: Fraction):
         near &= (np.minimum(high[:, None], high[None, :]) * least.denominator
                  >= np.maximum(low[:, None], low[None, :]) * least.numerator)
         found = (near & _meeting(tile)).any(axis=1)
+        give_back()
         return tile.select(["pivot", "doc_id"]).filter(pa.array(found))
     return run
 
@@ -218,6 +219,7 @@ def _product(least: Fraction):
             if x != y:
                 group[y] = x
                 links.append((names[i], names[j]))
+        give_back()
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
     return run
 

@@ -97,7 +97,7 @@ class WordIds(dict):
     again; so memory is bounded, frequent words stay, and results never change.
     """
 
-    MOST = 500_000  # words of a generation
+    MOST = 150_000  # words of a generation
 
     def __init__(self, path: str):
         super().__init__()
