@@ -158,8 +158,9 @@ def test_increments_and_compaction(spark, bars):
     wanted = rows_of(metrics)
     assert rows_of(house.fact()) == wanted and house.append_fact(metrics.where("turn > 10").drop("turn")) == 0
     old = house.fact()  # a reader that began before
-    years = house.compact()
-    assert years == sorted({y for y, parts in house.parts().items()}) and all(len(p) == 1 for p in house.parts().values())
+    several = sorted(y for y, parts in house.parts().items() if len(parts) > 1)
+    assert len(several) == 4 and house.compact() == several  # the thin ticker's days of the other years fell into one load
+    assert all(len(p) == 1 for p in house.parts().values())
     files = house.fact().select("year", "ticker", F.input_file_name().alias("file"))
     assert files.groupBy("year", "ticker").agg(F.countDistinct("file").alias("n")).agg(F.max("n")).first()[0] == 1
     assert rows_of(house.fact()) == rows_of(old) == wanted
