@@ -391,3 +391,6 @@ ORACLES["correction_applied"] = sql("bars", f"SELECT date, ticker, {STORED} FROM
     FROM bars)""") + ")")
 ORACLES["stored_keys"] = sql("bars", "SELECT date, ticker FROM bars WHERE date < DATE '2000-01-01'")
 ORACLES["close_stats_of_years"] = ORACLES["close_stats"]
+ORACLES["enriched_by_year"] = ORACLES["enriched_bars"]
+ORACLES["sealed_rerun_log"] = ORACLES["rerun_log"]
+ORACLES["date_notations"] = sql("bars", f"SELECT {BAR}, CAST(NULL AS VARCHAR) AS bad_date FROM bars")

@@ -56,6 +56,16 @@ def bars_source(spark, sf):
     return read_landing(spark, path, "csv").select(*BAR)
 
 
+@query
+def date_notations(spark, sf):
+    """Bars through JSON files whose dates are written in three ways."""
+    path, day = new_scratch(spark, "landing"), F.dayofmonth("date")
+    text = (F.when(day % 3 == 0, F.date_format("date", "dd.MM.yyyy")).when(day % 3 == 1, F.date_format("date", "MM/dd/yyyy"))
+            .otherwise(F.col("date").cast("string")))
+    d.bars(spark, sf).withColumn("date", text).write.json(path)
+    return read_landing(spark, path, "json", date_formats=("dd.MM.yyyy", "MM/dd/yyyy")).select(*BAR, "bad_date")
+
+
 @query
 def staged_bars(spark, sf):
     return stage(d.bars(spark, sf))
@@ -98,6 +108,20 @@ def rerun_log(spark, sf):
         F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
 
 
+@query
+def sealed_rerun_log(spark, sf):
+    """The same two runs, the log sealed after each: the second unseals what it adds to."""
+    house = Warehouse(spark, new_scratch(spark, "warehouse")).bootstrap()
+    house.upsert_dim(d.dim(spark, sf), d.RUN_TS)
+    landing = stage(d.dirty_bars(spark, sf))
+    for until in (d.SPLIT_DAY, d.INGEST_DAY):
+        run_daily(Run(house, "same", until, d.RUN_TS, d.FIRST_DAY), landing, gate=False)
+        house.seal_log()
+    return house.log().groupBy("dag_run_id", "task_name", "status").agg(
+        F.count("*").alias("entries"), F.countDistinct("run_id").alias("ids"),
+        F.sum("records_found").alias("found"), F.sum("records_inserted").alias("inserted"))
+
+
 def _landing_folder(spark, bars):
     """Landing files by month, in a format with types."""
     path = new_scratch(spark, "landing")
@@ -155,6 +179,12 @@ def enriched_bars(spark, sf):
     return enrich.add_metrics(d.bars(spark, sf))
 
 
+@query
+def enriched_by_year(spark, sf):
+    """The same metrics with a window group per ticker and year."""
+    return enrich.add_metrics_by_year(stage(d.bars(spark, sf)))
+
+
 @query
 def enrich_batch_scope(spark, sf):
     old, new = _split(d.bars(spark, sf))

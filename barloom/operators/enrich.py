@@ -34,6 +34,28 @@ def add_metrics(bars: DataFrame, *extra_keys: str) -> DataFrame:
                 F.bround(F.stddev_samp(returns).over(last_rows), 6))))
 
 
+def add_metrics_by_year(bars: DataFrame) -> DataFrame:
+    """``add_metrics`` with a window group per ticker and year, for long histories of few tickers.
+
+    A window of seven rows looks back no further than seven earlier ones, so a year needs only these besides its
+    own rows. They come from the newest seven rows of each of the seven years before it in which the ticker has
+    any. Groups have at most 366 + 7 rows, and there are as many as tickers times years. ``bars`` is read
+    twice, so it should be stored; a row without a date belongs to no year and is not allowed here.
+    """
+    chunked = bars.withColumn("chunk", F.year("date"))
+    newest = Window.partitionBy("ticker", "chunk").orderBy(F.col("date").desc())
+    tails = (chunked.select("ticker", "chunk", "date", F.col("close").cast("double").alias("close"))
+             .withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= WINDOW_ROWS)
+             .groupBy("ticker", "chunk").agg(F.sort_array(F.collect_list(F.struct("date", "close"))).alias("tail")))
+    # one row a year: the years before this one, oldest first, hold at least as many rows as are needed
+    years_before = Window.partitionBy("ticker").orderBy("chunk").rowsBetween(-WINDOW_ROWS, -1)
+    halo = (tails.withColumn("rows", F.flatten(F.collect_list("tail").over(years_before)))
+            .select("ticker", "chunk", F.inline(F.expr(f"slice(rows, greatest(size(rows) - {WINDOW_ROWS - 1}, 1), {WINDOW_ROWS})"))))
+    both = chunked.withColumn("is_own", F.lit(True)).unionByName(
+        halo.withColumn("is_own", F.lit(False)), allowMissingColumns=True)
+    return add_metrics(both, "chunk").where("is_own").drop("is_own", "chunk")
+
+
 def last_stored_rows(fact: DataFrame, rows: int = WINDOW_ROWS) -> DataFrame:
     """The newest stored rows of every ticker.
 
@@ -59,7 +81,7 @@ def older_rows(fact: DataFrame, recent: DataFrame, tickers: DataFrame, recent_fr
 
 
 def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "history",
-           stored: DataFrame | None = None) -> DataFrame:
+           stored: DataFrame | None = None, by_year: bool = False) -> DataFrame:
     """Metrics for the rows of a batch.
 
     ``scope="batch"`` looks at the batch alone, so its first rows have no return or volatility.
@@ -67,6 +89,9 @@ def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "histor
     same values as one load of everything; ``stored`` holds those rows where they are at hand, else
     they are taken from ``fact``, the newest before the ticker's first row in the batch, so a gap filled
     later gets the same values too. Stored rows not older than the ticker's batch are left out.
+
+    ``by_year`` spreads a ticker's rows over a task per year (``add_metrics_by_year``), with the same values; it
+    is for a long history of few tickers, whose batch should be stored, as it is read twice.
     """
     if scope not in ("batch", "history"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -75,7 +100,13 @@ def enrich(batch: DataFrame, fact: DataFrame | None = None, scope: str = "histor
         first = stage(batch.groupBy("ticker").agg(F.min("date").alias("first_date")))
         stored = last_stored_rows(fact.join(first, "ticker").where(F.col("date") < F.col("first_date")))
     if scope == "batch" or stored is None:
-        return add_metrics(batch)
+        return add_metrics_by_year(batch) if by_year else add_metrics(batch)
+    if by_year:
+        # no window over whole tickers: one row per ticker, joined to the few stored rows alone
+        first = batch.groupBy("ticker").agg(F.min("date").alias("first_new"))
+        older = stored.join(first, "ticker").where(F.col("date") < F.col("first_new")).drop("first_new")
+        return add_metrics_by_year(batch.withColumn("is_new", F.lit(True)).unionByName(
+            older.withColumn("is_new", F.lit(False)), allowMissingColumns=True)).where("is_new").drop("is_new")
     both = batch.withColumn("is_new", F.lit(True)).unionByName(
         stored.withColumn("is_new", F.lit(False)), allowMissingColumns=True)
     # same order as the metric windows, so that they share one sort

@@ -55,6 +55,8 @@ class Run:
     scope: str = "history"
     attempt: int | None = None               # default the next one that the run's events leave free
     log_empty: bool = False                  # also log transform and load of tickers without rows
+    by_year: bool = False                    # metrics in a task per ticker and year, for few tickers with long histories
+    folder: str = ""                         # of its staged tables; default a new one in the shared folder
 
     def __post_init__(self) -> None:
         if not self.dag_run_id:
@@ -67,15 +69,20 @@ class Run:
         if self.attempt is not None and self.attempt <= last:
             raise ValueError(f"attempt {self.attempt} of run {self.dag_run_id} is in the log already")
         object.__setattr__(self, "attempt", last + 1 if self.attempt is None else self.attempt)
+        name = re.sub(r"[^\w.-]", "_", self.dag_run_id)
+        object.__setattr__(self, "folder", self.folder or new_scratch(self.warehouse.spark, f"{name}/attempt-{self.attempt}"))
+
+    def begin(self) -> None:
+        """Put the folder of staged tables on record, and let the run's log take more events."""
+        self.warehouse.record_staged(self.dag_run_id, self.attempt, self.folder)
+        self.warehouse.unseal_log(self.dag_run_id)
 
     def stage(self, df: DataFrame, step: str) -> DataFrame:
-        """Stage a table under the run's name, for whoever expires or inspects the shared folder."""
-        name = re.sub(r"[^\w.-]", "_", self.dag_run_id)
-        return stage(df, new_scratch(df.sparkSession, f"{name}/attempt-{self.attempt}/{step}"))
+        """Stage a table in the attempt's folder, which ``Warehouse.expire_staged`` deletes once it has ended."""
+        return stage(df, f"{self.folder}/{step}")
 
     def stage_counted(self, df: DataFrame, step: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
-        name = re.sub(r"[^\w.-]", "_", self.dag_run_id)
-        return stage_counted(df, new_scratch(df.sparkSession, f"{name}/attempt-{self.attempt}/{step}"), **counts)
+        return stage_counted(df, f"{self.folder}/{step}", **counts)
 
     def started(self, task: str, tickers: DataFrame) -> DataFrame:
         return runlog.start_events(tickers, self.dag_run_id, task, self.run_ts, self.attempt)
@@ -106,6 +113,7 @@ class Extract:
 def extract(run: Run, landing: DataFrame | LandingFolder, tickers: DataFrame | None = None) -> Extract:
     """Stage the landing rows past each ticker's high-water mark."""
     house = run.warehouse
+    run.begin()
     universe = (house.dim() if tickers is None else tickers).select("ticker").distinct()
     commit, marks = house.last_commit(), watermarks_of_days(house.days())
     starts = run.stage(ingest.fetch_starts(universe, marks, run.first_load), "starts")
@@ -195,7 +203,8 @@ def transform(run: Run, extracted: Extract) -> Enriched | None:
             "ticker", F.lit(f"required columns missing: {', '.join(absent)}").alias("error_message"))))
         return None
     checked = run.stage(quality.check_bars(batch), "checked")
-    metrics = enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present))
+    metrics = enrich.enrich(quality.clean_bars(checked), scope=run.scope, stored=_look_back(run, present),
+                            by_year=run.by_year)
     enriched, counted = run.stage_counted(metrics, "enriched", unfit=F.count_if(load.unfit(metrics)))
     run.report(quality.cascade_issues(checked).unionByName(quality.extreme_return_issues(enriched)))
     if extracted.undated:

@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +23,14 @@ from barloom.operators.dimension import check_companies, upsert_dimension
 from barloom.operators.load import fact_rows, row_hash
 from barloom.operators.runlog import current_state
 from barloom.plans import reports
-from barloom.schemas import DAY_SUMMARY, DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS
+from barloom.schemas import DAY_SUMMARY, DIM_COMPANY, FACT, ISSUES, RAW_BARS, RUN_EVENTS, RUN_LOG
 from barloom.sources.files import delete_folder
 from barloom.sources.tables import stage
 
 YEAR = T.StructField("year", T.IntegerType())
 VERSION = T.StructField("version", T.IntegerType())
 PART = T.StructField("part", T.LongType())
+SEAL = T.StructField("seal", T.LongType())
 RUN = T.StructField("dag_run_id", T.StringType())
 WHY = [T.StructField("bad_date", T.StringType()), RUN, T.StructField("error_message", T.StringType()),
        T.StructField("row_hash", T.StringType())]
@@ -42,6 +43,12 @@ LAYOUT = {
     SUMMARIES: (T.StructType([*DAY_SUMMARY.fields, YEAR, PART]), ["year", "part"]),
     "dim_company": (T.StructType([*DIM_COMPANY.fields, VERSION]), ["version"]),
     "run_events": (RUN_EVENTS, ["dag_run_id"]),
+    "run_log_closed": (T.StructType([*RUN_LOG.fields, SEAL]), ["seal"]),
+    "run_log_seals": (T.StructType([T.StructField("dag_run_id", T.StringType()), T.StructField("is_sealed", T.BooleanType()),
+                                    SEAL]), []),
+    "staged_folders": (T.StructType([
+        T.StructField("folder", T.StringType()), T.StructField("attempt", T.IntegerType()),
+        T.StructField("is_there", T.BooleanType()), RUN]), []),
     "audit_quality_issues": (T.StructType([*ISSUES.fields, RUN]), ["dag_run_id"]),
     "ignored_rows": (T.StructType([RUN, T.StructField("ticker", T.StringType()), T.StructField("n_rows", T.LongType()),
                                    T.StructField("counted_to", T.DateType())]), ["dag_run_id"]),
@@ -227,8 +234,70 @@ class Warehouse:
         return rows if dag_run_id is None else rows.where(F.col("dag_run_id") == dag_run_id)
 
     def log(self, dag_run_id: str | None = None) -> DataFrame:
-        """Run log, of one run or of all."""
-        return current_state(self.of_run("run_events", dag_run_id))
+        """Run log, of one run or of all: what is sealed as it was stored, the rest folded from its events."""
+        if dag_run_id is not None:
+            return current_state(self.of_run("run_events", dag_run_id))
+        sealed = self.seals()
+        return self._closed_log(sealed).unionByName(current_state(self._open_events(sealed)))
+
+    def seals(self) -> dict[str, int]:
+        """The sealed runs with the number of their seal; one row a run, whatever its tickers."""
+        newest = F.max_by(F.struct("is_sealed", "seal"), "seal").alias("newest")
+        rows = self.read("run_log_seals").groupBy("dag_run_id").agg(newest).where("newest.is_sealed").collect()
+        return {r["dag_run_id"]: r["newest"]["seal"] for r in rows}
+
+    def _closed_log(self, sealed: dict[str, int]) -> DataFrame:
+        """Stored rows of sealed runs, each from its newest seal; other seals' folders are not opened."""
+        rows = self.read("run_log_closed")
+        if not sealed:
+            return rows.where(F.lit(False)).drop("seal")
+        counts = self.spark.createDataFrame(sorted(sealed.items()), "dag_run_id string, seal long")
+        return (rows.where(F.col("seal").isin(sorted(set(sealed.values()))))
+                .join(counts, ["dag_run_id", "seal"], "left_semi").drop("seal").select(*RUN_LOG.fieldNames()))
+
+    def _open_events(self, sealed: dict[str, int]) -> DataFrame:
+        """Events of runs that are not sealed; a filter on folder names, so no other one is opened."""
+        events = self.read("run_events")
+        return events.where(~F.col("dag_run_id").isin(sorted(sealed))) if sealed else events
+
+    def seal_log(self, before: Column | str | None = None) -> list[str]:
+        """Store the log of closed runs as it stands, so that ``log()`` reads their events no more; returns their names.
+
+        A run is closed when no task run of its last attempt is open and its newest event is older than
+        ``before``, by default a day ago. Rows are stored first and count once their seal is, which is one file, so
+        a crash leaves the log as it was. A run that starts another attempt is unsealed until it is sealed again.
+        """
+        sealed = self.seals()
+        until = F.expr("current_timestamp() - INTERVAL 1 DAY") if before is None else before if isinstance(before, Column) else F.lit(before)
+        events = self._open_events(sealed)
+        ends = self.attempts(events).groupBy("dag_run_id").agg(
+            F.max_by("n_open", "attempt").alias("n_open"), F.max("last_event").alias("last_event"))
+        closed = stage(ends.where((F.col("n_open") == 0) & (F.col("last_event") < until.cast("timestamp_ntz"))).select("dag_run_id"))
+        names = sorted(r["dag_run_id"] for r in closed.collect())  # a row a run
+        if names:
+            number = self._next_seal()
+            self.append("run_log_closed", current_state(events.where(F.col("dag_run_id").isin(names))).withColumn("seal", F.lit(number)))
+            self.append("run_log_seals", closed.select("dag_run_id", F.lit(True).alias("is_sealed"), F.lit(number).alias("seal")).coalesce(1))
+        return names
+
+    def unseal_log(self, dag_run_id: str) -> None:
+        """Let a run's events tell its log again, before more of them come."""
+        if dag_run_id in self.seals():
+            self.append("run_log_seals", self.spark.range(1).select(
+                F.lit(dag_run_id).alias("dag_run_id"), F.lit(False).alias("is_sealed"), F.lit(self._next_seal()).alias("seal")))
+
+    def _next_seal(self) -> int:
+        """Past every stored seal, also those of rows whose seal never came."""
+        used = [self.read(t).agg(F.max("seal")).first()[0] or 0 for t in ("run_log_seals", "run_log_closed")]
+        return max(used) + 1
+
+    @staticmethod
+    def attempts(events: DataFrame) -> DataFrame:
+        """``(dag_run_id, attempt, n_open, last_event)`` of every attempt: its open task runs and its newest event."""
+        task_runs = events.groupBy("dag_run_id", "attempt", "run_id").agg(
+            F.max("event_seq").alias("last_seq"), F.max("event_at").alias("last_event"))
+        return task_runs.groupBy("dag_run_id", "attempt").agg(
+            F.count_if(F.col("last_seq") == 0).alias("n_open"), F.max("last_event").alias("last_event"))
 
     def issues(self, dag_run_id: str | None = None) -> DataFrame:
         """Issue log, of one run or of all."""
@@ -246,11 +315,17 @@ class Warehouse:
         """
         if limit is None:
             return reports.run_history(self.log(), None)
-        events = self.read("run_events")
+        sealed = self.seals()
+        events = self._open_events(sealed)
         reports.check_limit(limit)
         newest = (events.where(F.col("event_seq") == 0).orderBy(F.desc("event_at"), F.desc("run_id")).limit(limit)
                   .select("dag_run_id", "run_id"))
-        return reports.run_history(current_state(events.join(newest, ["dag_run_id", "run_id"], "left_semi")), limit)
+        state = current_state(events.join(newest, ["dag_run_id", "run_id"], "left_semi"))
+        return reports.run_history(self._closed_log(sealed).unionByName(state), limit)
+
+    def run_log_recent(self, limit: int = 10) -> DataFrame:
+        """``reports.run_log_recent`` of the log, from the same few events."""
+        return self.run_history(limit).select("task_name", "ticker", "records_found", "records_inserted", "status")
 
     def unresolved_issues(self) -> DataFrame:
         """``reports.unresolved_issues`` without the log: issues lie under their run's name."""
@@ -277,6 +352,39 @@ class Warehouse:
         absent = [f for f in LAYOUT["quarantine"][0].fields if f.name not in new.columns]
         return self.append("quarantine", new.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}))
 
+    # --- staged tables of runs ----------------------------------------------
+
+    def record_staged(self, dag_run_id: str, attempt: int, folder: str) -> None:
+        """Put the folder of an attempt's staged tables on record, before any is written."""
+        self.append("staged_folders", self.spark.range(1).select(
+            F.lit(folder).alias("folder"), F.lit(attempt).alias("attempt"), F.lit(True).alias("is_there"),
+            F.lit(dag_run_id).alias("dag_run_id")))
+
+    def staged_folders(self) -> DataFrame:
+        """``(folder, dag_run_id, attempt)`` of the folders on record that were not deleted."""
+        return (self.read("staged_folders").groupBy("folder", "dag_run_id", "attempt")
+                .agg(F.min("is_there").alias("is_there")).where("is_there").drop("is_there"))
+
+    def expire_staged(self, before: Column | str) -> list[str]:
+        """Delete staged tables of attempts that ended before a moment; returns the deleted folders.
+
+        An attempt has ended when none of its task runs is open, or when a later attempt of its run has ended: a
+        crashed one never closes. Attempts that run, or that have logged nothing yet, keep their tables.
+        """
+        until = before if isinstance(before, Column) else F.lit(before)
+        ended = self.attempts(self.read("run_events")).where(
+            (F.col("n_open") == 0) & (F.col("last_event") < until.cast("timestamp_ntz")))
+        last = ended.groupBy("dag_run_id").agg(F.max("attempt").alias("last_ended"), F.collect_set("attempt").alias("ended"))
+        gone = stage(self.staged_folders().join(last, "dag_run_id").where(
+            (F.col("attempt") < F.col("last_ended")) | F.array_contains("ended", F.col("attempt")))
+            .select("folder", "dag_run_id", "attempt"))
+        folders = sorted(r["folder"] for r in gone.collect())  # a row an attempt
+        for folder in folders:
+            delete_folder(self.spark, folder)
+        if folders:
+            self.append("staged_folders", gone.withColumn("is_there", F.lit(False)))
+        return folders
+
     # --- landing files that were read ---------------------------------------
 
     def consumed_files(self) -> DataFrame:
