@@ -122,14 +122,22 @@ def go(house, landing, name, day, **options):
     return run
 
 
-def files_of(df):
-    return {f for f in df.inputFiles() if "/run_events/" in f}
+def logged(house, landing, name, day):
+    """What a run leaves in the log and the shared folder, without its work."""
+    run = Run(house, name, day, f"{day} 06:00:00", "1990-01-01")
+    tickers = house.dim().select("ticker")
+    run.begin()
+    run.stage(landing.limit(5), "batch")
+    run.log(run.started("extract", tickers))
+    run.log(run.finished("extract", tickers), run.started("load", tickers))
+    run.log(run.finished("load", tickers.withColumn("records_found", F.lit(5))))
+    return run
 
 
 def test_sealed_log(spark, house):
     landing = landing_rows(spark)
-    go(house, landing, "a:1/x", "2000-01-01")
-    go(house, landing, "b", "2000-06-01")
+    logged(house, landing, "a:1/x", "2000-01-01")
+    logged(house, landing, "b", "2000-06-01")
     whole = rows(house.log())
     recent = house.run_log_recent(3).collect()
     assert house.seal_log("1999-01-01 00:00:00") == [] and not house.seals()
@@ -145,7 +153,7 @@ def test_sealed_log(spark, house):
     assert not house.seals()
     run.log(run.started("extract", house.dim()))
     assert rows(house.log()) != whole and house.seal_log(ALL) == ["b"]
-    go(house, landing, "a:1/x", "2001-06-01")
+    logged(house, landing, "a:1/x", "2001-06-01")
     whole = rows(house.log())
     assert house.seal_log(ALL) == ["a:1/x"] and rows(house.log()) == whole
     assert house.seal_log(ALL) == [] and len(house.seals()) == 2
@@ -154,9 +162,9 @@ def test_sealed_log(spark, house):
 
 def test_sealed_events_are_not_opened(spark, house):
     landing = landing_rows(spark)
-    go(house, landing, "old", "2000-01-01")
+    logged(house, landing, "old", "2000-01-01")
     house.seal_log(ALL)
-    go(house, landing, "new", "2000-06-01")
+    logged(house, landing, "new", "2000-06-01")
     whole = rows(house.log())
     for name in os.listdir(house.path("run_events")):  # an unreadable file shows who opens it
         if name == "dag_run_id=old":
@@ -169,7 +177,7 @@ def test_sealed_events_are_not_opened(spark, house):
 
 
 def test_rows_without_their_seal_do_not_count(spark, house):
-    go(house, landing_rows(spark), "a", "2000-01-01")
+    logged(house, landing_rows(spark), "a", "2000-01-01")
     whole = rows(house.log())
     # as a crash between the two writes leaves it
     house.append("run_log_closed", house.log().withColumn("seal", F.lit(1)))
@@ -180,7 +188,7 @@ def test_rows_without_their_seal_do_not_count(spark, house):
 def test_staged_tables_expire(spark, house):
     landing = landing_rows(spark)
     first = go(house, landing, "a", "2000-01-01", by_year=True)
-    second = go(house, landing, "b", "2000-06-01")
+    second = logged(house, landing, "b", "2000-06-01")
     crashed = Run(house, "c", "2000-07-01", "2000-07-01 06:00:00", "1990-01-01")
     crashed.begin()
     crashed.log(crashed.started("extract", house.dim()))
@@ -188,7 +196,7 @@ def test_staged_tables_expire(spark, house):
     silent = Run(house, "d", "2000-07-01", "2000-07-01 06:00:00", "1990-01-01")
     silent.begin()
     silent.stage(landing, "batch")
-    facts = rows(house.fact())
+    assert house.fact().count() > 0
     assert house.staged_folders().count() == 4
     assert house.expire_staged("2000-01-01 00:00:00") == []
     assert house.expire_staged("2000-02-01 00:00:00") == [first.folder]
@@ -196,7 +204,6 @@ def test_staged_tables_expire(spark, house):
     assert house.expire_staged(ALL) == [second.folder]
     assert os.path.exists(f"{crashed.folder}/batch") and os.path.exists(f"{silent.folder}/batch")
     # a later attempt that ends lets the crashed one go too
-    again = go(house, landing, "c", "2000-08-01")
+    again = logged(house, landing, "c", "2000-08-01")
     assert sorted(house.expire_staged(ALL)) == sorted([crashed.folder, again.folder])
     assert house.expire_staged(ALL) == [] and [r.folder for r in house.staged_folders().collect()] == [silent.folder]
-    assert len(rows(house.fact())) > len(facts)
