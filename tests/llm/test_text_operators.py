@@ -357,6 +357,52 @@ def test_spliced_counts(chunk, overlap):
         assert tokens.count_long(t, plain, chunk, overlap) == len(plain.encode(t, add_special_tokens=False).ids)
 
 
+class Watched:
+    """A tokenizer that notes the length of what it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.longest, self.all = tokenizer, 0, 0
+
+    def encode(self, text, **options):
+        self.longest, self.all = max(self.longest, len(text)), self.all + len(text)
+        return self.tokenizer.encode(text, **options)
+
+
+@pytest.mark.parametrize("joint", ["\t", "\n", "  ", " \n", "\u3000", "，", "1", "<|endoftext|>", "--"])
+def test_long_texts_without_single_spaces_are_spliced_in_bounded_pieces(joint):
+    plain = load(vocabulary("byte_bpe_50k.json"))
+    whole = tokens.whole_strings(plain)
+    rng = random.Random(joint)
+    letters = "abcdefgh" if joint.isascii() else "汉字文本处理数据"
+    text = joint.join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(4000))
+    seen = Watched(plain)
+    assert tokens.count_long(text, seen, 1000, 64, whole) == len(plain.encode(text, add_special_tokens=False).ids)
+    assert seen.longest <= 3000 and seen.all < 2 * len(text)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_token_reaches_over_a_cut(seed):
+    """Encoding what is before and after a cut by themselves gives the tokens of the whole, at every cut."""
+    plain = load(vocabulary("byte_bpe_50k.json"))
+    whole = tokens.whole_strings(plain)
+    assert whole == ("<|endoftext|>",)
+    rng = random.Random(seed)
+    parts = ["'s", "'ll", "'", "a", "Ab", " ", "  ", "\n", "\t", "7", "42", "!", "--", "é", "e\u0301", "汉", "，", "\u3000", "\xa0",
+             "\x1c", "\u200b", "\u180e", "½", "😀", "<|endoftext|>", "<|endof", "text|>", "<|", "\r\n", "ⅷ", "\u0e33"]
+    text = "x" + "".join(rng.choice(parts) for _ in range(400)) + "x"
+    ids = plain.encode(text, add_special_tokens=False).ids
+    cuts = [at for at in range(1, len(text) - 1) if tokens._is_cut(text, at, whole)]
+    assert len(cuts) > 60
+    for at in cuts:
+        sides = [plain.encode(side, add_special_tokens=False).ids for side in (text[:at], text[at:])]
+        assert sides[0] + sides[1] == ids, (text[at - 5 : at], text[at : at + 5])
+
+
+def test_other_tokenizers_splice_at_single_spaces_alone():
+    assert tokens.whole_strings(load(vocabulary("word_bpe_49k.json"))) is None
+    assert not tokens._is_cut("ab,cd", 2) and tokens._is_cut("ab cd", 2)
+
+
 def test_token_counts(docs):
     path = vocabulary("byte_bpe_50k.json")
     texts = [*ODD, *fuzz(200, 80), "many words in a text. " * 2000]
