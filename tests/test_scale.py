@@ -3,14 +3,16 @@
 import datetime as dt
 
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from barloom import derived as d
 from barloom.checks.queries import REGISTRY
 from barloom.operators import enrich, ingest, load, quality
-from barloom.plans import reports
+from barloom.plans import daily_run, reports
 from barloom.session import new_scratch
+from barloom.sources import tables
 from barloom.sources.tables import since, stage
 from barloom.sources.warehouse import Warehouse
 
@@ -186,3 +188,40 @@ def test_hot_ticker_is_split_in_the_incremental_join(spark, no_broadcast):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_bars_are_dealt_by_stored_size(spark, tmp_path, monkeypatch):
+    """A task's share does not grow with the table, and line items are sorted once."""
+    text = plan(d.bars(spark, SF))
+    assert "REPARTITION_BY_NUM" in text and text.count("Exchange") == 1 and text.count("Sort [") == 1
+    path = str(tmp_path / "t")
+    spark.range(100_000).write.parquet(path)
+    few = tables.task_count(spark, path)
+    monkeypatch.setattr(tables, "TASK_BYTES", (1 << 10, 8 << 10))
+    assert few == 1 and tables.task_count(spark, path) * (8 << 10) >= tables.stored_bytes(spark, path) > 100_000
+
+
+def test_prices_are_stored_without_a_dictionary(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = stage(spark.sql("SELECT 'A' AS ticker, double(id % 3) AS close, decimal(id % 3) AS ratio FROM range(1000)"), str(path))
+    assert rows.groupBy("close").count().count() == 3
+    meta = pq.ParquetFile(next(path.glob("*.parquet"))).metadata.row_group(0)
+    coded = {meta.column(i).path_in_schema: any("DICT" in e for e in meta.column(i).encodings) for i in range(3)}
+    assert coded == {"ticker": True, "close": False, "ratio": False}
+
+
+def test_a_run_needs_no_window_over_whole_tickers(spark):
+    bars = stage(d.bars(spark, SF))
+    stored = enrich.last_stored_rows(bars.where("date < '1996-01-01'"))
+    text = plan(enrich.enrich(bars.where("date >= '1996-01-01'"), stored=stored, tasks=5))
+    assert "unboundedfollowing" not in text and "REPARTITION_BY_NUM" in text
+
+
+def test_facts_are_cast_after_they_are_laid_out(spark):
+    """The sample that sets the ranges takes rows as they are, and the first run joins no failed tickers."""
+    house = Warehouse(spark, new_scratch(spark, "wh")).bootstrap()
+    rows = stage(enrich.add_metrics(d.bars(spark, SF)))
+    text = plan(daily_run._typed(house.in_layout(rows)))
+    assert text.index("decimal(12,4)") < text.index("rangepartitioning(year")
+    assert house.append_fact(daily_run._typed(house.in_layout(rows)), d.RUN_TS, laid_out=True) == rows.count()
+    assert house.fact().count() == house.fact().select("date", "ticker").distinct().count() == rows.count()
