@@ -9,15 +9,15 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 
-import numpy as np
-
 from barloom.llm.common import worker_cache
 
 CACHED = 150_000  # units, found again by one look-up
 PARTS = 400_000  # parts of units, each costs an encoding
+ID_CODES = {"<u2": "H", "<u4": "I"}
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # the public byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on
 _SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -92,7 +92,8 @@ def units(path: str, name: str, fold: Callable[[list[int]], object], fold_case:
 class WordIds(dict):
     """``ids[word]``: the ids of a word between white space, as bytes, for tokenizers that drop white space.
 
-    A word that is not known is encoded: letters followed by signs as their two parts, others by themselves.
+    A word that is not known is encoded. Letters followed by signs are looked up as their two parts and not kept
+    themselves, so the table's places are left to words that cost an encoding.
     A full table becomes the older one of two generations, from which words are taken over as they are met
     again; so memory is bounded, frequent words stay, and results never change.
     """
@@ -109,19 +110,21 @@ class WordIds(dict):
     def encode(self, text: str) -> bytes:
         """Ids of a word; a run of common letters goes straight to the model, in the form it would get there."""
         if self.model is not None and text.isalpha() and (text.isascii() or max(text) < "\u0250" and "\u0130" not in text):
-            found = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(BYTE_LETTERS))]
+            text = text.lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            found = [t.id for t in self.model.tokenize(text)]
         else:
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(found, dtype=self.width).tobytes()
+        return struct.pack(f"<{len(found)}{ID_CODES[self.width]}", *found)
 
     def __missing__(self, word: bytes) -> bytes:
+        letters = word.rstrip(SIGNS)
+        if len(letters) < len(word) and _letters(letters.decode()):
+            return self[letters] + self[word[len(letters):]]
         found = self.older.get(word)
         if found is None:
-            letters = word.rstrip(SIGNS)
-            if len(letters) < len(word) and _letters(letters.decode()):
-                found = self[letters] + self[word[len(letters):]]
-            else:
-                found = self.encode(word.decode())
+            found = self.encode(word.decode())
         if len(self) >= self.MOST:
             self.older = dict(self)
             self.clear()
