@@ -230,6 +230,17 @@ def test_dedup_lines(docs):
     assert any(w[2] for w in want)
 
 
+def test_lines_are_stripped_of_every_blank_once(spark, docs):
+    blanks = " \t\x0b\x0c\r"
+    lines = [a + b + "a\u00a0B" + c for a in ["", *blanks] for b in ["", *blanks] for c in ["", *blanks, "\u2003", " \r "]] + [*blanks, " \t ", "\t \t"]
+    got = dedup_lines(docs(["\n".join(lines), "A\u00a0b"]), min_docs=2)
+    want = [line for line in lines if line.strip(blanks) != "a\u00a0B"]
+    assert {r["text"] for r in got.collect()} == {"\n".join(want), ""}
+    # one strip of a set of blanks in each of the two passes, not one wherever the key names the line; lines split once
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "split(" in text and text.count("element_at(split(") == 0
+
+
 # --- pages ----------------------------------------------------------------
 
 def test_extraction_on_held_out_pages():
@@ -597,6 +608,12 @@ def test_word_ids_survive_a_full_table(monkeypatch):
         assert len(table) <= 40 and len(table.older) <= 40
 
 
+def test_words_with_signs_take_no_place_in_the_table():
+    table = units.WordIds(vocabulary("word_bpe_49k.json"))
+    assert table[b"words,"] == table[b"words"] + table[b","] and table["été.".encode()] == table["été".encode()] + table[b"."]
+    assert sorted(table) == sorted([b"words", b",", "été".encode(), b"."])
+
+
 def test_large_vocabularies_keep_their_ids(spark, tmp_path):
     import json
     words = {f"w{i}": i for i in range(70_000)}
