@@ -16,6 +16,7 @@ from barloom.llm.lines import dedup_lines
 from barloom.llm.packing import pack
 from barloom.llm.queries import ORACLES, REGISTRY, RULES
 from barloom.llm.units import load
+from barloom.sources.tables import stage
 
 SF = "/root/testdata/sf0.001"
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -216,6 +217,95 @@ def test_shipped_tables_find_pairs_near_the_threshold(spark):
     assert {r.n_links for r in lattice.near_embeddings(table).collect()} == {1}
 
 
+def near_copies(rng, sizes, dim=24, spread=0.12):
+    centres = [rng.normal(size=dim) for _ in sizes]
+    return np.array([np.float32(c + rng.normal(size=dim) * spread) for c, n in zip(centres, sizes, strict=True) for _ in range(n)])
+
+
+def met_and_near(x, least=0.98):
+    """All pairs at once: whether two vectors share a cell, or one is at home where the other probes, and are near."""
+    unit = x.astype(np.float64)
+    unit /= np.abs(unit).max(axis=1, keepdims=True)
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    home, near = lattice.cells(unit, 4, 8, 0.6, 8)
+    met = (home[:, None] == home).any(axis=2)
+    probed = np.array([[np.isin(a, b).any() for b in home] for a in near])
+    return (met | probed | probed.T) & (unit @ unit.T >= least) & ~np.eye(len(x), dtype=bool)
+
+
+def plain_components(names, links):
+    """The smallest name that links reach, for every row."""
+    least = np.array(names)
+    while True:
+        new = np.array([min(least[i], *least[np.flatnonzero(links[i])]) if links[i].any() else least[i] for i in range(len(least))])
+        if (new == least).all():
+            return least
+        least = new
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_tile_counts_each_pair_once(monkeypatch, across):
+    for name, value in {"TILE_ROWS": 5, "PAIRS": 7, "CHUNK": 16}.items():
+        monkeypatch.setattr(lattice, name, value)
+    rng = np.random.default_rng(3)
+    x = near_copies(rng, [25, 9, 4, 2, 1, 1, 30])[rng.permutation(72)]
+    side = rng.random(72) < 0.4 if across else np.zeros(72, bool)
+    shared = rng.random(72) < 0.1
+    copies = rng.integers(1, 4, 72)
+    tile = lattice.Tile(x, np.arange(72), copies, shared, side, across)
+    tile.search(0.98, 4, 8, 0.6, 8)
+    links = met_and_near(x) & ((side[:, None] != side) | (not across))
+    assert links.sum() > 200
+    apart = links & (shared[:, None] | shared)
+    got = np.concatenate(tile.pairs, axis=1)
+    assert Counter(map(tuple, np.sort(got, axis=0).T)) == Counter(zip(*np.nonzero(np.triu(apart)), strict=True))
+    assert (tile.linked == (links & ~apart) @ copies).all()
+    assert (tile.root == plain_components(range(72), links & ~apart)).all()
+
+
+def test_near_embeddings_in_groups(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = near_copies(rng, [60, 20, 5, 3, 2, 1, 1])
+    label = np.array([0] * 80 + [1] * 12)
+    ids = np.arange(92)
+    ids[[3, 70, 81]] = 500  # one node of three vectors, in two labels and two groups of near copies
+    ids[[61, 62]] = 7, 6
+    rows = [(int(i), [float(v) for v in e], int(k)) for i, e, k in zip(ids, x, label, strict=True)] * 2
+    short = near_copies(rng, [6], 5, 0.001)
+    rows += [(200 + i, [float(v) for v in e], 0) for i, e in enumerate(short)]
+    links = met_and_near(x) & (label[:, None] == label) & (ids[:, None] != ids)
+    copies = Counter(2 * ids.tolist())
+    names = sorted(set(ids.tolist()))
+    of = {i: sorted({ids[j] for k in np.flatnonzero(ids == i) for j in np.flatnonzero(links[k])}) for i in names}
+    nodes = np.array([[b in of[a] for b in names] for a in names])
+    component = dict(zip(names, plain_components(names, nodes), strict=True))
+    # two rows a vector; a node that stands for many vectors counts with all its rows
+    want = Counter((i, sum(copies[b] for b in of[i]) + 1, component[i], i == component[i]) for i in 2 * ids.tolist())
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    for kind, group, least in (("float", lattice.GROUP_BYTES, lattice.LEAST_BYTES), ("double", 3000, 1)):
+        monkeypatch.setattr(lattice, "GROUP_BYTES", group)
+        monkeypatch.setattr(lattice, "LEAST_BYTES", least)
+        got = lattice.near_embeddings(table.withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))).collect()
+        assert Counter(tuple(r) for r in got if not 200 <= r.vec_id < 206) == want
+        assert {r.n_links for r in got if 200 <= r.vec_id < 206} == {5}
+
+
+def test_pairs_of_near_copies_are_not_stored(spark, monkeypatch):
+    held = []
+
+    def counted(df):
+        out = stage(df)
+        held.append(out.count())
+        return out
+
+    monkeypatch.setattr(lattice, "stage", counted)
+    x = near_copies(np.random.default_rng(6), [300], 32, 0.01)
+    rows = [(i, [float(v) for v in e], 0) for i, e in enumerate(x)]
+    got = lattice.near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(299, 0)}
+    assert max(held) <= 2 * len(rows)
+
+
 # --- lines ----------------------------------------------------------------
 
 def test_dedup_lines(docs):
