@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import only
@@ -14,10 +15,13 @@ from barloom.sources.tables import stage
 
 ROWS = 4096  # rows of a block
 ANCHORS = 256  # anchors of a block
+LANE_BYTES = 32 << 20  # components that a task holds of rows, and of anchors
+HELD = 2  # bytes of a component in a block, unless it is large
 STEP = 8  # dimensions read between two cuts
 EXACT = float(1 << 53)  # integers up to here are exact in doubles
 LARGEST = float(1 << 62)
 NO_ID = np.iinfo(np.int64).max
+NO_FLOOR = -(1 << 62)
 SEED_SHARE = 16
 BLOCKS = "dim long, n long, ids binary, labels binary, rows binary, columns binary"
 HITS = "anchor long, anchor_id long, positive long, positive_id long, positive_score long, row long, id long, score long"
@@ -95,7 +99,8 @@ def vertical_scan(block: Block, q: np.ndarray, alive: np.ndarray,
     for at in range(0, len(order), STEP):
         dims = order[at : at + STEP]
         columns = block.columns[dims]
-        scores += q[dims] @ (columns if len(alive) == columns.shape[1] else columns[:, alive])
+        # a few dimensions of all rows are read sooner than those of most rows are picked out
+        scores += (q[dims] @ columns)[alive] if 4 * len(alive) > columns.shape[1] else q[dims] @ columns[:, alive]
         done = min(at + STEP, len(order))
         if done < len(order):
             stay = cut(scores + least[done], scores + most[done])
@@ -143,7 +148,13 @@ def hard_unlike(block: Block, a: dict, k: int) -> Iterator[tuple]:
         return
     alive = np.flatnonzero(block.labels != a["label"])
 
+    # with a floor for each positive, one range that spans all windows cuts as much and is looked at once
+    bottom, top = min(max(w[3], w[5]) for w in limits), max(w[4] for w in limits)
+    floored = all(w[5] > NO_FLOOR for w in limits)
+
     def cut(lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
+        if floored:
+            return (upper >= bottom) & (lower <= top)
         stay = np.zeros(len(lower), dtype=bool)
         for _, _, _, low, high, floor in limits:
             sure = lower[(lower >= low) & (upper <= high)]
@@ -158,35 +169,54 @@ def hard_unlike(block: Block, a: dict, k: int) -> Iterator[tuple]:
                    block.rows[alive[i]], block.ids[alive[i]], scores[i])
 
 
-def _scan(blocks: DataFrame, anchors: DataFrame, lanes: int, search: Callable, k: int) -> DataFrame:
+def _dealt(spark: SparkSession, blocks: int, rows: int, anchors: int, components: tuple[int, int]) -> tuple[int, int]:
+    """Numbers of lanes, which share the blocks of rows, and of crews, which share those of anchors.
+
+    Every lane meets every crew, so rows are moved once a crew and anchors once a lane. There are about as many pairs
+    as the session has partitions, dealt so that least is moved, and at least so many that a lane's or a crew's
+    ``components`` in all stay under ``LANE_BYTES``.
+    """
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    crews = max(round(math.sqrt(tasks * anchors / max(rows, 1))), -(-HELD * components[1] // LANE_BYTES))
+    crews = max(min(crews, -(-anchors // ANCHORS)), 1)
+    return max(min(max(-(-tasks // crews), -(-HELD * components[0] // LANE_BYTES)), blocks), 1), crews
+
+
+def _scan(blocks: DataFrame, anchors: DataFrame, lanes: int, crews: int, search: Callable, k: int) -> DataFrame:
     """``search`` for every anchor of every block pair of one dimension.
 
-    Blocks of rows lie in lanes, blocks of anchors in all lanes, so the pairs come from an equi-join in
-    which every lane holds an even share of the blocks, whatever ids or labels they hold.
+    Blocks of rows are dealt to lanes and blocks of anchors to crews; a task scans the blocks of a lane for a crew,
+    one after the other, whatever ids or labels they hold. Both are grouped by lane and crew and not joined, so
+    no session takes the anchors of all lanes for a small table to broadcast, and no block is repeated for each
+    block of anchors.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                if row["block"] != last:
-                    last, block = row["block"], Block(row)
-                    block.low, block.high = (np.where(np.isfinite(e), e, 0.0) for e in (block.low, block.high))
-                asked = Block({c: row[f"anchor_{c}"] for c in ("ids", "labels", "rows", "columns", "n")} | {"dim": row["dim"]})
-                found = [hit for j in range(row["anchor_n"]) for hit in search(block, {
+    def run(rows: pa.Table, asking: pa.Table) -> pa.Table:
+        out = [pa.schema([(c.split()[0], pa.int64()) for c in HITS.split(", ")]).empty_table()]
+        for i in range(rows.num_rows if asking.num_rows else 0):
+            block = Block({c: rows.column(c)[i].as_py() for c in rows.column_names})
+            block.low, block.high = (np.where(np.isfinite(e), e, 0.0) for e in (block.low, block.high))
+            for at in range(asking.num_rows):
+                row = {c: asking.column(c)[at].as_py() for c in asking.column_names}
+                asked = Block(row)
+                found = [hit for j in range(row["n"]) for hit in search(block, {
                     "q": asked.columns[:, j], "row": asked.rows[j], "id": asked.ids[j], "label": asked.labels[j],
                     "limits": row["limits"][j]}, k)]
                 if found:
                     columns = [pa.array([None if v is None else int(v) for v in c], pa.int64())
                                for c in zip(*found, strict=True)]
-                    yield pa.record_batch(columns, names=[c.split()[0] for c in HITS.split(", ")])
+                    out.append(pa.table(columns, names=out[0].column_names))
+        return pa.concat_tables(out)
+
+    def met(frame: DataFrame, own: str, by: str, n: int, other: str, m: int) -> DataFrame:
+        """Each block in a share of its own kind and in all of the other's; a number of partitions is named, as
+        the blocks' bytes do not tell the time that they take."""
+        return (frame.withColumn(own, F.pmod(F.xxhash64(by), F.lit(n)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+                .repartition(lanes * crews, "lane", "crew", "dim").groupBy("lane", "crew", "dim"))
 
-    every = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
-    dealt = anchors.select(every, F.col("dim").alias("anchor_dim"), "limits",
-                           *[F.col(c).alias(f"anchor_{c}") for c in ("n", "ids", "labels", "rows", "columns")])
-    pairs = blocks.join(dealt, (blocks["lane"] == dealt["lane"]) & (F.col("dim") == F.col("anchor_dim")))
-    return pairs.drop("lane", "anchor_dim", "share").mapInArrow(run, HITS)
+    return (met(blocks, "lane", "block", lanes, "crew", crews)
+            .cogroup(met(anchors, "crew", "rows", crews, "lane", lanes)).applyInArrow(run, HITS))
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
@@ -207,8 +237,8 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     Rows become columnar blocks and every block of anchors is scanned against every block of rows, by
     dimension, with candidates dropped as soon as bounds exclude them (``vertical_scan``). A first scan over a
     sixteenth of the blocks gives each anchor floors that its last result reaches for sure, so the whole
-    scan passes on few rows besides the results. Work is anchors times rows at the worst; tasks hold a pair
-    of blocks at a time.
+    scan passes on few rows besides the results. Work is anchors times rows at the worst; a task holds the
+    blocks of a lane and of a crew of anchors (``_dealt``), and no table of blocks goes through the driver.
 
     Rows with a null label or vector, or any null or non-finite component take no part. Vectors of different
     lengths are not compared. A null vec_id is no anchor by a comparison with null, but may be a result,
@@ -217,13 +247,15 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     """
     spark = vectors.sparkSession
     rows = quantised(vectors, anchor, label)
-    lanes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = stage(rows.mapInArrow(_packer(ROWS), BLOCKS)
                    .withColumn("block", F.monotonically_increasing_id())
-                   .withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int"))
                    .withColumn("share", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(SEED_SHARE)).cast("int")))
-    n_blocks, asked = blocks.count(), stage(rows.where("anchor").drop("anchor"))
-    parts = max(-(-asked.count() // ANCHORS), 1)
+    asked = stage(rows.where("anchor").drop("anchor"))
+    n_blocks, n_rows, size = (v or 0 for v in blocks.agg(F.count("*"), F.sum("n"), F.sum(F.col("n") * F.col("dim"))).first())
+    n_asked, asked_size = (v or 0 for v in asked.agg(F.count("*"), F.sum(F.size("x"))).first())
+    parts = max(-(-n_asked // ANCHORS), 1)
+    every = _dealt(spark, n_blocks, n_rows, n_asked, (size, asked_size))
+    few = _dealt(spark, -(-n_blocks // SEED_SHARE), n_rows // SEED_SHARE, n_asked, (size // SEED_SHARE, asked_size))
 
     def packed(limits: DataFrame | None) -> DataFrame:
         """Anchors in blocks, each with its limits."""
@@ -238,9 +270,9 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
     def found(limits: DataFrame | None, search: Callable, k: int, with_floors: Callable) -> DataFrame:
         anchors = packed(limits)
         if n_blocks > 2 * SEED_SHARE:
-            some = _best(_scan(blocks.where("share = 0"), anchors, lanes, search, k), k).where(F.col("rank") == k)
+            some = _best(_scan(blocks.where("share = 0"), anchors, *few, search, k), k).where(F.col("rank") == k)
             anchors = packed(with_floors(limits, some.select("anchor", "positive", F.col("score").alias("floor"))))
-        return stage(_best(_scan(blocks, anchors, lanes, search, k), k))
+        return stage(_best(_scan(blocks, anchors, *every, search, k), k))
 
     alike = found(None, nearest_alike, positives, lambda _, floors: floors.groupBy("anchor").agg(
         F.array(F.array(F.max("floor"))).alias("limits")))
@@ -252,7 +284,7 @@ def hard_negatives(vectors: DataFrame, anchor: Column, label: Column, positives:
             # in whole numbers: the least n with low * score <= 100 n, and the largest with 100 n <= high * score
             "low": F.expr(f"(positive_score * {low} + 99 - pmod(positive_score * {low} + 99, 100)) div 100"),
             "high": F.expr(f"(positive_score * {high} - pmod(positive_score * {high}, 100)) div 100")}))
-    none = F.lit(-(1 << 62))
+    none = F.lit(NO_FLOOR)
 
     def limits_of(frame: DataFrame, floor: Column) -> DataFrame:
         return frame.groupBy("anchor").agg(F.collect_list(F.array(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import negatives
 from barloom.llm.negatives import Block, hard_negatives, vertical_scan
+from barloom.sources.tables import stage
 
 SCHEMA = "vec_id long, embedding array<float>, label int, VEC_ID string, score int"
 
@@ -94,6 +95,36 @@ def test_empty_table(spark):
     assert mined(spark, vectors(10)[1:]).count() == 0  # no anchor
 
 
+def test_no_block_goes_through_the_driver(spark, monkeypatch):
+    """Anchors of all lanes are many times their stored size, by which a session takes them for a small table."""
+    plans = []
+
+    def kept(df):
+        if "rank" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    rows = vectors(300)
+    monkeypatch.setattr(negatives, "stage", kept)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert results(mined(spark, rows)) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(plans) == 2 and not any("Broadcast" in plan for plan in plans)
+
+
+def test_lanes_and_crews(spark):
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    assert negatives._dealt(spark, 0, 0, 0, (0, 0)) == (1, 1)
+    assert negatives._dealt(spark, 3, 10_000, 100, (640_000, 6400)) == (3, 1)
+    assert negatives._dealt(spark, 500, 2_000_000, 20_000, (128_000_000, 1_280_000)) == (tasks, 1)
+    assert negatives._dealt(spark, 500, 2_000_000, 2_000_000, (128_000_000, 128_000_000)) == (8, 8)
+    for n in (10**7, 10**9):
+        lanes, crews = negatives._dealt(spark, n // 4096, n, n // 100, (64 * n, 64 * n // 100))
+        assert 2 * 64 * n <= lanes * negatives.LANE_BYTES and 2 * 64 * n // 100 <= crews * negatives.LANE_BYTES
+
+
 def test_scan_drops_candidates_early():
     rng = np.random.default_rng(4)
     columns = np.floor(256 * rng.standard_normal((64, 3000)) * np.linspace(1, 0.05, 64)[:, None]).astype(np.int16)
