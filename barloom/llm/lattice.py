@@ -115,7 +115,8 @@ class Tile:
         self.unit = np.empty(x.shape, np.float32)
         self.linked, self.root = np.zeros(len(x), np.int64), np.arange(len(x))
         self.across = across
-        self.edges: list[np.ndarray] = []
+        self.edges: list[np.ndarray] = []  # links whose ends are not united yet
+        self.waiting = 0
         self.pairs: list[np.ndarray] = []
 
     def search(self, least: float, tables: int, probes: int, scale: float, seed: int) -> None:
@@ -163,7 +164,9 @@ class Tile:
     def _link(self, t: int, c: int, a: np.ndarray, b: np.ndarray, cosine: np.ndarray) -> None:
         """Take the pairs that are linked and have not met before: in an earlier table, or in this one the other way."""
         theirs = self.home[b, t]
-        new = np.where(theirs == c, self.across | (a < b), (c < theirs) | ~(self.near[a, t] == theirs[:, None]).any(axis=1))
+        new = (theirs == c) & (self.across | (a < b)) | (c < theirs)
+        back = np.flatnonzero(c > theirs)
+        new[back] = ~(self.near[a[back], t] == theirs[back, None]).any(axis=1)
         new &= self.reps[a] != self.reps[b]
         a, b, cosine = a[new], b[new], cosine[new]
         for before in range(t):
@@ -174,12 +177,14 @@ class Tile:
         sure[~sure] = self._cosines(a[~sure], b[~sure]) >= self.least
         a, b = a[sure], b[sure]
         apart = self.shared[a] | self.shared[b]
-        self.pairs.append(self.reps[np.stack([a[apart], b[apart]])])
-        a, b = a[~apart], b[~apart]
+        if apart.any():
+            self.pairs.append(self.reps[np.stack([a[apart], b[apart]])])
+            a, b = a[~apart], b[~apart]
         np.add.at(self.linked, a, self.copies[b])
         np.add.at(self.linked, b, self.copies[a])
         self.edges.append(np.stack([a, b]))
-        if sum(e.shape[1] for e in self.edges) > PAIRS:
+        self.waiting += len(a)
+        if self.waiting > PAIRS:
             self._unite()
 
     def _cosines(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,7 +203,7 @@ class Tile:
         """Hang the ends of the links found since on the smallest row that they reach."""
         if not self.edges:
             return
-        ends, self.edges = np.concatenate(self.edges, axis=1), []
+        ends, self.edges, self.waiting = np.concatenate(self.edges, axis=1), [], 0
         while True:
             roots = self.root[ends]
             ends = ends[:, roots[0] != roots[1]]
